@@ -11,11 +11,11 @@ are accepted by Python and rejected here (counted as JSON errors).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefpairs.constants import CLICK, LONG_PRESS
-from prefpairs.functions.text import is_py_int, py_int
+from prefpairs.functions.text import INT_LITERAL, py_strip
 
 
 def wrapped_variant(line: Column) -> Column:
@@ -44,24 +44,33 @@ def string_field(wrapped: Column, key: str) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(wrapped, f"$.v.{key}", "string"))
 
 
-def audit_coords(action: Column, width: int, height: int) -> Column:
-    """Coordinate check of the audit for one action string.
+def with_coord_check(df: DataFrame, action_col: str, out_col: str, width: int, height: int) -> DataFrame:
+    """Adds ``out_col``: the audit's coordinate verdict for one action string column.
 
-    Returns TRUE (valid), FALSE (out of range) or NULL (not counted). Only strings that
-    contain ``CLICK:`` or ``LONG_PRESS:`` are looked at; the text between the first
-    ``(`` and the next ``(``/``)`` must split on ``,`` into exactly two ``int()``
-    literals (so ``250.5`` is not counted, unlike the generator's own parser).
+    TRUE (valid), FALSE (out of range) or NULL (not counted). Only strings that contain
+    ``CLICK:`` or ``LONG_PRESS:`` are looked at; the text between the first ``(`` and
+    the next ``(``/``)`` must split on ``,`` into exactly two ``int()`` literals (so
+    ``250.5`` is not counted, unlike the generator's own parser). Staged so the split
+    and strip run once per row.
     """
-    looked_at = action.contains(CLICK + ":") | action.contains(LONG_PRESS + ":")
-    has_paren = F.instr(action, "(") > 0
-    inner = F.split_part(F.split_part(action, F.lit("("), F.lit(2)), F.lit(")"), F.lit(1))
-    parts = F.split(inner, ",", -1)
-    px, py = F.get(parts, 0), F.get(parts, 1)
-    countable = looked_at & has_paren & (F.size(parts) == 2) & is_py_int(px) & is_py_int(py)
+    keep = [F.col(c) for c in df.columns]
+    a = F.col(action_col)
+    looked_at = (a.contains(CLICK + ":") | a.contains(LONG_PRESS + ":")) & (F.instr(a, "(") > 0)
+    inner = F.split_part(F.split_part(a, F.lit("("), F.lit(2)), F.lit(")"), F.lit(1))
+    s = df.select(*keep, F.when(looked_at, F.split(inner, ",", -1)).alias("_c_parts"))
+    two = F.size("_c_parts") == 2
+    s = s.select(
+        *keep,
+        F.when(two, py_strip(F.get(F.col("_c_parts"), 0))).alias("_c_x"),
+        F.when(two, py_strip(F.get(F.col("_c_parts"), 1))).alias("_c_y"),
+    )
+    tx, ty = F.col("_c_x"), F.col("_c_y")
+    countable = tx.rlike(INT_LITERAL) & ty.rlike(INT_LITERAL)
     # A literal that int() takes but BIGINT cannot hold is far outside any canvas.
-    x, y = py_int(px), py_int(py)
+    x = F.regexp_replace(tx, "_", "").try_cast("bigint")
+    y = F.regexp_replace(ty, "_", "").try_cast("bigint")
     in_range = F.coalesce(x.between(0, width) & y.between(0, height), F.lit(False))
-    return F.when(countable, in_range)
+    return s.select(*keep, F.when(countable, in_range).alias(out_col))
 
 
 def action_family(action: Column) -> Column:

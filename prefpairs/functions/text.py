@@ -36,15 +36,3 @@ def py_float_to_int(part: Column) -> Column:
     s = py_strip(part)
     digits = F.regexp_replace(s, "_", "")
     return F.when(s.rlike(FLOAT_LITERAL), digits.try_cast("double").try_cast("bigint"))
-
-
-def py_int(part: Column) -> Column:
-    """``int(part)`` (base 10) as BIGINT; NULL where Python would raise or the value
-    does not fit in 64 bits."""
-    s = py_strip(part)
-    return F.when(s.rlike(INT_LITERAL), F.regexp_replace(s, "_", "").try_cast("bigint"))
-
-
-def is_py_int(part: Column) -> Column:
-    """True when ``int(part)`` succeeds in Python, whatever the magnitude."""
-    return F.coalesce(py_strip(part).rlike(INT_LITERAL), F.lit(False))

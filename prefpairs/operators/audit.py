@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from prefpairs import constants as K
 from prefpairs.functions.jsonline import (
     action_family,
-    audit_coords,
     has_key,
     is_object,
     is_strict_json,
     string_field,
+    with_coord_check,
     wrapped_variant,
 )
 
@@ -58,12 +58,15 @@ def classify_lines(lines: DataFrame, line_col: str = "value", canvas: tuple[int,
         F.when(F.col("ok"), string_field(F.col("w"), "chosen")).alias("chosen"),
         F.when(F.col("ok"), string_field(F.col("w"), "rejected")).alias("rejected"),
     )
-    return kinds.select(
+    valid = F.col("kind") == "valid"
+    checked = with_coord_check(kinds, "chosen", "chosen_coords_ok", w_, h_)
+    checked = with_coord_check(checked, "rejected", "rejected_coords_ok", w_, h_)
+    return checked.select(
         "kind",
-        F.when(F.col("kind") == "valid", audit_coords(F.col("chosen"), w_, h_)).alias("chosen_coords_ok"),
-        F.when(F.col("kind") == "valid", audit_coords(F.col("rejected"), w_, h_)).alias("rejected_coords_ok"),
-        F.when(F.col("kind") == "valid", action_family(F.col("chosen"))).alias("chosen_family"),
-        F.when(F.col("kind") == "valid", action_family(F.col("rejected"))).alias("rejected_family"),
+        F.when(valid, F.col("chosen_coords_ok")).alias("chosen_coords_ok"),
+        F.when(valid, F.col("rejected_coords_ok")).alias("rejected_coords_ok"),
+        F.when(valid, action_family(F.col("chosen"))).alias("chosen_family"),
+        F.when(valid, action_family(F.col("rejected"))).alias("rejected_family"),
     )
 
 
@@ -126,5 +129,5 @@ def action_distribution(pairs: DataFrame) -> DataFrame:
 def coords_out_of_range(pairs: DataFrame, canvas: tuple[int, int] = K.DEFAULT_CANVAS) -> DataFrame:
     """Pair sides whose coordinates the audit counts as out of range."""
     w_, h_ = canvas
-    acts = pair_actions(pairs)
-    return acts.filter(audit_coords(F.col("action"), w_, h_) == F.lit(False))
+    checked = with_coord_check(pair_actions(pairs), "action", "_coords_ok", w_, h_)
+    return checked.filter(F.col("_coords_ok") == F.lit(False)).drop("_coords_ok")

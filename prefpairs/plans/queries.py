@@ -22,7 +22,7 @@ from prefpairs.schema import PairConfig
 from prefpairs.session import scratch_path
 from prefpairs.sources import sinks
 from prefpairs.sources.adapters import conversations_to_entries, events_to_entries
-from prefpairs.sources.readers import read_lines, read_pairs_jsonl
+from prefpairs.sources.readers import read_lines, read_pairs_jsonl, spread
 from prefpairs.sources.synthetic import synthetic_entries_from_ids
 from prefpairs.streaming.pairs_stream import run_pairs_stream
 
@@ -41,8 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table, spread over all task slots when the file has too few splits."""
+    return spread(table(spark, sf_dir, "events"))
+
+
 def event_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_to_entries(table(spark, sf_dir, "events"))
+    return events_to_entries(events(spark, sf_dir))
 
 
 def event_pairs(spark: SparkSession, sf_dir: str, cfg: PairConfig = PairConfig()) -> DataFrame:
@@ -138,8 +143,8 @@ def pair_lines(p: DataFrame) -> DataFrame:
 
 
 def q_audit_pairs(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    lines = pair_lines(pairs.generate_pairs(events_to_entries(events))).unionByName(audit_fault_lines(events))
+    ev = events(spark, sf_dir)
+    lines = pair_lines(pairs.generate_pairs(events_to_entries(ev))).unionByName(audit_fault_lines(ev))
     return audit.audit_lines(lines)
 
 
@@ -185,7 +190,7 @@ def q_pixels(spark, sf_dir):
 
 
 def q_synthetic_pairs(spark, sf_dir):
-    ids = table(spark, sf_dir, "events").select("event_id")
+    ids = events(spark, sf_dir).select("event_id")
     return pairs.flatten_pairs(pairs.generate_pairs(synthetic_entries_from_ids(ids, "event_id")))
 
 
