@@ -3,6 +3,7 @@ table and as raw lines. Every read uses an explicit schema."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -53,11 +54,13 @@ def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     One small table of (file path, ordinal) is joined on; it has one row per input file.
     """
-    files = sorted(df.inputFiles())
+    # inputFiles() spells local files "file:///p" where the scan metadata says "file:/p".
+    files = sorted(re.sub(r"^file:/+", "file:///", f) for f in df.inputFiles())
     ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _ord long")
     if len(files) <= MAX_BROADCAST_FILES:
         ordinals = F.broadcast(ordinals)
-    pos = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    file_path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+    pos = df.select("*", file_path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return (
         pos.join(ordinals, "_file", "left")
         .withColumn("entry_id", F.shiftleft(F.col("_ord"), _ROW_BITS) + F.col("_row"))
