@@ -4,7 +4,8 @@ Splits never use ``randomSplit``/``rand``: a row's side is a pure function of
 ``(seed, key)``, so it survives retries, executor loss and repartitioning. The default
 split key is the entry (both pairs of one entry land on the same side, so the duplicated
 SFT text cannot leak across the split); ``key="pair"`` splits per pair row as the
-original did.
+original did. Rows without ids (JSON lines) can use ``key="content"``: the two pairs of
+an entry share prompt and chosen, so they still land together.
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ def split_key(key: str = "entry") -> Column:
         return F.col("entry_id")
     if key == "pair":
         return F.concat_ws("-", F.col("entry_id").cast("string"), F.col("strategy_ord").cast("string"))
-    raise ValueError("key must be 'entry' or 'pair'")
+    if key == "content":  # for rows without ids: both pairs of an entry share prompt+chosen
+        return F.sha2(F.concat_ws("\u0001", F.col("prompt"), F.col("chosen")), 256)
+    raise ValueError("key must be 'entry', 'pair' or 'content'")
 
 
 def train_eval_split(

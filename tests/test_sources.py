@@ -101,3 +101,34 @@ def test_spread(spark):
     assert spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(0, 100, 1, 6)
     assert spread(many, 4) is many
+
+
+def test_generate_and_prepare_jobs(spark, tmp_out):
+    from prefpairs.plans.job import generate, prepare
+
+    src = os.path.join(tmp_out, "data.json")
+    rows = spark.read.parquet(f"{SF001}/events.parquet")
+    events_to_entries(rows).coalesce(1).write.json(src)
+    rep = generate(spark, [(os.path.join(tmp_out, "none.json"), "json"), (src, "json")], os.path.join(tmp_out, "run"))
+    assert rep["source"] == src
+    assert (rep["valid_pairs"], rep["json_errors"], rep["skipped_invalid"], rep["pairs_spatial"]) == (1702, 0, 149, 851)
+    sft = prepare(spark, rep["pairs_table"], os.path.join(tmp_out, "sft"), "sft")
+    assert sft["train"] + sft["eval"] == 1702
+    dpo = prepare(spark, rep["pairs_table"], os.path.join(tmp_out, "dpo"), "dpo", n_eval=100, limit=1000)
+    assert dpo == {"train": 900, "eval": 100}
+    from_jsonl = prepare(spark, os.path.join(tmp_out, "run", "pairs.jsonl"), os.path.join(tmp_out, "sft2"), "sft")
+    assert from_jsonl["train"] + from_jsonl["eval"] == 1702
+    sample = generate(spark, [(src, "json")], os.path.join(tmp_out, "run2"), sample_size=100)
+    assert sample["valid_pairs"] <= 200
+
+
+def test_custom_strategy_registry(spark):
+    from prefpairs.operators.rejections import register_strategy, strategy_names
+    from prefpairs.schema import PairConfig
+    from prefpairs.sources.synthetic import synthetic_entries
+
+    register_strategy("swap_axes", lambda cfg: F.when(F.col("x").isNotNull(), F.concat(F.col("action_type"), F.lit(": ("), F.col("y"), F.lit(", "), F.col("x"), F.lit(")"))).otherwise(F.col("chosen")))
+    assert "swap_axes" in strategy_names()
+    got = flatten_pairs(generate_pairs(synthetic_entries(spark, 1), PairConfig(strategies=("logical", "swap_axes")))).orderBy("strategy_ord").collect()
+    assert [r.rejection_strategy for r in got] == ["logical", "swap_axes"]
+    assert got[1].rejected == "CLICK: (400, 250)"
