@@ -5,7 +5,8 @@
 cluster. Instead we find the n-th smallest key by distributed histogram refinement:
 each round is one aggregation over the key column only (column-pruned, partial
 aggregation on the map side) that returns at most ``buckets`` counts to the driver, and
-narrows the candidate range ``buckets``-fold. A 64-bit key needs at most 6 rounds;
+narrows the candidate range ``buckets``-fold; once the range holds few enough keys (a
+count known from the previous round) they are fetched and finished on the driver. A 64-bit key needs at most 6 rounds;
 dense ids of N rows need about log_buckets(N). The prefix itself is then a plain
 filter ``key <= threshold`` that every task applies independently.
 
@@ -15,6 +16,7 @@ key never belong to a prefix.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -22,6 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 4096
+# Once the candidate range (or a tie group) holds at most this many keys, which is
+# known exactly from the previous round, those keys are fetched and finished on the
+# driver instead of running more distributed rounds.
+COLLECT_LIMIT = 10_000
 
 
 @dataclass(frozen=True)
@@ -46,12 +52,16 @@ def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = DEFAULT_BUCKETS
         keys.unpersist()
 
 
-def _refine(keys: DataFrame, k: int, buckets: int) -> Rank | None:
+def _refine(keys: DataFrame, k: int, buckets: int, collect_limit: int = COLLECT_LIMIT) -> Rank | None:
     lo, hi, total = keys.agg(F.min("k"), F.max("k"), F.count(F.lit(1))).first()
     if total == 0 or k > total or k < 1:
         return None
     below, in_range = 0, total
     while lo != hi:
+        if in_range <= collect_limit:
+            vals = sorted(r[0] for r in keys.filter(F.col("k").between(lo, hi)).collect())
+            v = vals[k - below - 1]
+            return Rank(value=v, below=below + bisect_left(vals, v), at_most=below + bisect_right(vals, v))
         width = -(-(hi - lo + 1) // buckets)
         # decimal arithmetic: (k - lo) cannot overflow for any pair of BIGINT values
         bucket = F.expr(f"(cast(k as decimal(20,0)) - cast({lo} as decimal(20,0))) div {width}")
@@ -69,13 +79,21 @@ def _refine(keys: DataFrame, k: int, buckets: int) -> Rank | None:
     return Rank(value=lo, below=below, at_most=below + in_range)
 
 
+def _lex_at_most(cols: list[str], bound: tuple) -> Column:
+    """``tuple(cols) <= bound`` in lexicographic order."""
+    head = F.col(cols[0])
+    if len(cols) == 1:
+        return head <= F.lit(bound[0])
+    return (head < F.lit(bound[0])) | ((head == F.lit(bound[0])) & _lex_at_most(cols[1:], bound[1:]))
+
+
 def first_n_predicate(
     df: DataFrame, cols: list[str], n: int, buckets: int = DEFAULT_BUCKETS
 ) -> Column:
     """Predicate selecting exactly the first ``n`` rows of ``df`` ordered by ``cols``.
 
     The key tuple is projected and cached once; every refinement round, including the
-    tie-breaking rounds on later columns, reads only that cache.
+    tie-breaking on later columns, reads only that cache.
     """
     if n <= 0:
         return F.lit(False)
@@ -94,8 +112,13 @@ def _prefix_predicate(keys: DataFrame, cols: list[str], n: int, buckets: int) ->
         return key.isNotNull()
     if rank.at_most == n or len(cols) == 1:
         return key <= F.lit(rank.value)
-    ties = keys.filter(key == F.lit(rank.value))
-    rest = _prefix_predicate(ties, cols[1:], n - rank.below, buckets)
+    m = n - rank.below
+    ties = keys.filter(key == F.lit(rank.value)).dropna()
+    if rank.at_most - rank.below <= COLLECT_LIMIT:
+        rows = sorted(tuple(r) for r in ties.select(*cols[1:]).collect())
+        rest = _lex_at_most(cols[1:], rows[m - 1])
+    else:
+        rest = _prefix_predicate(ties, cols[1:], m, buckets)
     return (key < F.lit(rank.value)) | ((key == F.lit(rank.value)) & rest)
 
 

@@ -31,6 +31,10 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Plans here are built from many small column expressions; capturing the Python
+        # call site for each one costs ~10 driver round trips per call. Errors still
+        # carry the Spark-side context.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory

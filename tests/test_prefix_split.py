@@ -78,3 +78,18 @@ def test_sft_and_dpo(spark):
     assert dpo_projection(p).columns == ["prompt", "chosen", "rejected"]
     dup = p.withColumn("prompt", F.lit("same"))
     assert sft_text(dup, drop_duplicates=True).count() == 1
+
+
+def test_first_n_distributed_rounds(spark, monkeypatch):
+    """Force the distributed path (no driver finish) and compare with sort + limit."""
+    import prefpairs.operators.prefix as P
+
+    monkeypatch.setattr(P, "COLLECT_LIMIT", 0)
+    monkeypatch.setattr(P._refine, "__defaults__", (0,))
+    rnd = random.Random(3)
+    rows = [(rnd.choice([5, 6, rnd.randint(-10**12, 10**12)]), rnd.randint(0, 9), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    for n in (1, 1000, 2999):
+        got = sorted(map(tuple, P.first_n(df, ["a", "b", "c"], n, buckets=16).collect()))
+        want = sorted(map(tuple, df.orderBy("a", "b", "c").limit(n).collect()))
+        assert got == want, n
