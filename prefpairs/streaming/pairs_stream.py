@@ -47,11 +47,14 @@ def run_pairs_stream(
     to_entries: Callable[[DataFrame], DataFrame] = events_to_entries,
     cfg: PairConfig = PairConfig(),
     checkpoint: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> str:
     """Process everything available at ``source_path`` into Parquet at ``out_path`` and
-    stop (``availableNow`` trigger). Returns ``out_path``."""
+    stop (``availableNow`` trigger, in micro-batches of ``max_files_per_trigger`` files).
+    Re-running with the same checkpoint processes only files not seen before.
+    Returns ``out_path``."""
     query = (
-        pairs_stream(stream_source(spark, source_path), to_entries, cfg)
+        pairs_stream(stream_source(spark, source_path, max_files_per_trigger), to_entries, cfg)
         .writeStream.format("parquet")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint or out_path.rstrip("/") + "-checkpoint")
