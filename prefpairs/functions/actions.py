@@ -37,14 +37,15 @@ def action_tag(action: Column) -> Column:
     return expr
 
 
-def parse_actions(df: DataFrame, action_col: str, prefix: str = "") -> DataFrame:
+def parse_actions(df: DataFrame, action_col: str, prefix: str = "", stripped: bool = False) -> DataFrame:
     """Adds ``action_type, x, y, text`` (named with ``prefix``) parsed from ``action_col``.
 
     ``action_type`` is NULL when the string cannot be parsed (the entry is then skipped).
     x/y are set for CLICK, LONG_PRESS and SCROLL; text for TYPE (may be empty).
+    ``stripped`` skips the leading ``str.strip()`` when the column already had it.
     """
     keep = [F.col(c) for c in df.columns]
-    s = df.select(*keep, py_strip(F.col(action_col)).alias("_a_s"))
+    s = df.select(*keep, (F.col(action_col) if stripped else py_strip(F.col(action_col))).alias("_a_s"))
     s = s.select(*keep, "_a_s", action_tag(F.col("_a_s")).alias("_a_tag"))
     body = py_strip(F.replace(F.col("_a_s"), F.concat(F.col("_a_tag"), F.lit(":")), F.lit("")))
     s = s.select(*keep, "_a_tag", body.alias("_a_body"))

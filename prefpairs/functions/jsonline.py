@@ -67,8 +67,8 @@ def with_coord_check(df: DataFrame, action_col: str, out_col: str, width: int, h
     tx, ty = F.col("_c_x"), F.col("_c_y")
     countable = tx.rlike(INT_LITERAL) & ty.rlike(INT_LITERAL)
     # A literal that int() takes but BIGINT cannot hold is far outside any canvas.
-    x = F.regexp_replace(tx, "_", "").try_cast("bigint")
-    y = F.regexp_replace(ty, "_", "").try_cast("bigint")
+    x = F.replace(tx, F.lit("_"), F.lit("")).try_cast("bigint")
+    y = F.replace(ty, F.lit("_"), F.lit("")).try_cast("bigint")
     in_range = F.coalesce(x.between(0, width) & y.between(0, height), F.lit(False))
     return s.select(*keep, F.when(countable, in_range).alias(out_col))
 

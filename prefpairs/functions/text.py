@@ -34,5 +34,5 @@ def py_float_to_int(part: Column) -> Column:
     Truncates toward zero. Values beyond the 64-bit range also give NULL.
     """
     s = py_strip(part)
-    digits = F.regexp_replace(s, "_", "")
+    digits = F.replace(s, F.lit("_"), F.lit(""))
     return F.when(s.rlike(FLOAT_LITERAL), digits.try_cast("double").try_cast("bigint"))

@@ -53,7 +53,7 @@ def parse_entries(entries: DataFrame) -> DataFrame:
     Columns: entry_id, instruction, action_type, x, y, text, raw_action, skip_reason.
     """
     ex = extract_entries(entries).select("entry_id", "instruction", "raw_action", "skip_reason")
-    parsed = parse_actions(ex, "raw_action")
+    parsed = parse_actions(ex, "raw_action", stripped=True)  # extract_entries stripped it
     reason = F.coalesce(
         F.col("skip_reason"),
         F.when(F.col("action_type").isNull(), F.lit(UNPARSEABLE_ACTION)),
