@@ -6,6 +6,7 @@ checks and projects the result so the rest of the job can rely on it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,21 +102,32 @@ def events_to_entries(events: DataFrame) -> DataFrame:
     return ev.select(eid.alias("entry_id"), conversations.alias("conversations"))
 
 
-def conversations_to_entries(conversations: DataFrame) -> DataFrame:
+def conversations_to_entries(conversations: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     """Chat turns ``(conv_id, turn, role, text)`` -> one ENTRY per conversation holding its
     first two turns in turn order (later turns are never read by the extraction).
 
-    ``row_number() <= 2`` lets Spark insert a partial WindowGroupLimit before the
-    shuffle, so each map task sends at most two rows per conversation: a conversation
-    holding a third of all turns still costs two rows per task, not a third of the data
-    in one task. The grouping after it reuses the window's partitioning (no new shuffle)
-    and collects at most two elements.
+    ``row_number() <= 2`` lets Spark insert a partial WindowGroupLimit before each
+    shuffle, so a map task sends at most two rows per conversation. A conversation spread
+    over all M input tasks would still put 2*M rows into one reducer, so a middle level
+    first keeps the top two per (conversation, group of input tasks): with S groups a hot
+    conversation costs about 2*M/S rows in a middle task and 2*S rows in the final one.
+    S defaults to sqrt(M), which balances the two. The grouping at the end reuses the
+    final window's partitioning and collects at most two elements.
     """
-    by_turn = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last())
-    first_two = (
-        conversations.select("conv_id", "turn", "role", "text")
-        .withColumn("_rn", F.row_number().over(by_turn))
-        .filter(F.col("_rn") <= 2)
+    turns = conversations.select("conv_id", "turn", "role", "text")
+    if salt_buckets is None:
+        salt_buckets = math.isqrt(max(turns.rdd.getNumPartitions(), 1))
+    by_turn = F.col("turn").asc_nulls_last()
+    if salt_buckets > 1:
+        # The input task index is stable across retries, so the grouping is deterministic.
+        salted = turns.withColumn("_salt", F.spark_partition_id() % F.lit(salt_buckets))
+        turns = (
+            salted.withColumn("_rn", F.row_number().over(Window.partitionBy("conv_id", "_salt").orderBy(by_turn)))
+            .filter(F.col("_rn") <= 2)
+            .drop("_salt", "_rn")
+        )
+    first_two = turns.withColumn("_rn", F.row_number().over(Window.partitionBy("conv_id").orderBy(by_turn))).filter(
+        F.col("_rn") <= 2
     )
     msgs = F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col("role").alias("from"), F.col("text").alias("value"))))
     return first_two.groupBy("conv_id").agg(
