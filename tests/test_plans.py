@@ -1,6 +1,5 @@
 """Physical-plan properties that matter at scale."""
 
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from prefpairs.operators.audit import audit_lines

@@ -11,7 +11,7 @@ from prefpairs.operators.entries import extract_entries
 from prefpairs.operators.pairs import flatten_pairs, generate_pairs, raw_prefix
 from prefpairs.plans import queries as Q
 from prefpairs.sources.adapters import adapt, conversations_to_entries, events_to_entries
-from prefpairs.sources.readers import read_entries, resolve_entries, spread, with_parquet_row_ids
+from prefpairs.sources.readers import read_entries, resolve_entries, spread
 from prefpairs.sources.sinks import peek, write_pairs_table
 from prefpairs.streaming.pairs_stream import run_pairs_stream
 
