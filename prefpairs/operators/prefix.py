@@ -63,8 +63,10 @@ def _refine(keys: DataFrame, k: int, buckets: int, collect_limit: int = COLLECT_
             v = vals[k - below - 1]
             return Rank(value=v, below=below + bisect_left(vals, v), at_most=below + bisect_right(vals, v))
         width = -(-(hi - lo + 1) // buckets)
-        # decimal arithmetic: (k - lo) cannot overflow for any pair of BIGINT values
-        bucket = F.expr(f"(cast(k as decimal(20,0)) - cast({lo} as decimal(20,0))) div {width}")
+        if hi - lo < 2**63 - 1:  # k - lo is in [0, hi - lo]: BIGINT arithmetic cannot overflow
+            bucket = F.expr(f"(k - cast({lo} as bigint)) div cast({width} as bigint)")
+        else:  # a range spanning nearly all of BIGINT
+            bucket = F.expr(f"(cast(k as decimal(20,0)) - cast({lo} as decimal(20,0))) div {width}")
         counts = (
             keys.filter(F.col("k").between(lo, hi))
             .groupBy(bucket.alias("b"))
