@@ -1,7 +1,7 @@
 """End-to-end jobs: generate pairs (source -> pairs -> files -> audit) and prepare
 SFT / DPO training sets (pairs -> projection -> repeatable split -> files).
 
-    python -m prefpairs.plans.job generate --source data.json:json --out OUT [--sample N]
+    python -m prefpairs.plans.job generate --source data.json:json-pos --out OUT [--sample N]
     python -m prefpairs.plans.job prepare --pairs OUT/pairs --kind sft --out OUT/sft
 
 All outputs go under one folder that every executor can reach. Pairs are written once
@@ -34,6 +34,7 @@ def generate(
     out_dir: str,
     cfg: PairConfig = PairConfig(),
     sample_size: int | None = None,
+    single_file: bool = False,
 ) -> dict:
     """Resolve the first readable source (or synthetic entries), optionally keep the first
     ``sample_size`` raw entries and at most ``sample_size`` valid ones, write the pair
@@ -45,7 +46,8 @@ def generate(
     parsed = cap_valid(valid_entries(entries), sample_size)
     table_path = write_pairs_table(pairs_from_parsed(parsed, cfg), os.path.join(out_dir, "pairs"))
     pairs = spark.read.parquet(table_path)
-    jsonl_path = write_jsonl(pairs, os.path.join(out_dir, "pairs.jsonl"))
+    jsonl_path = write_jsonl(pairs.orderBy("entry_id", "strategy_ord") if single_file else pairs,
+                             os.path.join(out_dir, "pairs.jsonl"), single_file=single_file)
     report = summary(spark, jsonl_path, cfg.canvas).first().asDict()
     report.update(generation_stats(entries, cfg, valid_cap=sample_size).first().asDict())
     report.update(source=used, pairs_table=table_path)
@@ -106,7 +108,13 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="prefpairs")
     sub = ap.add_subparsers(dest="cmd", required=True)
     g = sub.add_parser("generate")
-    g.add_argument("--source", action="append", default=[], help="path:format (json|parquet); first readable wins")
+    g.add_argument(
+        "--source",
+        action="append",
+        default=[],
+        help="path:format (parquet, json, json-array, json-pos, json-array-pos); first readable wins",
+    )
+    g.add_argument("--single-file", action="store_true", help="one JSONL file (small outputs only)")
     g.add_argument("--out", required=True)
     g.add_argument("--sample", type=int)
     g.add_argument("--seed", type=int, default=42)
@@ -122,7 +130,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if a.cmd == "generate":
         srcs = [tuple(s.rsplit(":", 1)) if ":" in s else (s, "json") for s in a.source]
-        res = generate(spark, srcs, a.out, PairConfig(seed=a.seed, noise_std=a.noise_std), a.sample)
+        res = generate(spark, srcs, a.out, PairConfig(seed=a.seed, noise_std=a.noise_std), a.sample, a.single_file)
     else:
         res = prepare(spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples)
     print(json.dumps(res, default=str))

@@ -7,8 +7,9 @@ import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefpairs.schema import ENTRY, PAIR
 from prefpairs.sources.adapters import conform
@@ -20,6 +21,9 @@ _ROW_BITS = 40
 # The file-ordinal table is broadcast only below this many files; its size is known
 # exactly on the driver before the join is planned.
 MAX_BROADCAST_FILES = 200_000
+# Same bound for the per-split line-offset table of positional JSON-lines ids.
+MAX_BROADCAST_SPLITS = 200_000
+ENTRY_NO_ID = T.StructType([f for f in ENTRY.fields if f.name != "entry_id"])
 
 
 def _require_ids(entries: DataFrame) -> DataFrame:
@@ -43,10 +47,80 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target)
 
 
-def read_entries_json(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """Entries from JSON lines (default) or a JSON array / multi-line file."""
-    df = spark.read.schema(ENTRY).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
-    return _require_ids(df)
+def read_entries_json(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, ids: str = "column"
+) -> DataFrame:
+    """Entries from JSON lines (default) or JSON array files (``multi_line``).
+
+    ``ids="column"`` takes ``entry_id`` from the records and fails on a record without
+    one. ``ids="position"`` numbers the records by position instead: file ordinal in the
+    high bits, record number within the file (0-based, blank lines skipped) in the low
+    40 bits, so prefixes follow file order as a sequential reader would.
+    """
+    if ids == "column":
+        df = spark.read.schema(ENTRY).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
+        return _require_ids(df)
+    if ids != "position":
+        raise ValueError("ids must be 'column' or 'position'")
+    if multi_line:
+        return _json_array_positions(spark, path)
+    return _json_line_positions(spark, path)
+
+
+def _file_ordinals(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """(normalised file path, ordinal in path order): one row per input file."""
+    files = sorted(re.sub(r"^file:/+", "file:///", f) for f in df.inputFiles())
+    ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _ord long")
+    return F.broadcast(ordinals) if len(files) <= MAX_BROADCAST_FILES else ordinals
+
+
+def _file_path() -> "F.Column":
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+
+
+def _json_line_positions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Positional ids for JSON lines without a line-number column.
+
+    ``monotonically_increasing_id`` is deterministic for a given scan (partition index and
+    row order), so the rows of one input split carry consecutive ids. One pass counts the
+    rows per split; a window over that small table (one row per split) turns counts into
+    each split's first line number within its file; a join puts the offsets back. No row
+    leaves its task except through that split-sized table.
+    """
+    text = spark.read.text(path)
+    lines = text.filter(F.length(F.btrim(F.col("value"))) > 0).select(
+        "value",
+        _file_path().alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_mono"),
+    )
+    splits = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_mono0"))
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(
+        "_file", "_block", "_mono0", F.coalesce(F.sum("_n").over(in_file), F.lit(0)).alias("_first_line")
+    ).join(_file_ordinals(spark, text), "_file")
+    if offsets.count() <= MAX_BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
+    line_no = F.col("_first_line") + (F.col("_mono") - F.col("_mono0"))
+    rows = lines.join(offsets, ["_file", "_block"]).select(
+        (F.shiftleft(F.col("_ord"), _ROW_BITS) + line_no).alias("entry_id"),
+        F.from_json("value", ENTRY_NO_ID).alias("_e"),
+    )
+    return rows.select("entry_id", F.col("_e.conversations").alias("conversations"))
+
+
+def _json_array_positions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Positional ids for JSON array files: each file is one array of records (a JSON
+    array cannot be split, so each file is read by one task)."""
+    files = spark.read.text(path, wholetext=True)
+    parsed = files.select(
+        _file_path().alias("_file"), F.from_json("value", T.ArrayType(ENTRY_NO_ID)).alias("_records")
+    ).join(_file_ordinals(spark, files), "_file")
+    exploded = parsed.select("_ord", F.posexplode("_records").alias("_pos", "_e"))
+    return exploded.select(
+        (F.shiftleft(F.col("_ord"), _ROW_BITS) + F.col("_pos")).alias("entry_id"),
+        F.col("_e.conversations").alias("conversations"),
+    )
 
 
 def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -55,12 +129,8 @@ def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
     One small table of (file path, ordinal) is joined on; it has one row per input file.
     """
     # inputFiles() spells local files "file:///p" where the scan metadata says "file:/p".
-    files = sorted(re.sub(r"^file:/+", "file:///", f) for f in df.inputFiles())
-    ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _ord long")
-    if len(files) <= MAX_BROADCAST_FILES:
-        ordinals = F.broadcast(ordinals)
-    file_path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
-    pos = df.select("*", file_path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    ordinals = _file_ordinals(spark, df)
+    pos = df.select("*", _file_path().alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return (
         pos.join(ordinals, "_file", "left")
         .withColumn("entry_id", F.shiftleft(F.col("_ord"), _ROW_BITS) + F.col("_row"))
@@ -76,11 +146,22 @@ def read_entries_parquet(spark: SparkSession, path: str | list[str]) -> DataFram
     return conform(df)
 
 
+ENTRY_FORMATS = {
+    "json": dict(multi_line=False, ids="column"),          # JSON lines with entry_id
+    "json-array": dict(multi_line=True, ids="column"),     # JSON array files with entry_id
+    "json-pos": dict(multi_line=False, ids="position"),    # JSON lines, ids from line position
+    "json-array-pos": dict(multi_line=True, ids="position"),  # JSON arrays, ids from position
+}
+
+
 def read_entries(spark: SparkSession, path: str | list[str], fmt: str = "json", multi_line: bool = False) -> DataFrame:
+    """Entries in one of: parquet, json, json-array, json-pos, json-array-pos."""
     if fmt == "parquet":
         return read_entries_parquet(spark, path)
-    if fmt == "json":
-        return read_entries_json(spark, path, multi_line)
+    if fmt in ENTRY_FORMATS:
+        opts = dict(ENTRY_FORMATS[fmt])
+        opts["multi_line"] = opts["multi_line"] or multi_line
+        return read_entries_json(spark, path, **opts)
     raise ValueError(f"unsupported entry format {fmt!r}")
 
 

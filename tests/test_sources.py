@@ -172,3 +172,37 @@ def test_conversations_hot_key_salted(spark):
     assert got == want
     plan = conversations_to_entries(hot, salt_buckets=4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 4
+
+
+def test_positional_ids_for_json_without_ids(spark, tmp_out):
+    """Id-less JSON lines get file-ordinal << 40 | line number, exact even when a file
+    is read as several splits; JSON arrays get their array position."""
+    import glob
+
+    src = os.path.join(tmp_out, "lines")
+    os.makedirs(src)
+    rows = events_to_entries(spark.read.parquet(f"{SF001}/events.parquet")).orderBy("entry_id").collect()
+    for k in range(3):                                   # three files, blank lines inside
+        with open(os.path.join(src, f"part-{k}.json"), "w") as f:
+            for r in rows[k::3]:
+                conv = [{"from": m["from"], "value": m.value} for m in r.conversations]
+                f.write(json.dumps({"conversations": conv}) + ("\n\n" if r.entry_id % 50 == 0 else "\n"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")   # several splits per file
+    try:
+        got = {r.entry_id: r.conversations[0].value for r in read_entries(spark, src, "json-pos").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = {}
+    for ordinal, fname in enumerate(sorted(glob.glob(f"{src}/part-*.json"))):  # noqa: B007
+        lines = [ln for ln in open(fname) if ln.strip()]
+        for i, ln in enumerate(lines):
+            want[(ordinal << 40) | i] = json.loads(ln)["conversations"][0]["value"]
+    assert got == want and len(got) == 1000
+
+    arr = os.path.join(tmp_out, "array.json")
+    recs = [{"conversations": [{"from": "u", "value": f"q{i}"}, {"from": "a", "value": "COMPLETE"}]} for i in range(5)]
+    with open(arr, "w") as f:
+        json.dump(recs, f, indent=1)
+    rows = sorted((r.entry_id, r.conversations[0].value) for r in read_entries(spark, arr, "json-array-pos").collect())
+    assert rows == [(i, f"q{i}") for i in range(5)]
