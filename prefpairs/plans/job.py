@@ -16,11 +16,13 @@ import argparse
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from prefpairs import constants as K
+
 from prefpairs.operators.audit import summary
-from prefpairs.operators.entries import valid_entries
+from prefpairs.operators.entries import parse_entries
 from prefpairs.operators.pairs import cap_valid, generation_stats, pairs_from_parsed, raw_prefix
 from prefpairs.operators.training import dpo_projection, max_samples, sft_text, split_exact, train_eval_split
 from prefpairs.schema import PairConfig
@@ -43,13 +45,33 @@ def generate(
     entries = spread(entries)
     if sample_size and not used.startswith("synthetic"):
         entries = raw_prefix(entries, sample_size)
-    parsed = cap_valid(valid_entries(entries), sample_size)
-    table_path = write_pairs_table(pairs_from_parsed(parsed, cfg), os.path.join(out_dir, "pairs"))
+    parsed = parse_entries(entries)
+    observed = None
+    if not sample_size:
+        # Counters ride along with the write instead of costing a second pass.
+        observed = Observation("generation")
+        valid = F.col("skip_reason").isNull()
+        parsed = parsed.observe(
+            observed,
+            F.count_if(~valid).alias("skipped_invalid"),
+            F.count_if(valid).alias("valid_entries"),
+        )
+    ok = cap_valid(parsed.filter(F.col("skip_reason").isNull()).drop("skip_reason"), sample_size)
+    table_path = write_pairs_table(pairs_from_parsed(ok, cfg), os.path.join(out_dir, "pairs"))
     pairs = spark.read.parquet(table_path)
     jsonl_path = write_jsonl(pairs.orderBy("entry_id", "strategy_ord") if single_file else pairs,
                              os.path.join(out_dir, "pairs.jsonl"), single_file=single_file)
     report = summary(spark, jsonl_path, cfg.canvas).first().asDict()
-    report.update(generation_stats(entries, cfg, valid_cap=sample_size).first().asDict())
+    if observed is not None:
+        got = observed.get
+        n_valid = int(got["valid_entries"])
+        report.update(
+            skipped_invalid=int(got["skipped_invalid"]),
+            pairs_spatial=n_valid if K.SPATIAL in cfg.strategies else 0,
+            pairs_logical=n_valid if K.LOGICAL in cfg.strategies else 0,
+        )
+    else:
+        report.update(generation_stats(entries, cfg, valid_cap=sample_size).first().asDict())
     report.update(source=used, pairs_table=table_path)
     return report
 
