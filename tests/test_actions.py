@@ -35,6 +35,7 @@ UNPARSEABLE = [
     "CLICK: (1,2,3)", "CLICK: (1)", "CLICK:", "CLICK: (a, b)", "CLICK: (nan, 1)", "CLICK: (inf,1)",
     "CLICK: (1e3, 5d)", "CLICK: (1,2) ok", "click: (1,2)", "CLICK (1,2)", "xCLICK: (1,2)",
     "SCROLL: up", "STOP", "", "   ", "CLICK: (1__0, 2)", "CLICK: (_1, 2)", "CLICK: (1e30, 2)",
+    "CLICK: (._5, 1)", "CLICK: (5._1, 1)", "CLICK: (1_, 1)", "CLICK: (+_1, 1)",
 ]
 
 
