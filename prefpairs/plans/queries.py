@@ -204,7 +204,12 @@ def q_jsonl_audit(spark, sf_dir):
 
 
 def q_pairs_streamed(spark, sf_dir):
-    out = run_pairs_stream(spark, os.path.join(sf_dir, "events.parquet"), scratch_path(spark, "pairs-stream"))
+    out = run_pairs_stream(
+        spark,
+        os.path.join(sf_dir, "events.parquet"),
+        scratch_path(spark, "pairs-stream"),
+        spread_to=spark.sparkContext.defaultParallelism,  # the test tables are one row group
+    )
     return pairs.flatten_pairs(spark.read.parquet(out))
 
 

@@ -48,13 +48,19 @@ def run_pairs_stream(
     cfg: PairConfig = PairConfig(),
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
+    spread_to: int | None = None,
 ) -> str:
     """Process everything available at ``source_path`` into Parquet at ``out_path`` and
     stop (``availableNow`` trigger, in micro-batches of ``max_files_per_trigger`` files).
     Re-running with the same checkpoint processes only files not seen before.
-    Returns ``out_path``."""
+    ``spread_to`` redistributes each micro-batch round-robin over that many tasks, for
+    sources whose batches are coarser than the task slots (e.g. one large row group);
+    leave it unset when batches already hold many splits. Returns ``out_path``."""
+    source = stream_source(spark, source_path, max_files_per_trigger)
+    if spread_to:
+        source = source.repartition(spread_to)
     query = (
-        pairs_stream(stream_source(spark, source_path, max_files_per_trigger), to_entries, cfg)
+        pairs_stream(source, to_entries, cfg)
         .writeStream.format("parquet")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint or out_path.rstrip("/") + "-checkpoint")
