@@ -112,12 +112,16 @@ def _prefix_predicate(keys: DataFrame, cols: list[str], n: int, buckets: int) ->
     rank = _refine(keys.select(key.alias("k")).filter(F.col("k").isNotNull()), n, buckets)
     if rank is None:  # fewer rows than n: everything with a key
         return key.isNotNull()
-    if rank.at_most == n or len(cols) == 1:
+    if rank.at_most == n:
         return key <= F.lit(rank.value)
+    if len(cols) == 1:
+        raise ValueError(f"ordering key is not unique: {rank.at_most - rank.below} rows share the value at position {n}")
     m = n - rank.below
     ties = keys.filter(key == F.lit(rank.value)).dropna()
     if rank.at_most - rank.below <= COLLECT_LIMIT:
         rows = sorted(tuple(r) for r in ties.select(*cols[1:]).collect())
+        if m < len(rows) and rows[m] == rows[m - 1]:
+            raise ValueError(f"ordering key is not unique at position {n}")
         rest = _lex_at_most(cols[1:], rows[m - 1])
     else:
         rest = _prefix_predicate(ties, cols[1:], m, buckets)

@@ -93,3 +93,13 @@ def test_first_n_distributed_rounds(spark, monkeypatch):
         got = sorted(map(tuple, P.first_n(df, ["a", "b", "c"], n, buckets=16).collect()))
         want = sorted(map(tuple, df.orderBy("a", "b", "c").limit(n).collect()))
         assert got == want, n
+
+
+def test_first_n_rejects_ambiguous_keys(spark):
+    df = spark.createDataFrame([(1, 0), (2, 0), (2, 0), (3, 0)], "a long, b long")
+    assert sorted(r.a for r in first_n(df, ["a"], 1).collect()) == [1]
+    assert sorted(r.a for r in first_n(df, ["a"], 3).collect()) == [1, 2, 2]
+    with pytest.raises(ValueError, match="not unique"):
+        first_n(df, ["a"], 2)
+    with pytest.raises(ValueError, match="not unique"):
+        first_n(df, ["a", "b"], 2)
