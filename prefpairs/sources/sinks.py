@@ -44,3 +44,14 @@ def peek(df: DataFrame, order_cols: list[str], n: int = 3, pretty: bool = True)
     head = first_n(df, order_cols, n)
     body = F.to_json(F.struct(*[c for c in df.columns if c not in order_cols]), {"pretty": "true"} if pretty else {})
     return head.select(*order_cols, body.alias("json")).orderBy(*order_cols)
+
+
+def preview(df: DataFrame, order_cols: list[str], n: int = 1, width: int = 80) -> DataFrame:
+    """The first ``n`` rows by ``order_cols`` with every string column cut to ``width``
+    characters (whole rows are never materialised on the driver; only these n)."""
+    head = first_n(df, order_cols, n)
+    cols = [
+        F.substring(F.col(f.name), 1, width).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    return head.select(*cols).orderBy(*order_cols)

@@ -12,7 +12,7 @@ from prefpairs.operators.pairs import flatten_pairs, generate_pairs, raw_prefix
 from prefpairs.plans import queries as Q
 from prefpairs.sources.adapters import adapt, conversations_to_entries, events_to_entries
 from prefpairs.sources.readers import read_entries, resolve_entries, spread
-from prefpairs.sources.sinks import peek, write_pairs_table
+from prefpairs.sources.sinks import peek, preview, write_pairs_table
 from prefpairs.streaming.pairs_stream import run_pairs_stream
 
 
@@ -206,3 +206,11 @@ def test_positional_ids_for_json_without_ids(spark, tmp_out):
         json.dump(recs, f, indent=1)
     rows = sorted((r.entry_id, r.conversations[0].value) for r in read_entries(spark, arr, "json-array-pos").collect())
     assert rows == [(i, f"q{i}") for i in range(5)]
+
+
+def test_preview_truncates(spark):
+    ev = events_to_entries(spark.read.parquet(f"{SF001}/events.parquet"))
+    p = flatten_pairs(generate_pairs(ev)).select("entry_id", "strategy_ord", "prompt", "chosen")
+    row = preview(p, ["entry_id", "strategy_ord"], 1, width=10).first()
+    full = p.orderBy("entry_id", "strategy_ord").first()
+    assert row.prompt == full.prompt[:10] and row.entry_id == full.entry_id
