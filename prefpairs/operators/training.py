@@ -10,6 +10,8 @@ an entry share prompt and chosen, so they still land together.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +60,12 @@ def train_eval_split(
     return df.withColumn("split", F.when(frac < F.lit(float(ratio)), F.lit(TRAIN)).otherwise(F.lit(EVAL)))
 
 
+def eval_count(n_rows: int, ratio: float = K.DEFAULT_SPLIT_RATIO) -> int:
+    """Eval rows of a ``train_test_split(test_size=1 - ratio)``: ``ceil(test_size * n)``,
+    with ``1 - ratio`` in floating point as the original computes it (20 rows -> 2)."""
+    return math.ceil((1.0 - ratio) * n_rows)
+
+
 def split_exact(
     df: DataFrame,
     n_eval: int,

@@ -24,7 +24,14 @@ from prefpairs import constants as K
 from prefpairs.operators.audit import summary
 from prefpairs.operators.entries import parse_entries
 from prefpairs.operators.pairs import cap_valid, generation_stats, pairs_from_parsed, raw_prefix
-from prefpairs.operators.training import dpo_projection, max_samples, sft_text, split_exact, train_eval_split
+from prefpairs.operators.training import (
+    dpo_projection,
+    eval_count,
+    max_samples,
+    sft_text,
+    split_exact,
+    train_eval_split,
+)
 from prefpairs.schema import PairConfig
 from prefpairs.sources.readers import read_pairs_jsonl, resolve_entries, spread
 from prefpairs.sources.sinks import write_jsonl, write_pairs_table
@@ -97,12 +104,14 @@ def prepare(
     n_eval: int | None = None,
     limit: int | None = None,
     seed: int = 42,
+    exact: bool = False,
 ) -> dict:
     """SFT (``text``) or DPO (prompt, chosen, rejected) rows with a ``split`` column,
     written as Parquet partitioned by split. Keyed input splits by entry (no leak
     between the two pairs of an entry); JSON lines, which carry no ids, split by the
     prompt+chosen content, which groups the same way. ``limit`` (the first pairs in
-    generation order) needs the keyed table."""
+    generation order) needs the keyed table. ``exact`` fixes the eval size at
+    ``ceil((1 - split_ratio) * rows)`` like a library train/test split."""
     pairs, keyed = load_pairs(spark, pairs_path)
     if limit:
         if not keyed:
@@ -111,6 +120,8 @@ def prepare(
     key = "entry" if keyed else "content"
     keep = ("entry_id", "strategy_ord") if keyed else ()
     rows = sft_text(pairs, keep=keep + (("prompt", "chosen") if not keyed else ())) if kind == "sft" else dpo_projection(pairs, keep=keep)
+    if exact and n_eval is None:
+        n_eval = eval_count(rows.count(), split_ratio)
     if n_eval is not None:
         if not keyed:
             raise ValueError("an exact eval size needs the keyed pair table (rows need a unique order)")
@@ -148,13 +159,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--split-ratio", type=float, default=0.9)
     p.add_argument("--n-eval", type=int)
     p.add_argument("--max-samples", type=int)
+    p.add_argument("--exact", action="store_true", help="eval size = ceil((1 - split ratio) * rows)")
     a = ap.parse_args(argv)
     spark = build_session()
     if a.cmd == "generate":
         srcs = [tuple(s.rsplit(":", 1)) if ":" in s else (s, "json") for s in a.source]
         res = generate(spark, srcs, a.out, PairConfig(seed=a.seed, noise_std=a.noise_std), a.sample, a.single_file)
     else:
-        res = prepare(spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples)
+        res = prepare(spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples, exact=a.exact)
     print(json.dumps(res, default=str))
 
 

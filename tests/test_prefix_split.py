@@ -103,3 +103,10 @@ def test_first_n_rejects_ambiguous_keys(spark):
         first_n(df, ["a"], 2)
     with pytest.raises(ValueError, match="not unique"):
         first_n(df, ["a", "b"], 2)
+
+
+def test_eval_count_matches_library_rule():
+    from prefpairs.operators.training import eval_count
+
+    assert [eval_count(n) for n in (10, 20, 16668, 0)] == [1, 2, 1667, 0]
+    assert eval_count(100, 0.75) == 25

@@ -116,6 +116,8 @@ def test_generate_and_prepare_jobs(spark, tmp_out):
     assert sft["train"] + sft["eval"] == 1702
     dpo = prepare(spark, rep["pairs_table"], os.path.join(tmp_out, "dpo"), "dpo", n_eval=100, limit=1000)
     assert dpo == {"train": 900, "eval": 100}
+    ex = prepare(spark, rep["pairs_table"], os.path.join(tmp_out, "dpo_exact"), "dpo", exact=True)
+    assert ex == {"train": 1702 - 171, "eval": 171}
     from_jsonl = prepare(spark, os.path.join(tmp_out, "run", "pairs.jsonl"), os.path.join(tmp_out, "sft2"), "sft")
     assert from_jsonl["train"] + from_jsonl["eval"] == 1702
     sample = generate(spark, [(src, "json")], os.path.join(tmp_out, "run2"), sample_size=100)
