@@ -25,9 +25,6 @@ _DISPATCH = (
     (K.INCOMPLETE, K.INCOMPLETE),
 )
 
-PARSED_FIELDS = ("action_type", "x", "y", "text")
-
-
 def action_tag(action: Column) -> Column:
     """The tag whose prefix the (stripped) action string starts with, else NULL."""
     expr = None

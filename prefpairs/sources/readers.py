@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefpairs.functions.text import py_strip
 from prefpairs.schema import ENTRY, PAIR
 from prefpairs.sources.adapters import conform
 from prefpairs.sources.synthetic import synthetic_entries
@@ -88,7 +89,7 @@ def _json_line_positions(spark: SparkSession, path: str | list[str]) -> DataFram
     leaves its task except through that split-sized table.
     """
     text = spark.read.text(path)
-    lines = text.filter(F.length(F.btrim(F.col("value"))) > 0).select(
+    lines = text.filter(F.length(py_strip(F.col("value"))) > 0).select(
         "value",
         _file_path().alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),

@@ -188,7 +188,7 @@ def test_positional_ids_for_json_without_ids(spark, tmp_out):
         with open(os.path.join(src, f"part-{k}.json"), "w") as f:
             for r in rows[k::3]:
                 conv = [{"from": m["from"], "value": m.value} for m in r.conversations]
-                f.write(json.dumps({"conversations": conv}) + ("\n\n" if r.entry_id % 50 == 0 else "\n"))
+                f.write(json.dumps({"conversations": conv}) + ("\n \t\n\n" if r.entry_id % 50 == 0 else "\n"))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")   # several splits per file
     try:
