@@ -46,17 +46,22 @@ def pairs_from_parsed(parsed: DataFrame, cfg: PairConfig = PairConfig()) -> Data
     for _, st in strategies:
         if st.prepare is not None:
             df = st.prepare(df, cfg)
+    # The generator only multiplies rows; each pair row then builds its own strategy's
+    # rejected action. A consumer that does not read `rejected` (prefix keys, SFT text)
+    # lets column pruning drop the noise and the formatting altogether.
     variants = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("strategy_ord"),
-                F.lit(name).alias("rejection_strategy"),
-                st.rejected(cfg).alias("rejected"),
-            )
-            for i, (name, st) in enumerate(strategies)
+            F.struct(F.lit(i).alias("strategy_ord"), F.lit(name).alias("rejection_strategy"))
+            for i, (name, _) in enumerate(strategies)
         ]
     )
-    out = df.select("entry_id", "action_type", "prompt", "chosen", F.inline(variants))
+    rejected = None
+    for i, (_, st) in enumerate(strategies):
+        cond = F.col("strategy_ord") == F.lit(i)
+        rejected = F.when(cond, st.rejected(cfg)) if rejected is None else rejected.when(cond, st.rejected(cfg))
+    out = df.select(*df.columns, F.inline(variants)).select(
+        "entry_id", "action_type", "prompt", "chosen", "strategy_ord", "rejection_strategy", rejected.alias("rejected")
+    )
     if cfg.drop_degenerate:
         out = out.filter(F.col("rejected") != F.col("chosen"))
     return out.select(

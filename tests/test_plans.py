@@ -41,3 +41,11 @@ def test_audit_is_one_aggregate(spark):
     plan = _plan(audit_lines(pair_lines(generate_pairs(events_to_entries(ev)))))
     assert plan.count("HashAggregate") == 2      # partial + final
     assert plan.count("Exchange") == 1 and "SinglePartition" in plan
+
+
+def test_unread_rejections_are_pruned(spark):
+    """Selecting only keys (prefix selection) or SFT text does not compute the noise."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    pairs = generate_pairs(events_to_entries(ev))
+    keys = pairs.select("entry_id", "strategy_ord")._jdf.queryExecution().optimizedPlan().toString()
+    assert keys.count("md5(") == 0
