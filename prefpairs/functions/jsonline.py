@@ -5,8 +5,10 @@ twice closes that gap: ``[line]`` is valid only for a comma list of values and
 ``{"v": line}`` only for one value followed by optional members, so both together hold
 exactly for a single JSON value. Blank lines fail both, as ``json.loads`` fails them.
 
-Known differences from Python: ``NaN``/``Infinity`` literals and duplicate object keys
-are accepted by Python and rejected here (counted as JSON errors).
+Known differences from Python: ``NaN``/``Infinity`` literals are accepted by Python and
+counted as JSON errors here. Duplicate object keys keep the last value, as in Python,
+when ``spark.sql.variant.allowDuplicateKeys`` is on (``build_session`` sets it);
+otherwise they are JSON errors too.
 """
 
 from __future__ import annotations

@@ -35,6 +35,9 @@ def build_session(
         # call site for each one costs ~10 driver round trips per call. Errors still
         # carry the Spark-side context.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # JSON objects with a repeated key keep the last value, as Python's json.loads
+        # does (the audit then agrees with the original on such lines).
+        "spark.sql.variant.allowDuplicateKeys": "true",
     }
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory

@@ -22,6 +22,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
