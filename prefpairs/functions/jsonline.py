@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefpairs.constants import CLICK, LONG_PRESS
-from prefpairs.functions.text import INT_LITERAL, py_strip
+from prefpairs.functions.text import INT_LITERAL, ascii_digits, py_strip
 
 
 def wrapped_variant(line: Column) -> Column:
@@ -63,8 +63,8 @@ def with_coord_check(df: DataFrame, action_col: str, out_col: str, width: int, h
     two = F.size("_c_parts") == 2
     s = s.select(
         *keep,
-        F.when(two, py_strip(F.get(F.col("_c_parts"), 0))).alias("_c_x"),
-        F.when(two, py_strip(F.get(F.col("_c_parts"), 1))).alias("_c_y"),
+        F.when(two, ascii_digits(py_strip(F.get(F.col("_c_parts"), 0)))).alias("_c_x"),
+        F.when(two, ascii_digits(py_strip(F.get(F.col("_c_parts"), 1)))).alias("_c_y"),
     )
     tx, ty = F.col("_c_x"), F.col("_c_y")
     countable = tx.rlike(INT_LITERAL) & ty.rlike(INT_LITERAL)
