@@ -1,8 +1,10 @@
 """Pair generation: one valid entry -> one row per selected rejection strategy.
 
-The plan is scan -> project (extract, parse, format, noise) -> filter -> Generate(inline),
-all in one stage with no shuffle. Every strategy is an element of one array, so the
-entry is parsed once for all of them.
+The plan is scan -> project (extract, parse) -> filter -> project (prompt, chosen,
+strategy inputs such as the noise) -> Generate(inline) -> project (rejected), all in one
+stage with no shuffle. The generator only multiplies rows by a constant array of
+(strategy_ord, strategy); each pair row then builds its own rejected action, so the
+entry is parsed once for all strategies and unread rejections are pruned.
 """
 
 from __future__ import annotations

@@ -2,9 +2,9 @@
 
 A strategy has an optional ``prepare(df, cfg) -> df`` step that adds helper columns and
 a ``rejected(cfg) -> Column`` builder over the parsed columns (entry_id, action_type, x,
-y, text) plus ``chosen``. Strategies are registered by name; each selected strategy
-contributes one element to the pair array, so one scan and one parse feed all of them
-(no union of branches).
+y, text) plus ``chosen``. Strategies are registered by name; each selected strategy is
+one branch of the per-row ``rejected`` expression after the pair expansion, so one scan
+and one parse feed all of them (no union of branches).
 """
 
 from __future__ import annotations
