@@ -33,7 +33,7 @@ from prefpairs.operators.training import (
     train_eval_split,
 )
 from prefpairs.schema import PairConfig
-from prefpairs.sources.readers import read_pairs_jsonl, resolve_entries, spread
+from prefpairs.sources.readers import dataset_candidates, read_pairs_jsonl, resolve_entries, spread
 from prefpairs.sources.sinks import write_jsonl, write_pairs_table
 
 
@@ -147,6 +147,8 @@ def main(argv: list[str] | None = None) -> None:
         default=[],
         help="path:format (parquet, json, json-array, json-pos, json-array-pos); first readable wins",
     )
+    g.add_argument("--dataset-root", help="folder tried as data.json, train/, validation/, test/, then whole")
+    g.add_argument("--dataset-format", default="parquet", help="format of the split folders")
     g.add_argument("--single-file", action="store_true", help="one JSONL file (small outputs only)")
     g.add_argument("--out", required=True)
     g.add_argument("--sample", type=int)
@@ -164,6 +166,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if a.cmd == "generate":
         srcs = [tuple(s.rsplit(":", 1)) if ":" in s else (s, "json") for s in a.source]
+        if a.dataset_root:
+            srcs += dataset_candidates(a.dataset_root, a.dataset_format)
         res = generate(spark, srcs, a.out, PairConfig(seed=a.seed, noise_std=a.noise_std), a.sample, a.single_file)
     else:
         res = prepare(spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples, exact=a.exact)

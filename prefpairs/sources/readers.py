@@ -166,6 +166,19 @@ def read_entries(spark: SparkSession, path: str | list[str], fmt: str = "json",
     raise ValueError(f"unsupported entry format {fmt!r}")
 
 
+def dataset_candidates(root: str, fmt: str = "parquet", data_file: str = "data.json") -> list[tuple[str, str]]:
+    """The generator's source order for a dataset folder: its data file (id-less JSON
+    lines), then the ``train``, ``validation`` and ``test`` splits, then the whole folder."""
+    root = root.rstrip("/")
+    return [
+        (f"{root}/{data_file}", "json-pos"),
+        (f"{root}/train", fmt),
+        (f"{root}/validation", fmt),
+        (f"{root}/test", fmt),
+        (root, fmt),
+    ]
+
+
 def resolve_entries(
     spark: SparkSession,
     candidates: Iterable[tuple[str, str]],

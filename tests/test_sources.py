@@ -216,3 +216,14 @@ def test_preview_truncates(spark):
     row = preview(p, ["entry_id", "strategy_ord"], 1, width=10).first()
     full = p.orderBy("entry_id", "strategy_ord").first()
     assert row.prompt == full.prompt[:10] and row.entry_id == full.entry_id
+
+
+def test_dataset_candidates_order(spark, tmp_out):
+    from prefpairs.sources.readers import dataset_candidates
+
+    root = os.path.join(tmp_out, "ds")
+    ev = events_to_entries(spark.read.parquet(f"{SF001}/events.parquet"))
+    ev.filter("entry_id < 10").write.parquet(os.path.join(root, "validation"))
+    ev.filter("entry_id >= 10").write.parquet(os.path.join(root, "test"))
+    df, used = resolve_entries(spark, dataset_candidates(root))
+    assert used.endswith("/validation") and df.count() == 10   # no data.json, no train/
