@@ -1,6 +1,7 @@
 """Pair generation: golden synthetic output, adapter counts (FIXTURES 2 and 5), noise
 invariants, determinism under repartitioning."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -78,28 +79,35 @@ def test_degenerate_and_prompt(spark):
     assert kept == 17
 
 
-EXPECTED_SF0001 = {
-    "valid": 851, "CLICK": 206, "TYPE": 193, "LONG_PRESS": 197, "SCROLL": 185, "COMPLETE": 33, "INCOMPLETE": 37,
-    "too_few_messages": 12, "empty_message": 46, "unparseable_action": 91, "out_of_range": 30,
+# FIXTURES section 5: expected outcome counts of the events adapter per scale factor.
+EXPECTED = {
+    "0.001": dict(valid=851, CLICK=206, TYPE=193, LONG_PRESS=197, SCROLL=185, COMPLETE=33, INCOMPLETE=37,
+                  too_few_messages=12, empty_message=46, unparseable_action=91, out_of_range=30),
+    "0.01": dict(valid=8472, CLICK=1967, TYPE=1978, LONG_PRESS=1934, SCROLL=1935, COMPLETE=338, INCOMPLETE=320,
+                 too_few_messages=113, empty_message=421, unparseable_action=994, out_of_range=195),
+    "0.1": dict(valid=84907, CLICK=19416, TYPE=19883, LONG_PRESS=19668, SCROLL=19508, COMPLETE=3231,
+                INCOMPLETE=3201, too_few_messages=1124, empty_message=4244, unparseable_action=9725, out_of_range=1875),
 }
 
 
-def test_event_adapter_counts(spark):
-    ev = spark.read.parquet(f"{SF001}/events.parquet")
+@pytest.mark.parametrize("sf", sorted(EXPECTED))
+def test_event_adapter_counts(spark, sf):
+    ev = spark.read.parquet(f"/root/testdata/sf{sf}/events.parquet")
     p = parse_entries(events_to_entries(ev)).cache()
     reasons = {r.skip_reason: r.n for r in p.groupBy("skip_reason").agg(F.count(F.lit(1)).alias("n")).collect()}
     types = {r.action_type: r.n for r in p.filter("skip_reason is null").groupBy("action_type").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = p.filter("skip_reason is null and (x < 0 or x > 1000 or y < 0 or y > 1000)").count()
-    want = EXPECTED_SF0001
+    want = EXPECTED[sf]
     assert reasons[None] == want["valid"]
     for k in ("too_few_messages", "empty_message", "unparseable_action"):
         assert reasons[k] == want[k]
     for k in ("CLICK", "TYPE", "LONG_PRESS", "SCROLL", "COMPLETE", "INCOMPLETE"):
         assert types[k] == want[k]
     assert out == want["out_of_range"]
-    stats = generation_stats(events_to_entries(ev)).first()
-    assert tuple(stats) == (149, 851, 851)
-    assert generate_pairs(events_to_entries(ev)).count() == 2 * 851
+    skipped = want["too_few_messages"] + want["empty_message"] + want["unparseable_action"]
+    assert tuple(generation_stats(events_to_entries(ev)).first()) == (skipped, want["valid"], want["valid"])
+    assert generate_pairs(events_to_entries(ev)).count() == 2 * want["valid"]
+    p.unpersist()
 
 
 def test_generation_stats_with_cap(spark):
