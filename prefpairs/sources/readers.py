@@ -37,13 +37,14 @@ def _require_ids(entries: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Redistribute round-robin when the scan yields fewer partitions than there are
+    """Redistribute round-robin when the scan yields far fewer partitions than there are
     task slots (e.g. one large Parquet row group), so the per-row parsing, hashing and
-    JSON work uses every core. Inputs that already have enough splits, the normal case
-    on a cluster, are returned untouched and pay no shuffle. Nothing downstream depends
-    on which partition a row lands in (the noise is keyed by entry id)."""
+    JSON work uses every core. Only a gain of at least 4x pays for the shuffle: inputs
+    with more than a quarter as many splits as slots, the normal case on a cluster, are
+    returned untouched. Nothing downstream depends on which partition a row lands in (the
+    noise is keyed by entry id)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() * 4 > target:
         return df
     return df.repartition(target)
 

@@ -101,6 +101,8 @@ def test_spread(spark):
     assert spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(0, 100, 1, 6)
     assert spread(many, 4) is many
+    some = spark.range(0, 100, 1, 3)
+    assert spread(some, 8) is some            # 3 of 8 slots: not worth a shuffle
 
 
 def test_generate_and_prepare_jobs(spark, tmp_out):
