@@ -122,3 +122,33 @@ def test_format_parse_roundtrip(spark):
     back = parse_actions(f, "a").orderBy("i").collect()
     for r, b in zip(rows, back):
         assert (b.action_type, b.x, b.y, b.text) == r
+
+
+def test_format_parse_roundtrip_property(spark):
+    """parse(format(a)) == a for canonical actions (hypothesis, batched per example)."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from prefpairs.constants import PY_WHITESPACE
+
+    coord = st.integers(min_value=-(2**40), max_value=2**40)
+    text = st.text(min_size=0, max_size=30).filter(
+        lambda t: "TYPE:" not in t
+        and (t == "" or (t[0] not in "\"'" + PY_WHITESPACE and t[-1] not in "\"'" + PY_WHITESPACE))
+    )
+    action = st.one_of(
+        st.tuples(st.sampled_from(["CLICK", "LONG_PRESS", "SCROLL"]), coord, coord, st.none()),
+        st.tuples(st.just("TYPE"), st.none(), st.none(), text),
+        st.tuples(st.sampled_from(["COMPLETE", "INCOMPLETE"]), st.none(), st.none(), st.none()),
+    )
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(action, min_size=300, max_size=300))
+    def check(rows):
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, t string, x long, y long, text string")
+        f = df.select("i", format_action(F.col("t"), F.col("x"), F.col("y"), F.col("text")).alias("a"))
+        back = {r.i: (r.action_type, r.x, r.y, r.text) for r in parse_actions(f, "a").collect()}
+        for i, r in enumerate(rows):
+            assert back[i] == r, (r, back[i])
+
+    check()
