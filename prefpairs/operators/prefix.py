@@ -52,13 +52,22 @@ def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = DEFAULT_BUCKETS
         keys.unpersist()
 
 
-def _refine(keys: DataFrame, k: int, buckets: int, collect_limit: int = COLLECT_LIMIT) -> Rank | None:
-    lo, hi, total = keys.agg(F.min("k"), F.max("k"), F.count(F.lit(1))).first()
-    if total == 0 or k > total or k < 1:
+def _refine(
+    keys: DataFrame,
+    k: int,
+    buckets: int,
+    collect_limit: int = COLLECT_LIMIT,
+    bounds: tuple[int, int] | None = None,
+) -> Rank | None:
+    if bounds is None:
+        lo, hi, total = keys.agg(F.min("k"), F.max("k"), F.count(F.lit(1))).first()
+    else:  # every key is known to lie in bounds: the first histogram also counts them
+        (lo, hi), total = bounds, None
+    if total == 0 or k < 1 or (total is not None and k > total):
         return None
     below, in_range = 0, total
     while lo != hi:
-        if in_range <= collect_limit:
+        if in_range is not None and in_range <= collect_limit:
             vals = sorted(r[0] for r in keys.filter(F.col("k").between(lo, hi)).collect())
             v = vals[k - below - 1]
             return Rank(value=v, below=below + bisect_left(vals, v), at_most=below + bisect_right(vals, v))
@@ -73,11 +82,20 @@ def _refine(keys: DataFrame, k: int, buckets: int, collect_limit: int = COLLECT_
             .agg(F.count(F.lit(1)).alias("n"))
             .collect()
         )
-        for b, n in sorted((int(r["b"]), int(r["n"])) for r in counts):
+        hist = sorted((int(r["b"]), int(r["n"])) for r in counts)
+        if in_range is None:  # first round over given bounds
+            in_range = sum(n for _, n in hist)
+            if k > in_range:
+                return None
+        for b, n in hist:
             if below + n >= k:
                 lo, hi, in_range = lo + b * width, min(hi, lo + b * width + width - 1), n
                 break
             below += n
+    if in_range is None:  # bounds of a single value: count it
+        in_range = keys.filter(F.col("k") == F.lit(lo)).count()
+        if k > in_range:
+            return None
     return Rank(value=lo, below=below, at_most=below + in_range)
 
 
@@ -90,26 +108,33 @@ def _lex_at_most(cols: list[str], bound: tuple) -> Column:
 
 
 def first_n_predicate(
-    df: DataFrame, cols: list[str], n: int, buckets: int = DEFAULT_BUCKETS
+    df: DataFrame,
+    cols: list[str],
+    n: int,
+    buckets: int = DEFAULT_BUCKETS,
+    head_bounds: tuple[int, int] | None = None,
 ) -> Column:
     """Predicate selecting exactly the first ``n`` rows of ``df`` ordered by ``cols``.
 
     The key tuple is projected and cached once; every refinement round, including the
-    tie-breaking on later columns, reads only that cache.
+    tie-breaking on later columns, reads only that cache. ``head_bounds`` (inclusive),
+    when every value of the first column is known to lie in it, saves the min/max pass.
     """
     if n <= 0:
         return F.lit(False)
     keys = df.select(*[F.col(c).cast("bigint").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _prefix_predicate(keys, cols, n, buckets)
+        return _prefix_predicate(keys, cols, n, buckets, head_bounds)
     finally:
         keys.unpersist()
 
 
-def _prefix_predicate(keys: DataFrame, cols: list[str], n: int, buckets: int) -> Column:
+def _prefix_predicate(
+    keys: DataFrame, cols: list[str], n: int, buckets: int, head_bounds: tuple[int, int] | None = None
+) -> Column:
     head = cols[0]
     key = F.col(head)
-    rank = _refine(keys.select(key.alias("k")).filter(F.col("k").isNotNull()), n, buckets)
+    rank = _refine(keys.select(key.alias("k")).filter(F.col("k").isNotNull()), n, buckets, bounds=head_bounds)
     if rank is None:  # fewer rows than n: everything with a key
         return key.isNotNull()
     if rank.at_most == n:

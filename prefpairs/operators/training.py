@@ -78,5 +78,5 @@ def split_exact(
     no anti-join and no global sort."""
     rank_col = "_split_rank"
     ranked = df.withColumn(rank_col, F.lit(2**48 - 1) - keyed_bits48(seed, split_key(key), SPLIT_SALT))
-    is_eval = first_n_predicate(ranked, [rank_col, *tiebreak], n_eval)
+    is_eval = first_n_predicate(ranked, [rank_col, *tiebreak], n_eval, head_bounds=(0, 2**48 - 1))
     return ranked.withColumn("split", F.when(is_eval, F.lit(EVAL)).otherwise(F.lit(TRAIN))).drop(rank_col)

@@ -85,7 +85,7 @@ def test_first_n_distributed_rounds(spark, monkeypatch):
     import prefpairs.operators.prefix as P
 
     monkeypatch.setattr(P, "COLLECT_LIMIT", 0)
-    monkeypatch.setattr(P._refine, "__defaults__", (0,))
+    monkeypatch.setattr(P._refine, "__defaults__", (0, None))
     rnd = random.Random(3)
     rows = [(rnd.choice([5, 6, rnd.randint(-10**12, 10**12)]), rnd.randint(0, 9), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "a long, b long, c long")
@@ -110,3 +110,31 @@ def test_eval_count_matches_library_rule():
 
     assert [eval_count(n) for n in (10, 20, 16668, 0)] == [1, 2, 1667, 0]
     assert eval_count(100, 0.75) == 25
+
+
+@pytest.mark.parametrize("n", [1, 37, 2999, 3000, 3001])
+def test_first_n_with_bounds(spark, n):
+    from prefpairs.operators.prefix import first_n_predicate
+
+    rnd = random.Random(n)
+    rows = [(rnd.randint(0, 2**48 - 1), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = sorted(map(tuple, df.filter(first_n_predicate(df, ["a", "b"], n, head_bounds=(0, 2**48 - 1))).collect()))
+    want = sorted(map(tuple, df.orderBy("a", "b").limit(n).collect()))
+    assert got == want
+    single = spark.createDataFrame([(5, i) for i in range(4)], "a long, b long")
+    assert single.filter(first_n_predicate(single, ["a", "b"], 2, head_bounds=(5, 5))).count() == 2
+
+
+def test_first_n_with_bounds_distributed(spark, monkeypatch):
+    import prefpairs.operators.prefix as P
+
+    monkeypatch.setattr(P, "COLLECT_LIMIT", 0)
+    monkeypatch.setattr(P._refine, "__defaults__", (0, None))
+    rnd = random.Random(5)
+    rows = [(rnd.choice([7, rnd.randint(0, 2**48 - 1)]), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    for n in (1, 700, 1999, 2000):
+        got = sorted(map(tuple, df.filter(P.first_n_predicate(df, ["a", "b"], n, buckets=8, head_bounds=(0, 2**48 - 1))).collect()))
+        want = sorted(map(tuple, df.orderBy("a", "b").limit(n).collect()))
+        assert got == want, n
