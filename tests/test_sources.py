@@ -229,3 +229,15 @@ def test_dataset_candidates_order(spark, tmp_out):
     ev.filter("entry_id >= 10").write.parquet(os.path.join(root, "test"))
     df, used = resolve_entries(spark, dataset_candidates(root))
     assert used.endswith("/validation") and df.count() == 10   # no data.json, no train/
+
+
+def test_cli_generate_and_prepare(spark, tmp_out, capsys):
+    from prefpairs.plans.job import main
+
+    out = os.path.join(tmp_out, "cli")
+    main(["generate", "--source", os.path.join(tmp_out, "missing.json") + ":json-pos", "--out", out, "--single-file"])
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rep["source"] == "synthetic:10" and rep["valid_pairs"] == 20 and rep["action_click"] == 22
+    main(["prepare", "--pairs", rep["pairs_table"], "--out", os.path.join(tmp_out, "sft"), "--kind", "sft", "--exact"])
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts == {"train": 18, "eval": 2}
