@@ -187,3 +187,22 @@ def test_bad_rows_do_not_fail_job(spark):
     assert got[4].skip_reason == "empty_message" and got[8].skip_reason == "empty_message"
     assert got[5].skip_reason is None and got[5].instruction == ""   # blank passes the emptiness test
     assert got[6].skip_reason == got[7].skip_reason == "unparseable_action"
+
+
+def test_custom_canvas(spark):
+    """A non-default canvas bounds the perturbation and the audit's range check."""
+    w, h = 1080, 2400
+    rows = [(i, [("user", "u"), ("assistant", f"CLICK: ({(i * 37) % (w + 1)}, {(i * 91) % (h + 1)})")]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "entry_id long, conversations array<struct<from:string, value:string>>")
+    cfg = PairConfig(strategies=(K.SPATIAL,), canvas=(w, h))
+    sp = flatten_pairs(generate_pairs(df, cfg))
+    pts = sp.select(
+        F.regexp_extract("rejected", r"\((\d+), (\d+)\)", 1).cast("long").alias("x"),
+        F.regexp_extract("rejected", r"\((\d+), (\d+)\)", 2).cast("long").alias("y"),
+        F.col("rejected") == F.col("chosen"),
+    )
+    st = pts.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.count_if(F.col("(rejected = chosen)"))).first()
+    assert st[0] >= 0 and st[1] <= w and st[2] >= 0 and st[3] <= h and st[4] == 0
+    assert st[3] > 1000                                      # the taller canvas is used
+    counts = audit_lines(pair_lines(generate_pairs(df, cfg)), canvas=(w, h)).first()
+    assert counts.invalid_coords == 0 and counts.valid_coords == 2 * 3000
