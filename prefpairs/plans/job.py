@@ -44,6 +44,7 @@ def generate(
     cfg: PairConfig = PairConfig(),
     sample_size: int | None = None,
     single_file: bool = False,
+    python_bytes: bool = False,
 ) -> dict:
     """Resolve the first readable source (or synthetic entries), optionally keep the first
     ``sample_size`` raw entries and at most ``sample_size`` valid ones, write the pair
@@ -67,7 +68,7 @@ def generate(
     table_path = write_pairs_table(pairs_from_parsed(ok, cfg), os.path.join(out_dir, "pairs"))
     pairs = spark.read.parquet(table_path)
     jsonl_path = write_jsonl(pairs.orderBy("entry_id", "strategy_ord") if single_file else pairs,
-                             os.path.join(out_dir, "pairs.jsonl"), single_file=single_file)
+                             os.path.join(out_dir, "pairs.jsonl"), single_file=single_file, python_bytes=python_bytes)
     report = summary(spark, jsonl_path, cfg.canvas).first().asDict()
     if observed is not None:
         got = observed.get
@@ -150,6 +151,7 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--dataset-root", help="folder tried as data.json, train/, validation/, test/, then whole")
     g.add_argument("--dataset-format", default="parquet", help="format of the split folders")
     g.add_argument("--single-file", action="store_true", help="one JSONL file (small outputs only)")
+    g.add_argument("--python-bytes", action="store_true", help="write lines exactly as json.dumps does")
     g.add_argument("--out", required=True)
     g.add_argument("--sample", type=int)
     g.add_argument("--seed", type=int, default=42)
@@ -168,7 +170,9 @@ def main(argv: list[str] | None = None) -> None:
         srcs = [tuple(s.rsplit(":", 1)) if ":" in s else (s, "json") for s in a.source]
         if a.dataset_root:
             srcs += dataset_candidates(a.dataset_root, a.dataset_format)
-        res = generate(spark, srcs, a.out, PairConfig(seed=a.seed, noise_std=a.noise_std), a.sample, a.single_file)
+        res = generate(
+            spark, srcs, a.out, PairConfig(seed=a.seed, noise_std=a.noise_std), a.sample, a.single_file, a.python_bytes
+        )
     else:
         res = prepare(spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples, exact=a.exact)
     print(json.dumps(res, default=str))
