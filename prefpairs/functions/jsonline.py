@@ -6,7 +6,7 @@ twice closes that gap: ``[line]`` is valid only for a comma list of values and
 exactly for a single JSON value. Blank lines fail both, as ``json.loads`` fails them.
 
 Known differences from Python: ``NaN``/``Infinity`` literals are accepted by Python and
-counted as JSON errors here. Duplicate object keys keep the last value, as in Python,
+counted as JSON errors here (the audit's opt-in ``python_lane`` re-checks such lines). Duplicate object keys keep the last value, as in Python,
 when ``spark.sql.variant.allowDuplicateKeys`` is on (``build_session`` sets it);
 otherwise they are JSON errors too.
 """

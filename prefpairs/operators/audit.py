@@ -14,6 +14,10 @@ is an invalid pair; a non-string chosen/rejected adds no coordinate or family co
 
 from __future__ import annotations
 
+import functools
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,20 +35,59 @@ from prefpairs.functions.jsonline import (
 FAMILIES = ("action_click", "action_type", "action_long_press", "action_scroll")
 
 
-def classify_lines(lines: DataFrame, line_col: str = "value", canvas: tuple[int, int] = K.DEFAULT_CANVAS) -> DataFrame:
+def _python_verdicts(lines: pd.Series) -> pd.DataFrame:
+    """json.loads verdicts for the lines the JVM check rejected (NULL for the others)."""
+    kinds, chosen, rejected = [], [], []
+    for line in lines:
+        k = c = r = None
+        if line is not None:
+            try:
+                obj = json.loads(line)
+            except json.JSONDecodeError:
+                k = "json_error"
+            else:
+                ok = isinstance(obj, dict) and all(key in obj for key in ("prompt", "chosen", "rejected"))
+                k = "valid" if ok else "invalid"
+                if ok:
+                    c = obj["chosen"] if isinstance(obj["chosen"], str) else None
+                    r = obj["rejected"] if isinstance(obj["rejected"], str) else None
+        kinds.append(k)
+        chosen.append(c)
+        rejected.append(r)
+    return pd.DataFrame({"kind": kinds, "chosen": chosen, "rejected": rejected})
+
+
+@functools.cache
+def _python_lane():
+    # Built on first use: a pandas UDF needs an active session to be created.
+    return F.pandas_udf(_python_verdicts, "kind string, chosen string, rejected string")
+
+
+def classify_lines(
+    lines: DataFrame,
+    line_col: str = "value",
+    canvas: tuple[int, int] = K.DEFAULT_CANVAS,
+    python_lane: bool = False,
+) -> DataFrame:
     """Per line: kind in {valid, invalid, json_error}, and for valid pairs the coordinate
     verdict and family of chosen and rejected. Each stage is its own projection so the
-    JSON is parsed once per line."""
+    JSON is parsed once per line.
+
+    ``python_lane`` re-checks the lines the JVM rejects with ``json.loads`` (NaN and
+    Infinity literals, duplicate keys in any session). Accepted lines reach it as NULL,
+    so on well-formed data almost nothing crosses to Python.
+    """
     w_, h_ = canvas
     parsed = lines.select(
         F.col(line_col).alias("line"),
         wrapped_variant(F.col(line_col)).alias("w"),
     )
     checked = parsed.select(
+        "line",
         "w",
         is_strict_json(F.col("line"), F.col("w")).alias("ok"),
     )
-    kinds = checked.select(
+    fast_kind = (
         F.when(~F.col("ok"), F.lit("json_error"))
         .when(
             is_object(F.col("w"))
@@ -54,10 +97,24 @@ def classify_lines(lines: DataFrame, line_col: str = "value", canvas: tuple[int,
             F.lit("valid"),
         )
         .otherwise(F.lit("invalid"))
-        .alias("kind"),
-        F.when(F.col("ok"), string_field(F.col("w"), "chosen")).alias("chosen"),
-        F.when(F.col("ok"), string_field(F.col("w"), "rejected")).alias("rejected"),
     )
+    fast_chosen = F.when(F.col("ok"), string_field(F.col("w"), "chosen"))
+    fast_rejected = F.when(F.col("ok"), string_field(F.col("w"), "rejected"))
+    if python_lane:
+        slow = checked.select(
+            "ok",
+            fast_kind.alias("_k"),
+            fast_chosen.alias("_c"),
+            fast_rejected.alias("_r"),
+            _python_lane()(F.when(~F.col("ok"), F.col("line"))).alias("_py"),
+        )
+        kinds = slow.select(
+            F.when(F.col("ok"), F.col("_k")).otherwise(F.col("_py.kind")).alias("kind"),
+            F.when(F.col("ok"), F.col("_c")).otherwise(F.col("_py.chosen")).alias("chosen"),
+            F.when(F.col("ok"), F.col("_r")).otherwise(F.col("_py.rejected")).alias("rejected"),
+        )
+    else:
+        kinds = checked.select(fast_kind.alias("kind"), fast_chosen.alias("chosen"), fast_rejected.alias("rejected"))
     valid = F.col("kind") == "valid"
     checked = with_coord_check(kinds, "chosen", "chosen_coords_ok", w_, h_)
     checked = with_coord_check(checked, "rejected", "rejected_coords_ok", w_, h_)
@@ -70,11 +127,16 @@ def classify_lines(lines: DataFrame, line_col: str = "value", canvas: tuple[int,
     )
 
 
-def audit_lines(lines: DataFrame, line_col: str = "value", canvas: tuple[int, int] = K.DEFAULT_CANVAS) -> DataFrame:
+def audit_lines(
+    lines: DataFrame,
+    line_col: str = "value",
+    canvas: tuple[int, int] = K.DEFAULT_CANVAS,
+    python_lane: bool = False,
+) -> DataFrame:
     """One row with valid_pairs, invalid_pairs, json_errors, valid_coords,
     invalid_coords, action_click, action_type, action_long_press, action_scroll
-    (all BIGINT, 0 on empty input)."""
-    c = classify_lines(lines, line_col, canvas)
+    (all BIGINT, 0 on empty input). See ``classify_lines`` for ``python_lane``."""
+    c = classify_lines(lines, line_col, canvas, python_lane)
     kind = F.col("kind")
     cc, rc = F.col("chosen_coords_ok"), F.col("rejected_coords_ok")
     cf, rf = F.col("chosen_family"), F.col("rejected_family")
@@ -88,9 +150,9 @@ def audit_lines(lines: DataFrame, line_col: str = "value", canvas: tuple[int, in
     )
 
 
-def audit_file(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS) -> DataFrame:
+def audit_file(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS, python_lane: bool = False) -> DataFrame:
     """Audit a written JSONL file or folder (read back as raw lines)."""
-    return audit_lines(spark.read.text(path), "value", canvas)
+    return audit_lines(spark.read.text(path), "value", canvas, python_lane)
 
 
 def summary(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS) -> DataFrame:
