@@ -155,10 +155,10 @@ def audit_file(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS, pyt
     return audit_lines(spark.read.text(path), "value", canvas, python_lane)
 
 
-def summary(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS) -> DataFrame:
+def summary(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS, python_lane: bool = False) -> DataFrame:
     """The end-of-run report as one row: output path plus all nine counters
     (``invalid_pairs`` included, which the original counted but never printed)."""
-    return audit_file(spark, path, canvas).select(F.lit(path).alias("output_path"), "*")
+    return audit_file(spark, path, canvas, python_lane).select(F.lit(path).alias("output_path"), "*")
 
 
 def pair_actions(pairs: DataFrame) -> DataFrame:

@@ -45,6 +45,7 @@ def generate(
     sample_size: int | None = None,
     single_file: bool = False,
     python_bytes: bool = False,
+    python_lane: bool = False,
 ) -> dict:
     """Resolve the first readable source (or synthetic entries), optionally keep the first
     ``sample_size`` raw entries and at most ``sample_size`` valid ones, write the pair
@@ -69,7 +70,7 @@ def generate(
     pairs = spark.read.parquet(table_path)
     jsonl_path = write_jsonl(pairs.orderBy("entry_id", "strategy_ord") if single_file else pairs,
                              os.path.join(out_dir, "pairs.jsonl"), single_file=single_file, python_bytes=python_bytes)
-    report = summary(spark, jsonl_path, cfg.canvas).first().asDict()
+    report = summary(spark, jsonl_path, cfg.canvas, python_lane).first().asDict()
     if observed is not None:
         got = observed.get
         n_valid = int(got["valid_entries"])
@@ -152,6 +153,7 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--dataset-format", default="parquet", help="format of the split folders")
     g.add_argument("--single-file", action="store_true", help="one JSONL file (small outputs only)")
     g.add_argument("--python-bytes", action="store_true", help="write lines exactly as json.dumps does")
+    g.add_argument("--python-lane", action="store_true", help="audit rejected lines with json.loads")
     g.add_argument("--out", required=True)
     g.add_argument("--sample", type=int)
     g.add_argument("--seed", type=int, default=42)
@@ -171,7 +173,14 @@ def main(argv: list[str] | None = None) -> None:
         if a.dataset_root:
             srcs += dataset_candidates(a.dataset_root, a.dataset_format)
         res = generate(
-            spark, srcs, a.out, PairConfig(seed=a.seed, noise_std=a.noise_std), a.sample, a.single_file, a.python_bytes
+            spark,
+            srcs,
+            a.out,
+            PairConfig(seed=a.seed, noise_std=a.noise_std),
+            a.sample,
+            a.single_file,
+            a.python_bytes,
+            a.python_lane,
         )
     else:
         res = prepare(spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples, exact=a.exact)
