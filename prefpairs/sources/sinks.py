@@ -34,19 +34,32 @@ def python_json_lines(pairs: DataFrame) -> DataFrame:
     return pairs.select(_dumps_udf()(F.col("prompt"), F.col("chosen"), F.col("rejected")).alias("value"))
 
 
-def write_jsonl(pairs: DataFrame, path: str, single_file: bool = False, python_bytes: bool = False) -> str:
+def write_jsonl(
+    pairs: DataFrame,
+    path: str,
+    single_file: bool = False,
+    python_bytes: bool = False,
+    max_records_per_file: int | None = None,
+    compression: str | None = None,
+) -> str:
     """Write pairs as JSON lines (overwrite; parents are created by the writer).
 
-    Output is a folder of part files written in parallel. ``single_file`` funnels all
-    rows through one task and is meant for small outputs only. By default Spark writes
-    compact JSON (no spaces, non-ASCII kept): equal as JSON to the original, not as
-    bytes. ``python_bytes`` writes the original's exact bytes instead, through a
-    vectorised Python formatter (slower; use when files are compared byte for byte).
+    Output is a folder of part files written in parallel; ``max_records_per_file``
+    bounds their size and ``compression`` (e.g. ``zstd``, ``gzip``) compresses them, and
+    both readers here decompress transparently. ``single_file`` funnels all rows through
+    one task and is meant for small outputs only. By default Spark writes compact JSON
+    (no spaces, non-ASCII kept): equal as JSON to the original, not as bytes.
+    ``python_bytes`` writes the original's exact bytes instead, through a vectorised
+    Python formatter (slower; use when files are compared byte for byte).
     """
     out = python_json_lines(pairs) if python_bytes else jsonl_view(pairs)
     if single_file:
         out = out.coalesce(1)
     writer = out.write.mode("overwrite")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if compression:
+        writer = writer.option("compression", compression)
     if python_bytes:
         writer.text(path)
     else:
