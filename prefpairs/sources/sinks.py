@@ -67,15 +67,13 @@ def write_jsonl(
     return path
 
 
-def write_pairs_table(pairs: DataFrame, path: str) -> str:
+def write_pairs_table(pairs: DataFrame, path: str, max_records_per_file: int | None = None) -> str:
     """Pairs with metadata as Parquet, partitioned by a top-level copy of the strategy so
     a one-strategy read prunes partitions."""
-    (
-        pairs.withColumn("rejection_strategy", F.col("metadata.rejection_strategy"))
-        .write.mode("overwrite")
-        .partitionBy("rejection_strategy")
-        .parquet(path)
-    )
+    writer = pairs.withColumn("rejection_strategy", F.col("metadata.rejection_strategy")).write.mode("overwrite")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.partitionBy("rejection_strategy").parquet(path)
     return path
 
 
