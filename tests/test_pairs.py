@@ -206,3 +206,15 @@ def test_custom_canvas(spark):
     assert st[3] > 1000                                      # the taller canvas is used
     counts = audit_lines(pair_lines(generate_pairs(df, cfg)), canvas=(w, h)).first()
     assert counts.invalid_coords == 0 and counts.valid_coords == 2 * 3000
+
+
+def test_skip_reasons_and_parsed_schema(spark):
+    from prefpairs.operators.entries import valid_entries
+    from prefpairs.operators.pairs import skip_reasons
+    from prefpairs.schema import PARSED
+
+    entries = events_to_entries(spark.read.parquet(f"{SF001}/events.parquet"))
+    got = {r.skip_reason: r.entries for r in skip_reasons(entries).collect()}
+    assert got == {None: 851, "too_few_messages": 12, "empty_message": 46, "unparseable_action": 91}
+    v = valid_entries(entries)
+    assert [(f.name, f.dataType) for f in v.schema.fields] == [(f.name, f.dataType) for f in PARSED.fields]
