@@ -218,3 +218,8 @@ def test_skip_reasons_and_parsed_schema(spark):
     assert got == {None: 851, "too_few_messages": 12, "empty_message": 46, "unparseable_action": 91}
     v = valid_entries(entries)
     assert [(f.name, f.dataType) for f in v.schema.fields] == [(f.name, f.dataType) for f in PARSED.fields]
+    assert {r.action_type for r in v.select("action_type").distinct().collect()} == set(K.ACTION_TYPES)
+    from prefpairs.schema import METADATA
+
+    meta = generate_pairs(entries).schema["metadata"].dataType
+    assert [(f.name, f.dataType) for f in meta.fields] == [(f.name, f.dataType) for f in METADATA.fields]
