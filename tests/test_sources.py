@@ -241,3 +241,15 @@ def test_cli_generate_and_prepare(spark, tmp_out, capsys):
     main(["prepare", "--pairs", rep["pairs_table"], "--out", os.path.join(tmp_out, "sft"), "--kind", "sft", "--exact"])
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert counts == {"train": 18, "eval": 2}
+
+
+def test_positional_ids_gzip(spark, tmp_out):
+    import gzip
+
+    src = os.path.join(tmp_out, "gz")
+    os.makedirs(src)
+    with gzip.open(os.path.join(src, "part-0.json.gz"), "wt") as f:
+        for i in range(50):
+            f.write(json.dumps({"conversations": [{"from": "u", "value": f"q{i}"}, {"from": "a", "value": "COMPLETE"}]}) + "\n")
+    rows = sorted((r.entry_id, r.conversations[0].value) for r in read_entries(spark, src, "json-pos").collect())
+    assert rows == [(i, f"q{i}") for i in range(50)]
