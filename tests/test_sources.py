@@ -253,3 +253,17 @@ def test_positional_ids_gzip(spark, tmp_out):
             f.write(json.dumps({"conversations": [{"from": "u", "value": f"q{i}"}, {"from": "a", "value": "COMPLETE"}]}) + "\n")
     rows = sorted((r.entry_id, r.conversations[0].value) for r in read_entries(spark, src, "json-pos").collect())
     assert rows == [(i, f"q{i}") for i in range(50)]
+
+
+def test_prepare_refuses_order_on_idless_jsonl(spark, tmp_out):
+    from prefpairs.plans.job import prepare
+    from prefpairs.sources.synthetic import synthetic_entries
+    from prefpairs.sources.sinks import write_jsonl
+
+    path = write_jsonl(generate_pairs(synthetic_entries(spark, 10)), os.path.join(tmp_out, "p.jsonl"))
+    with pytest.raises(ValueError, match="keyed pair table"):
+        prepare(spark, path, os.path.join(tmp_out, "o1"), "dpo", limit=5)
+    with pytest.raises(ValueError, match="keyed pair table"):
+        prepare(spark, path, os.path.join(tmp_out, "o2"), "dpo", n_eval=3)
+    ok = prepare(spark, path, os.path.join(tmp_out, "o3"), "dpo")
+    assert sum(ok.values()) == 20
