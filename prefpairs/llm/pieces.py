@@ -9,7 +9,7 @@ read from it backwards. Characters that no piece covers become their bytes' toke
 
 The model file follows the SentencePiece format: white space is written as U+2581, a dummy
 one is put in front, and a piece continues over no word start, so the table is filled by
-segments (white space and the word after it) and equal segments are encoded once while
+segments (between places that no piece spans) and equal segments are encoded once while
 they stay in a bounded cache.
 
 Defined results: a null or empty text has no ids; ids that are out of range are an error.
@@ -19,6 +19,7 @@ Working columns are prefixed ``_sp_``; all columns of the input are returned.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,10 +32,12 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Segments and pairs remembered by a worker; the oldest half goes when full.
-SEGMENTS = 200_000
-PAIRS = 500_000
-_SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
+SEGMENTS = 150_000
+PAIRS = 300_000
 _BYTE = -1
+_INTS = [struct.Struct(f"<{n}i") for n in range(64)]
+#: Marks that a segment is cut at, where no piece spans the cut.
+MARKS = ".,;:!?\n"
 
 
 class Model:
@@ -76,11 +79,26 @@ class Model:
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
+        self.cut = self._cuts().findall
         self.piece_of = {i: p for p, i in self.ids.items()}
         self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         self.segments = _Segments(self)
 
+    def _cuts(self) -> re.Pattern:
+        """Segments: cut before white space, before a mark that no piece joins to the
+        character in front of it, and after a line break if no piece goes on after one."""
+        joined: dict[str, set[str]] = {c: set() for c in MARKS}
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:], strict=False):
+                if b in joined:
+                    joined[b].add(a)
+        other = f"[^{SPACE}{re.escape(MARKS)}]*"
+        goes_on = "".join(f"|(?<=[{re.escape(''.join(sorted(before)))}]){re.escape(c)}{other}" for c, before in joined.items() if before)
+        rest = f"{other}(?:{goes_on[1:]})*" if goes_on else other
+        alone = "" if any("\n" in p[:-1] for p in self.ids) else "\n|"
+        return re.compile(f"{alone}(?:{SPACE}+|[^{SPACE}]){rest}")
+
     def merged(self, text: str) -> list[str]:
         """Encoding of a short text by its merges: best score first, then leftmost."""
         parts = list(text)
@@ -117,17 +135,13 @@ class Model:
         n = len(text)
         last = [_BYTE] * (n + 1)  # token that ends the prefix of each length
         size = [1] * (n + 1)
-        found = self.automaton.iter(text)
-        end, match = next(found, (n, None))
-        for i in range(n):
-            while match is not None and end == i:
-                token, length = match
-                before = last[i + 1 - length]
-                if last[i + 1] == _BYTE and (
-                    self.compatible(before, token) if before != _BYTE else self.stands(token)
-                ):
-                    last[i + 1], size[i + 1] = token, length
-                end, match = next(found, (n, None))
+        known = self.pairs.get
+        # Matches come by their end, so the shorter prefix is always settled.
+        for end, (token, length) in self.automaton.iter(text):
+            before = last[end + 1 - length]
+            fits = self.stands(token) if before == _BYTE else known(before << 20 | token)
+            if fits or fits is None and self.compatible(before, token):
+                last[end + 1], size[end + 1] = token, length
         out, at = [], n
         while at:
             token = last[at]
@@ -136,18 +150,18 @@ class Model:
             else:
                 out.append(token)
             at -= size[at]
-        return np.array(out[::-1], np.int32).tobytes()
+        return _INTS[len(out)].pack(*out[::-1]) if len(out) < len(_INTS) else np.array(out[::-1], np.int32).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, as packed 32-bit integers."""
         if not text:
             return b""
-        return b"".join(map(self.segments.__getitem__, _SEGMENT.findall(SPACE + text.replace(" ", SPACE))))
+        return b"".join(map(self.segments.__getitem__, self.cut(SPACE + text.replace(" ", SPACE))))
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; bytes that form no UTF-8 become U+FFFD one by one."""
         data = b"".join(map(self.bytes_of.__getitem__, ids))
-        text = data.decode("utf-8", errors="_sp_each_byte") if False else _decode(data)
+        text = _decode(data)
         return text[1:] if text[:1] == " " else text
 
 

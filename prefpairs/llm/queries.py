@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefpairs.llm import line_dedup as ld
-from prefpairs.llm import mixing, quality, simhash, substring
+from prefpairs.llm import mixing, pieces, quality, simhash, substring
 from prefpairs.llm.common import table
 
 
@@ -21,6 +22,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_removed").alias("n_removed"), "text")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    ids = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    out = pieces.decode(pieces.digests(ids).select("doc_id", "_sp_ids", "n_tokens", "ids_sha256"), model)
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("_sp_text", 256).alias("decoded_sha256"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.substring_dedup(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -43,6 +51,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
     "op9_quality_rules": op9_quality_rules,
