@@ -13,10 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefpairs.llm import line_dedup as ld
-from prefpairs.llm import mixing, pieces, quality, simhash, substring
+from prefpairs.llm import langid, mixing, pieces, pseudonyms, quality, simhash, substring
 from prefpairs.llm.common import table
 
 
+#: Key of the registered query; a deployment passes its own.
+PSEUDONYM_KEY = b"registered query"
+
+
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+    return out.select("doc_id", "text", *(F.col(f"_ps_{k}").alias(f"n_{k}") for k in pseudonyms.KINDS))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ld.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_removed").alias("n_removed"), "text")
@@ -39,6 +48,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.id").alias("component_id"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, ~langid.held_out())
+    return langid.identify(docs, model).withColumnRenamed("id", "doc_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_table(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -50,10 +65,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_dedup": op2_line_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
+    "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
 }
