@@ -55,11 +55,14 @@ def repeated_windows(docs: DataFrame, id_col: str, text: str, run: int) -> DataF
         hashed.filter(F.size("_ld_h") >= run).select("_ld_id", "_ld_key", F.inline(_windows(F.col("_ld_h"), run))).distinct(),
         "line-windows",
     )
-    # Winnowed fingerprints: one row per selected position, counted by value.
-    shared = wins.groupBy("f").agg(F.min(F.struct("_ld_id", "_ld_key", "p")).alias("lo"), F.max(F.struct("_ld_id", "_ld_key", "p")).alias("hi")).filter("lo <> hi").select("f")
+    # Winnowed fingerprints that occur at more than one position. The small sides are
+    # written, so that the joins below are plain ones that AQE can split on a hot value.
+    at = F.struct("_ld_id", "_ld_key", "p")
+    shared = materialize(wins.groupBy("f").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).filter("lo <> hi").select("f"), "line-shared")
     anchored = wins.join(shared, "f", "left_semi").select("_ld_id", "_ld_key", "s", "w")
     # Extension: the windows around a shared fingerprint, matched by content.
-    first = anchored.groupBy("w").agg(F.min(F.struct("_ld_id", "_ld_key", "s")).alias("first"))
+    first = anchored.groupBy("w").agg(F.min(F.struct("_ld_id", "_ld_key", "s")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = materialize(first.filter("n > 1").drop("n"), "line-first")
     here = F.struct("_ld_id", "_ld_key", "s")
     later = anchored.join(first, "w").filter(here != F.col("first"))
     return later.groupBy("_ld_id", "_ld_key").agg(F.sort_array(F.collect_set("s")).alias("_ld_starts"))
