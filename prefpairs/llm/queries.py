@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefpairs.llm import line_dedup as ld
-from prefpairs.llm import langid, mixing, pieces, pseudonyms, quality, simhash, substring
-from prefpairs.llm.common import table
+from prefpairs.llm import archives, langid, mixing, pieces, pseudonyms, quality, simhash, substring
+from prefpairs.llm.common import materialize, table
 
 
 #: Key of the registered query; a deployment passes its own.
@@ -31,6 +31,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_removed").alias("n_removed"), "text")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = archives.through_archives(table(spark, sf_dir, "pages"))
+    read = archives.read_warc(spark, path, payload=False).select("type", "record_id", "payload_digest", "refers_to", "head", "payload_bytes")
+    out = archives.resolve_revisits(materialize(read, "warc-rows"))
+    return out.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("target").alias("refers_to"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     ids = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
@@ -67,6 +74,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_dedup": op2_line_dedup,
+    "op3_warc": op3_warc,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
