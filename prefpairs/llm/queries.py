@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefpairs.llm import line_dedup as ld
-from prefpairs.llm import archives, langid, mixing, pieces, pseudonyms, quality, simhash, substring
+from prefpairs.llm import archives, langid, mixing, pieces, pseudonyms, quality, simhash, sketches, substring
 from prefpairs.llm.common import materialize, table
 
 
@@ -45,6 +45,11 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("_sp_text", 256).alias("decoded_sha256"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sketches.compare_edits(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.substring_dedup(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_fingerprints": op5_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
