@@ -34,7 +34,7 @@ WIDTH = 16
 SPLIT = 8
 LEVELS = 12
 #: A line is cut at the first end of a sentence after so many characters.
-PARAGRAPH = 240
+PARAGRAPH = 120
 #: Documents by range of ids; at most so many ranges.
 RANGE_DOCS = 2_000
 MAX_RANGES = 4_096
