@@ -22,6 +22,15 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def filter_after(df: DataFrame, keep: Column) -> DataFrame:
+    """Rows where ``keep`` holds, tested after the columns are computed.
+
+    A plain filter is rewritten in terms of the input and moved below the projections, which
+    would compute their nested expressions once per mention; a generator stops that.
+    """
+    return df.select("*", F.explode(F.array(keep)).alias("_keep")).filter("_keep").drop("_keep")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefpairs.llm.common import WHITE, materialize, words
+from prefpairs.llm.common import WHITE, filter_after, materialize, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -150,5 +150,5 @@ def quality_filter(docs: DataFrame, text: str = "text", host: str = "source", ru
     flags = document_metrics(docs.select(F.col(host).alias("host"), F.col(text).alias("text")), "text", ["host"], rules).select("host", "_m.base_failed")
     hosts = materialize(host_counts(flags), "quality-hosts")
     verdicts = materialize(host_verdicts(hosts, rules).filter("host_rejected").select(F.col("host").alias("_host")), "quality-verdicts")
-    passed = document_metrics(docs, text, None, rules).filter(~F.col("_m.base_failed")).drop("_m")
+    passed = filter_after(document_metrics(docs, text, None, rules), ~F.col("_m.base_failed")).drop("_m")
     return passed.join(verdicts, passed[host] == verdicts["_host"], "left_anti")
