@@ -193,6 +193,7 @@ def _extend(block: int, length: int, parts: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = _Entries(parts, 64, first=True)
         for batch in batches:
+            batch = batch.filter(batch.column("wanted").is_valid())
             for w, doc, ids, texts, rows in _held(batch):
                 ok = np.flatnonzero(_inside(doc, block))
                 hit = np.zeros(len(w) + length, np.int64)
@@ -289,5 +290,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         return pairs.groupBy("id").agg(F.collect_list("hash").alias("wanted"))
 
     anchors = by_document(known.mapInArrow(_probe(block, parts, bits), RUN_SCHEMA), first=False)
-    repeats = by_document(known.join(anchors, "id").mapInArrow(_extend(block, length, parts, bits), RUN_SCHEMA), first=True)
+    # Both joins read the same exchange of the texts, so nothing narrows this one.
+    repeats = by_document(src.join(anchors, "id", "left").mapInArrow(_extend(block, length, parts, bits), RUN_SCHEMA), first=True)
     return src.join(repeats, "id", "left").mapInArrow(_remove(length), "id long, n_words long, n_removed long, kept string")
