@@ -8,8 +8,8 @@ sketches subtract cell by cell: what both texts have cancels. The difference is
 cell whose sums are a multiple of one digest, by its check value and its place, gives that
 digest and how often it differs, which is then taken from its other cells, and so on until
 all cells are empty. If peeling gets stuck the pair is tried again with a larger sketch: the
-digests are dealt to ``SPLIT`` tables by another hash, and only the tables that fail again are
-dealt further. The number of differing paragraphs is exact.
+digests are dealt to several tables by another hash, by their number, and only the tables that
+fail again are dealt further. The number of differing paragraphs is exact.
 
 Likeness of two fingerprints: 1 - differing / all paragraphs of both (1 if both are empty).
 
@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 
 #: Cells of a subtable; there are three.
 WIDTH = 16
-#: Tables that a failed one is dealt to, and how often at most.
-SPLIT = 8
-LEVELS = 12
+#: Digests by table that a failed one is dealt to, the most tables at once, and how often.
+DEALT = 24
+MOST_TABLES = 64
+LEVELS = 16
 #: A line is cut at the first end of a sentence after so many characters.
 PARAGRAPH = 120
 #: Documents by range of ids; at most so many ranges.
@@ -111,11 +112,12 @@ def peel(cells: Column, salt: Column) -> Column:
 
     def pure(c: Column, j: Column) -> Column:
         """The item that alone fills a cell, or null."""
-        n = F.nullif(c["n"], F.lit(0).cast("bigint"))
-        d = F.shiftleft((c["hi"] / n).cast("bigint"), 31) + (c["lo"] / n).cast("bigint")
-        exact = (c["hi"] % n == 0) & (c["lo"] % n == 0) & (F.signum(c["hi"]) * F.signum(n) >= 0)
-        item = _item(c["n"], d, salt)
-        return F.when(exact & (c["chk"] == c["n"] * _check(d)) & F.array_contains(_cells(d, salt), j), item)
+        n, unit = c["n"], F.abs(c["n"]) == 1
+        # Mostly one digest, once: no division then.
+        half = lambda x: F.when(unit, x * n).otherwise(F.when(x % n == 0, F.floor(x / n).cast("bigint")))
+        d = F.shiftleft(half(c["hi"]), 31) + half(c["lo"])
+        checked = F.element_at(F.transform(F.array(d), lambda d: F.when((c["chk"] == n * _check(d)) & F.array_contains(_cells(d, salt), j), _item(n, d, salt))), 1)
+        return F.when(n == 0, None).when(F.signum(c["hi"]) * F.signum(n) < 0, None).otherwise(checked)
 
     def round_(state: Column) -> Column:
         found = F.array_distinct(F.filter(F.transform(state["cells"], pure), lambda e: e.isNotNull()))
@@ -140,8 +142,11 @@ def _retry(a: Column, b: Column) -> Column:
     group = lambda x, y: F.struct(x.alias("a"), y.alias("b"))
 
     def deal(g: Column, level: Column) -> Column:
-        part = lambda ds, k: F.filter(ds, lambda d: F.pmod(F.xxhash64(d, level, F.lit("deal")), F.lit(SPLIT)) == k)
-        return F.filter(F.transform(F.sequence(F.lit(0), F.lit(SPLIT - 1)), lambda k: group(part(g["a"], k), part(g["b"], k))), lambda g: F.size(g["a"]) + F.size(g["b"]) > 0)
+        # More tables than there are digests by DEALT at every further level.
+        n = F.greatest(F.lit(2), F.least(F.lit(MOST_TABLES), F.ceil((F.size(g["a"]) + F.size(g["b"])) / F.lit(DEALT)).cast("int") + level - 1))
+        part = lambda ds, k: F.filter(ds, lambda d: F.pmod(F.xxhash64(d, level, F.lit("deal")), n) == k)
+        tables = F.transform(F.sequence(F.lit(0), n - 1), lambda k: group(part(g["a"], k), part(g["b"], k)))
+        return F.filter(tables, lambda t: F.size(t["a"]) + F.size(t["b"]) > 0)
 
     def step(state: Column, level: Column) -> Column:
         dealt = F.flatten(F.transform(state["failed"], lambda g: deal(g, level)))
