@@ -22,7 +22,7 @@ PERTURBED_ACTIONS = (CLICK, LONG_PRESS)           # the spatial strategy moves o
 PROMPT_PREFIX = "<image>\nUser: "
 PROMPT_SUFFIX = "\nModel:"
 END_OF_TURN = "<|end_of_turn|>"
-DEFAULT_SOURCE = "odyssey"
+DEFAULT_SOURCE = "gui-actions"  # a label of this package; callers pass their own
 
 # --- Fixed values: logical ("hallucination") rejections ---------------------
 LOGICAL_FOR_CLICK = 'TYPE: "placeholder_text"'

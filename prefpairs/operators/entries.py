@@ -4,8 +4,8 @@ Input: ENTRY rows ``(entry_id, conversations: array<struct<from, value>>)``.
 Message 0 is the instruction and message 1 the action, by position; the ``from`` field
 is never looked at and later messages are ignored. Emptiness is tested before trimming.
 
-Skip reasons are tested in this order and each skipped entry gets exactly one:
-``too_few_messages``, ``empty_message``, ``unparseable_action``.
+Skip reasons are tested in this order and each skipped entry gets exactly one: the reader's
+``fault`` (``malformed_record``, ``non_text_message``), ``too_few_messages``, ``empty_message``, ``unparseable_action``.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ def extract_entries(entries: DataFrame) -> DataFrame:
     enough = F.coalesce(F.size(conv), F.lit(0)) >= 2
     non_empty = F.coalesce((user != "") & (assistant != ""), F.lit(False))
     reason = F.when(~enough, F.lit(TOO_FEW_MESSAGES)).when(~non_empty, F.lit(EMPTY_MESSAGE))
+    if "fault" in entries.columns:  # found by the reader: no entry, or no text in a message
+        reason = F.coalesce(F.col("fault"), reason)
     ok = reason.isNull()
     return entries.select(
         "*",

@@ -5,18 +5,17 @@
 cluster. Instead we find the n-th smallest key by distributed histogram refinement:
 each round is one aggregation over the key column only (column-pruned, partial
 aggregation on the map side) that returns at most ``buckets`` counts to the driver, and
-narrows the candidate range ``buckets``-fold; once the range holds few enough keys (a
-count known from the previous round) they are fetched and finished on the driver. A 64-bit key needs at most 6 rounds;
-dense ids of N rows need about log_buckets(N). The prefix itself is then a plain
-filter ``key <= threshold`` that every task applies independently.
+narrows the candidate range ``buckets``-fold until one value is left. The rounds are the
+same at every size: a 64-bit key needs at most 6, dense ids of N rows about
+log_buckets(N). The prefix itself is then a plain filter ``key <= threshold`` that every
+task applies independently.
 
-Keys must be integral and, over the listed columns together, unique; rows with a NULL
-key never belong to a prefix.
+Keys must be integral and, over the listed columns together, unique. A NULL key comes
+after all others, so no row is lost when ``n`` reaches beyond the rows that have one.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -24,11 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 4096
-# Once the candidate range (or a tie group) holds at most this many keys, which is
-# known exactly from the previous round, those keys are fetched and finished on the
-# driver instead of running more distributed rounds.
-COLLECT_LIMIT = 10_000
-
 
 @dataclass(frozen=True)
 class Rank:
@@ -56,7 +50,6 @@ def _refine(
     keys: DataFrame,
     k: int,
     buckets: int,
-    collect_limit: int = COLLECT_LIMIT,
     bounds: tuple[int, int] | None = None,
 ) -> Rank | None:
     if bounds is None:
@@ -67,10 +60,6 @@ def _refine(
         return None
     below, in_range = 0, total
     while lo != hi:
-        if in_range is not None and in_range <= collect_limit:
-            vals = sorted(r[0] for r in keys.filter(F.col("k").between(lo, hi)).collect())
-            v = vals[k - below - 1]
-            return Rank(value=v, below=below + bisect_left(vals, v), at_most=below + bisect_right(vals, v))
         width = -(-(hi - lo + 1) // buckets)
         if hi - lo < 2**63 - 1:  # k - lo is in [0, hi - lo]: BIGINT arithmetic cannot overflow
             bucket = F.expr(f"(k - cast({lo} as bigint)) div cast({width} as bigint)")
@@ -99,14 +88,6 @@ def _refine(
     return Rank(value=lo, below=below, at_most=below + in_range)
 
 
-def _lex_at_most(cols: list[str], bound: tuple) -> Column:
-    """``tuple(cols) <= bound`` in lexicographic order."""
-    head = F.col(cols[0])
-    if len(cols) == 1:
-        return head <= F.lit(bound[0])
-    return (head < F.lit(bound[0])) | ((head == F.lit(bound[0])) & _lex_at_most(cols[1:], bound[1:]))
-
-
 def first_n_predicate(
     df: DataFrame,
     cols: list[str],
@@ -135,24 +116,31 @@ def _prefix_predicate(
     head = cols[0]
     key = F.col(head)
     rank = _refine(keys.select(key.alias("k")).filter(F.col("k").isNotNull()), n, buckets, bounds=head_bounds)
-    if rank is None:  # fewer rows than n: everything with a key
-        return key.isNotNull()
+    if rank is None:  # fewer keys than n: all of them, then rows without one
+        return _with_null_keys(keys, cols, n, buckets)
     if rank.at_most == n:
         return key <= F.lit(rank.value)
     if len(cols) == 1:
         raise ValueError(f"ordering key is not unique: {rank.at_most - rank.below} rows share the value at position {n}")
-    m = n - rank.below
-    ties = keys.filter(key == F.lit(rank.value)).dropna()
-    if rank.at_most - rank.below <= COLLECT_LIMIT:
-        rows = sorted(tuple(r) for r in ties.select(*cols[1:]).collect())
-        if m < len(rows) and rows[m] == rows[m - 1]:
-            raise ValueError(f"ordering key is not unique at position {n}")
-        rest = _lex_at_most(cols[1:], rows[m - 1])
-    else:
-        rest = _prefix_predicate(ties, cols[1:], m, buckets)
+    ties = keys.filter(key == F.lit(rank.value))
+    rest = _prefix_predicate(ties, cols[1:], n - rank.below, buckets)
     return (key < F.lit(rank.value)) | ((key == F.lit(rank.value)) & rest)
 
 
+def _with_null_keys(keys: DataFrame, cols: list[str], n: int, buckets: int) -> Column:
+    """First ``n`` rows when at most ``n`` have a key in ``cols[0]``."""
+    key = F.col(cols[0])
+    have, none = keys.agg(F.count(key), F.count_if(key.isNull())).first()
+    left = n - have
+    if left >= none:
+        return F.lit(True)
+    if left == 0:
+        return key.isNotNull()
+    if len(cols) == 1:
+        raise ValueError(f"ordering key is not unique: {none} rows without a key follow the first {have}")
+    return key.isNotNull() | (key.isNull() & _prefix_predicate(keys.filter(key.isNull()), cols[1:], left, buckets))
+
+
 def first_n(df: DataFrame, cols: list[str], n: int, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """The first ``n`` rows ordered by ``cols`` (unordered output; sort if you need it)."""
     return df.filter(first_n_predicate(df, cols, n, buckets))

@@ -46,9 +46,11 @@ def split_key(key: str = "entry") -> Column:
         return F.col("entry_id")
     if key == "pair":
         return F.concat_ws("-", F.col("entry_id").cast("string"), F.col("strategy_ord").cast("string"))
+    if key == "line":  # rows of JSON lines, one by one
+        return F.col("line_id")
     if key == "content":  # for rows without ids: both pairs of an entry share prompt+chosen
         return F.sha2(F.concat_ws("\u0001", F.col("prompt"), F.col("chosen")), 256)
-    raise ValueError("key must be 'entry', 'pair' or 'content'")
+    raise ValueError("key must be 'entry', 'pair', 'line' or 'content'")
 
 
 def train_eval_split(

@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from prefpairs.operators.training import (
     train_eval_split,
 )
 from prefpairs.schema import PairConfig
-from prefpairs.sources.readers import dataset_candidates, read_pairs_jsonl, resolve_entries, spread
+from prefpairs.sources.readers import dataset_candidates, read_pairs_jsonl, resolve_source
 from prefpairs.sources.sinks import write_jsonl, write_pairs_table
 
 
@@ -46,17 +47,21 @@ def generate(
     single_file: bool = False,
     python_bytes: bool = False,
     python_lane: bool = False,
+    synthetic_fallback: int | None = None,
 ) -> dict:
-    """Resolve the first readable source (or synthetic entries), optionally keep the first
+    """Resolve the first source that exists (or, if asked for, synthetic entries), optionally keep the first
     ``sample_size`` raw entries and at most ``sample_size`` valid ones, write the pair
     table and the JSON lines, and return the audit summary plus generation counters."""
-    entries, used = resolve_entries(spark, sources)
-    entries = spread(entries)
-    if sample_size and not used.startswith("synthetic"):
+    source = resolve_source(spark, sources, synthetic_fallback, spread_rows=True)
+    entries, used = source.entries, source.label
+    # A raw prefix of N entries never has more than N valid ones, so the cap on valid
+    # entries matters for synthetic entries only, which are not cut to a prefix.
+    capped = sample_size if source.synthetic else None
+    if sample_size and not source.synthetic:
         entries = raw_prefix(entries, sample_size)
     parsed = parse_entries(entries)
     observed = None
-    if not sample_size:
+    if not capped:
         # Counters ride along with the write instead of costing a second pass.
         observed = Observation("generation")
         valid = F.col("skip_reason").isNull()
@@ -65,7 +70,7 @@ def generate(
             F.count_if(~valid).alias("skipped_invalid"),
             F.count_if(valid).alias("valid_entries"),
         )
-    ok = cap_valid(parsed.filter(F.col("skip_reason").isNull()).drop("skip_reason"), sample_size)
+    ok = cap_valid(parsed.filter(F.col("skip_reason").isNull()).drop("skip_reason"), capped)
     table_path = write_pairs_table(pairs_from_parsed(ok, cfg), os.path.join(out_dir, "pairs"))
     pairs = spark.read.parquet(table_path)
     jsonl_path = write_jsonl(pairs.orderBy("entry_id", "strategy_ord") if single_file else pairs,
@@ -80,21 +85,29 @@ def generate(
             pairs_logical=n_valid if K.LOGICAL in cfg.strategies else 0,
         )
     else:
-        report.update(generation_stats(entries, cfg, valid_cap=sample_size).first().asDict())
+        report.update(generation_stats(entries, cfg, valid_cap=capped).first().asDict())
     report.update(source=used, pairs_table=table_path)
     return report
 
 
-def load_pairs(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
-    """Pairs from the keyed Parquet table (``entry_id``, ``strategy_ord``) or from JSON lines.
-    Returns the DataFrame and whether it carries the generation-order keys."""
-    try:
-        df = spark.read.parquet(path)
-        if {"entry_id", "strategy_ord"} <= set(df.columns):
-            return df.select("entry_id", "strategy_ord", "prompt", "chosen", "rejected"), True
-    except Exception:  # not Parquet: fall through to JSON lines
-        pass
-    return read_pairs_jsonl(spark, path), False
+def load_pairs(spark: SparkSession, path: str, fmt: str | None = None, positions: bool = False) -> tuple[DataFrame, tuple[str, ...]]:
+    """Pairs from a Parquet table or from JSON lines, and the columns that give their order.
+
+    ``fmt`` is ``parquet`` or ``jsonl``; by default the path's suffix decides (``.jsonl`` or
+    ``.json``, also before a compression suffix). A Parquet table without the generation keys
+    is valid and has no order; lines are ordered by ``line_id`` when ``positions`` asks.
+    """
+    if fmt is None:
+        name = os.path.basename(path.rstrip("/"))
+        fmt = "jsonl" if re.search(r"\.jsonl?(\.[a-z0-9]+)?$", name) else "parquet"
+    if fmt == "jsonl":
+        return read_pairs_jsonl(spark, path, positions=positions), ("line_id",) if positions else ()
+    if fmt != "parquet":
+        raise ValueError(f"unsupported pair format {fmt!r}")
+    df = spark.read.parquet(path)
+    keys = ("entry_id", "strategy_ord")
+    keyed = set(keys) <= set(df.columns)
+    return df.select(*(keys if keyed else ()), "prompt", "chosen", "rejected"), keys if keyed else ()
 
 
 def prepare(
@@ -107,30 +120,37 @@ def prepare(
     limit: int | None = None,
     seed: int = 42,
     exact: bool = False,
+    fmt: str | None = None,
+    split_by: str | None = None,
+    drop_duplicates: bool = False,
 ) -> dict:
     """SFT (``text``) or DPO (prompt, chosen, rejected) rows with a ``split`` column,
-    written as Parquet partitioned by split. Keyed input splits by entry (no leak
-    between the two pairs of an entry); JSON lines, which carry no ids, split by the
-    prompt+chosen content, which groups the same way. ``limit`` (the first pairs in
-    generation order) needs the keyed table. ``exact`` fixes the eval size at
-    ``ceil((1 - split_ratio) * rows)`` like a library train/test split."""
-    pairs, keyed = load_pairs(spark, pairs_path)
+    written as Parquet partitioned by split.
+
+    Keyed input splits by entry (no leak between the two pairs of an entry); input without
+    ids splits by the prompt+chosen content, which groups the same way; ``split_by``
+    (``entry``, ``pair``, ``line``, ``content``) overrides. ``limit`` keeps the first pairs in
+    generation order: by the keys of the table, or by the place of the lines. ``exact`` fixes
+    the eval size at ``ceil((1 - split_ratio) * rows)`` like a library train/test split.
+    ``drop_duplicates`` keeps one row of each SFT text.
+    """
+    ordered = bool(limit or exact or n_eval is not None)
+    pairs, order = load_pairs(spark, pairs_path, fmt, positions=ordered)
+    if ordered and not order:
+        raise ValueError("a limit or an exact eval size needs rows in an order: a keyed pair table or JSON lines")
     if limit:
-        if not keyed:
-            raise ValueError("a generation-order limit needs the keyed pair table, not JSON lines")
-        pairs = max_samples(pairs, limit)
-    key = "entry" if keyed else "content"
-    keep = ("entry_id", "strategy_ord") if keyed else ()
-    rows = sft_text(pairs, keep=keep + (("prompt", "chosen") if not keyed else ())) if kind == "sft" else dpo_projection(pairs, keep=keep)
+        pairs = max_samples(pairs, limit, order)
+    keyed = order == ("entry_id", "strategy_ord")
+    key = split_by or ("entry" if keyed else "content")
+    keep = (*order, *(("prompt", "chosen") if kind == "sft" and key == "content" else ()))
+    rows = sft_text(pairs, keep=keep, drop_duplicates=drop_duplicates) if kind == "sft" else dpo_projection(pairs, keep=order)
     if exact and n_eval is None:
         n_eval = eval_count(rows.count(), split_ratio)
     if n_eval is not None:
-        if not keyed:
-            raise ValueError("an exact eval size needs the keyed pair table (rows need a unique order)")
-        out = split_exact(rows, n_eval, seed=seed, key=key)
+        out = split_exact(rows, n_eval, seed=seed, key=key, tiebreak=order)
     else:
         out = train_eval_split(rows, ratio=split_ratio, seed=seed, key=key)
-    if kind == "sft" and not keyed:
+    if kind == "sft":
         out = out.drop("prompt", "chosen")
     out.write.mode("overwrite").partitionBy("split").parquet(out_dir)
     counts = spark.read.parquet(out_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -154,6 +174,7 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--single-file", action="store_true", help="one JSONL file (small outputs only)")
     g.add_argument("--python-bytes", action="store_true", help="write lines exactly as json.dumps does")
     g.add_argument("--python-lane", action="store_true", help="audit rejected lines with json.loads")
+    g.add_argument("--synthetic", type=int, help="so many synthetic entries if no source exists")
     g.add_argument("--out", required=True)
     g.add_argument("--sample", type=int)
     g.add_argument("--seed", type=int, default=42)
@@ -166,6 +187,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--n-eval", type=int)
     p.add_argument("--max-samples", type=int)
     p.add_argument("--exact", action="store_true", help="eval size = ceil((1 - split ratio) * rows)")
+    p.add_argument("--format", choices=("parquet", "jsonl"), help="default: by the path's suffix")
+    p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--split-by", choices=("entry", "pair", "line", "content"))
+    p.add_argument("--drop-duplicates", action="store_true", help="one row of each SFT text")
     a = ap.parse_args(argv)
     spark = build_session()
     if a.cmd == "generate":
@@ -181,9 +206,12 @@ def main(argv: list[str] | None = None) -> None:
             a.single_file,
             a.python_bytes,
             a.python_lane,
+            a.synthetic,
         )
     else:
-        res = prepare(spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples, exact=a.exact)
+        res = prepare(
+            spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples, a.seed, a.exact, a.format, a.split_by, a.drop_duplicates
+        )
     print(json.dumps(res, default=str))
 
 

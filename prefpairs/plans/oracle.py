@@ -9,11 +9,16 @@ Box-Muller noise with ``round_even``, JSON checks with DuckDB's JSON functions,
 from __future__ import annotations
 
 from prefpairs import constants as K
-from prefpairs.functions.text import FLOAT_LITERAL, INT_LITERAL
 from prefpairs.plans import queries as Q
+from prefpairs.schema import AUDIT_COUNTERS
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in K.PY_WHITESPACE) + ")"
 NL = "chr(10)"
+# Python's float() and int() literals, written here from the language reference: digit groups
+# joined by single underscores, an optional sign, fraction and exponent.
+GROUP = "[0-9]+(_[0-9]+)*"
+FLOAT_LITERAL = f"[-+]?(({GROUP})([.]({GROUP})?)?|[.]{GROUP})([eE][-+]?{GROUP})?"
+INT_LITERAL = f"[-+]?{GROUP}"
 TWO48 = "CAST(281474976710656 AS DOUBLE)"
 SEED = K.DEFAULT_SEED
 
@@ -94,7 +99,7 @@ def synthetic_src() -> list[str]:
 
 # --- extraction, parse, pairs ---------------------------------------------------
 
-def chain(src: list[str], valid_limit: int | None = None) -> list[str]:
+def chain(src: list[str], valid_limit: int | None = None, noise_std: float = K.DEFAULT_NOISE_STD) -> list[str]:
     limit = f" ORDER BY entry_id LIMIT {valid_limit}" if valid_limit else ""
     coord_tags = "('CLICK', 'LONG_PRESS', 'SCROLL')"
     num = lambda t: (
@@ -105,7 +110,7 @@ def chain(src: list[str], valid_limit: int | None = None) -> list[str]:
     w, h = K.DEFAULT_CANVAS
     moved = lambda axis, col, size: (
         f"CASE WHEN {movable} THEN CAST(round_even(greatest(CAST(0 AS DOUBLE), least(CAST({size} AS DOUBLE), "
-        f"CAST({col} AS DOUBLE) + CAST({K.DEFAULT_NOISE_STD} AS DOUBLE) * {gauss('entry_id', axis)})), 0) AS BIGINT) END"
+        f"CAST({col} AS DOUBLE) + CAST({noise_std} AS DOUBLE) * {gauss('entry_id', axis)})), 0) AS BIGINT) END"
     )
     chosen = (
         f"CASE WHEN action_type IN {coord_tags} THEN "
@@ -308,6 +313,71 @@ def build() -> dict[str, str]:
         f"""SELECT entry_id, strategy_ord, {pretty} AS json FROM pairs
             ORDER BY entry_id, strategy_ord LIMIT {Q.PEEK_N}""",
     )
+    # Tables written out and read back give what went in.
+    extracted = "SELECT entry_id, instruction, raw_action FROM ext WHERE reason0 IS NULL"
+    sql["entries_json_lines"] = with_(ev, "SELECT entry_id, instruction, raw_action, true AS in_order FROM ext WHERE reason0 IS NULL")
+    for name in ("entries_json_array", "entries_parquet", "source_fallback"):
+        sql[name] = with_(ev, extracted)
+    sql["entries_slice"] = with_(ev, f"{extracted} AND entry_id BETWEEN {Q.SLICE[0]} AND {Q.SLICE[1]}")
+    sql["entries_faults"] = """SELECT CASE event_id % 8 WHEN 0 THEN 'valid' WHEN 4 THEN 'empty_message' WHEN 6 THEN 'too_few_messages'
+               WHEN 5 THEN 'malformed_record' WHEN 7 THEN 'malformed_record' ELSE 'non_text_message' END AS outcome, count(*) AS n
+        FROM events GROUP BY outcome"""
+    sql["pairs_jsonl_faults"] = with_(
+        ev,
+        """SELECT fault, count(*) AS n FROM (
+             SELECT 'none' AS fault FROM pairs UNION ALL
+             SELECT CASE event_id % 6 WHEN 0 THEN 'missing_key' WHEN 3 THEN 'missing_key' WHEN 5 THEN 'non_text' ELSE 'json_error' END AS fault
+             FROM events WHERE event_type = 'error' AND event_id % 6 <> 1)
+           GROUP BY fault""",
+    )
+    sql["jsonl_max_samples"] = with_(ev, f"SELECT prompt, chosen, rejected FROM pairs ORDER BY entry_id, strategy_ord LIMIT {Q.MAX_SAMPLES_M}")
+    content = "sha256(prompt || chr(1) || chosen)"
+    sql["jsonl_split_exact"] = with_(
+        ev,
+        f"""SELECT prompt, chosen, rejected,
+                   CASE WHEN row_number() OVER (ORDER BY {bits48(content, 'split')} DESC, entry_id, strategy_ord) <= {Q.SPLIT_N_EVAL}
+                        THEN 'eval' ELSE 'train' END AS split
+            FROM pairs""",
+    )
+    row = "CAST(entry_id AS VARCHAR) || '-' || CAST(strategy_ord AS VARCHAR)"
+    row_frac = f"(CAST({bits48(row, 'split')} AS DOUBLE) / {TWO48})"
+    sql["train_eval_split_rows"] = with_(
+        ev,
+        f"""SELECT entry_id, strategy_ord, {sft} AS text,
+                   CASE WHEN {row_frac} < CAST({K.DEFAULT_SPLIT_RATIO} AS DOUBLE) THEN 'train' ELSE 'eval' END AS split
+            FROM pairs""",
+    )
+    sql["pairs_table_logical"] = with_(ev, "SELECT entry_id, prompt, chosen, rejected, source FROM logical")
+    sql["summary_report"] = sql["jsonl_audit"]
+    sql["prepared_counts"] = with_(
+        ev,
+        f"""SELECT split, count(*) AS n FROM (
+              SELECT CASE WHEN {frac} < CAST({K.DEFAULT_SPLIT_RATIO} AS DOUBLE) THEN 'train' ELSE 'eval' END AS split FROM pairs)
+            GROUP BY split""",
+    )
+    sql["preview"] = with_(
+        ev,
+        f"""SELECT entry_id, strategy_ord, left(prompt, 12) AS prompt, left(chosen, 12) AS chosen, left(rejected, 12) AS rejected
+            FROM pairs ORDER BY entry_id, strategy_ord LIMIT {Q.PEEK_N}""",
+    )
+    sql["rejections_no_noise"] = with_(chain(events_src(), noise_std=0.0), "SELECT entry_id, chosen, rejected FROM spatial")
+    sql["rejections_custom"] = with_(
+        ev,
+        """SELECT entry_id, chosen, CASE WHEN x IS NOT NULL THEN action_type || ': (' || CAST(y AS VARCHAR) || ', ' || CAST(x AS VARCHAR) || ')'
+                  ELSE chosen END AS rejected FROM vp""",
+    )
+    zero = lambda names: ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in names)
+    sql["audit_uncounted"] = f"""SELECT 'unreadable' AS input, count(*) AS valid_pairs, {zero(AUDIT_COUNTERS[1:5])}, count(*) AS action_click,
+            CAST(0 AS BIGINT) AS action_type, count(*) AS action_long_press, CAST(0 AS BIGINT) AS action_scroll FROM events
+        UNION ALL SELECT 'empty' AS input, {zero(AUDIT_COUNTERS)}"""
+    # What each notation means follows from how it was built.
+    sql["actions_hard"] = """WITH t AS (SELECT conv_id * 1000 + turn AS entry_id, conv_id, turn, text, (conv_id + turn) % 7 AS k FROM conversations WHERE text IS NOT NULL)
+        SELECT entry_id,
+               CASE k WHEN 0 THEN 'CLICK' WHEN 1 THEN 'TYPE' WHEN 2 THEN 'TYPE' WHEN 3 THEN 'SCROLL' WHEN 4 THEN 'LONG_PRESS' WHEN 5 THEN 'CLICK' ELSE 'INCOMPLETE' END AS action_type,
+               CASE k WHEN 0 THEN conv_id * 10 WHEN 3 THEN conv_id WHEN 4 THEN 1000 + turn WHEN 5 THEN 12 END AS x,
+               CASE k WHEN 0 THEN 0 WHEN 3 THEN -turn WHEN 4 THEN conv_id WHEN 5 THEN 3 END AS y,
+               CASE k WHEN 1 THEN trim(text, chr(34) || chr(39)) WHEN 2 THEN 'say "' || CAST(turn AS VARCHAR) || '" twice' END AS text
+        FROM t"""
     return sql
 
 

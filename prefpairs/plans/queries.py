@@ -11,19 +11,20 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prefpairs import constants as K
+from prefpairs.functions.actions import parse_actions
 from prefpairs.operators import audit, pairs, training
 from prefpairs.operators.entries import extract_entries, parse_entries, valid_entries
 from prefpairs.operators.pixels import with_pixels
-from prefpairs.operators.rejections import chosen_action
+from prefpairs.operators.rejections import chosen_action, register_strategy
 from prefpairs.schema import PairConfig
 from prefpairs.session import scratch_path
 from prefpairs.sources import sinks
 from prefpairs.sources.adapters import conversations_to_entries, events_to_entries
-from prefpairs.sources.readers import read_lines, read_pairs_jsonl, spread
+from prefpairs.sources.readers import read_entries, read_lines, read_pairs_jsonl, resolve_source, spread
 from prefpairs.sources.synthetic import synthetic_entries_from_ids
 from prefpairs.streaming.pairs_stream import run_pairs_stream
 
@@ -34,6 +35,7 @@ MAX_SAMPLES_M = 5000
 SPLIT_N_EVAL = 1000
 DEVICE_SIZE = (1080, 2400)
 PEEK_N = 3
+SLICE = (100, 5_000_000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,6 +220,176 @@ def q_peek(spark, sf_dir):
     return sinks.peek(p, ["entry_id", "strategy_ord"], PEEK_N)
 
 
+# --- sources and sinks: the tables written out and read back --------------------------
+
+
+def write_entry_lines(spark, sf_dir, with_ids: bool) -> str:
+    """Entries as JSON lines in files that follow the order of the ids; the sender of each
+    message carries the id."""
+    e = event_entries(spark, sf_dir)
+    tagged = F.transform("conversations", lambda m: F.struct(F.col("entry_id").cast("string").alias("from"), m["value"].alias("value")))
+    out = e.select("entry_id", tagged.alias("conversations")).repartitionByRange("entry_id").sortWithinPartitions("entry_id")
+    path = scratch_path(spark, "entry-lines")
+    (out if with_ids else out.drop("entry_id")).write.json(path)
+    return path
+
+
+def q_entries_json_lines(spark, sf_dir):
+    """Id-less JSON lines: positions are unique and follow the order of the lines."""
+    read = read_entries(spark, write_entry_lines(spark, sf_dir, with_ids=False), "json-pos")
+    origin = F.get("conversations", 0)["from"].cast("bigint")
+    in_file = Window.partitionBy(F.shiftright("entry_id", 40)).orderBy("entry_id")
+    ordered = read.select("*", origin.alias("_origin")).withColumn("in_order", F.coalesce(F.lag("_origin").over(in_file) < F.col("_origin"), F.lit(True)))
+    kept = extract_entries(ordered).filter(F.col("skip_reason").isNull())
+    return kept.select(F.col("_origin").alias("entry_id"), "instruction", "raw_action", "in_order")
+
+
+def q_entries_json_array(spark, sf_dir):
+    """JSON array files of up to 500 entries each."""
+    e = event_entries(spark, sf_dir)
+    arrays = e.groupBy(F.floor(F.col("entry_id") / 500).alias("g")).agg(F.to_json(F.collect_list(F.struct("entry_id", "conversations"))).alias("value"))
+    path = scratch_path(spark, "entry-arrays")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return _extracted(read_entries(spark, path, "json-array"))
+
+
+def q_entries_parquet(spark, sf_dir):
+    path = scratch_path(spark, "entries")
+    event_entries(spark, sf_dir).write.parquet(path)
+    return _extracted(read_entries(spark, path, "parquet"))
+
+
+def q_source_fallback(spark, sf_dir):
+    """The first candidate that exists: here the third."""
+    path = write_entry_lines(spark, sf_dir, with_ids=True)
+    return _extracted(resolve_source(spark, [(path + "-a", "parquet"), (path + "-b", "json-pos"), (path, "json")]).entries)
+
+
+def q_entries_faults(spark, sf_dir):
+    """Records that are no entries, and messages that are no text, by outcome."""
+    eid = F.col("event_id")
+    sid = eid.cast("string")
+    record = lambda user, action: F.concat(F.lit('{"entry_id": '), sid, F.lit(f', "conversations": [{{"value": {user}}}, {{"value": {action}}}]}}'))
+    line = (
+        F.when(eid % 8 == 0, record('"go"', '"COMPLETE"'))
+        .when(eid % 8 == 1, record("5", '"COMPLETE"'))
+        .when(eid % 8 == 2, record('"go"', '{"a": 1}'))
+        .when(eid % 8 == 3, record("true", '"COMPLETE"'))
+        .when(eid % 8 == 4, record("null", '"COMPLETE"'))
+        .when(eid % 8 == 5, F.concat(F.lit("{broken "), sid))
+        .when(eid % 8 == 6, F.concat(F.lit('{"entry_id": '), sid, F.lit(', "conversations": [{"value": "go"}]}')))
+        .otherwise(F.concat(record('"go"', '"COMPLETE"'), F.lit(" x")))
+    )
+    path = scratch_path(spark, "entry-faults")
+    events(spark, sf_dir).select(line.alias("value")).write.text(path)
+    out = pairs.skip_reasons(read_entries(spark, path, "json"))
+    return out.select(F.coalesce("skip_reason", F.lit("valid")).alias("outcome"), F.col("entries").alias("n"))
+
+
+def ordered_pair_lines(spark, sf_dir) -> str:
+    """Pair JSON lines in files that follow the generation order."""
+    p = event_pairs(spark, sf_dir).repartitionByRange("entry_id", "strategy_ord").sortWithinPartitions("entry_id", "strategy_ord")
+    return sinks.write_jsonl(p, scratch_path(spark, "pairs-ordered"))
+
+
+def q_pairs_jsonl_faults(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    path = scratch_path(spark, "pairs-faults")
+    pair_lines(pairs.generate_pairs(events_to_entries(ev))).unionByName(audit_fault_lines(ev)).write.text(path)
+    read = read_pairs_jsonl(spark, path, on_fault="keep")
+    return read.groupBy(F.coalesce("fault", F.lit("none")).alias("fault")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_jsonl_max_samples(spark, sf_dir):
+    read = read_pairs_jsonl(spark, ordered_pair_lines(spark, sf_dir), positions=True)
+    return training.max_samples(read, MAX_SAMPLES_M, ("line_id",)).select("prompt", "chosen", "rejected")
+
+
+def q_jsonl_split_exact(spark, sf_dir):
+    read = read_pairs_jsonl(spark, ordered_pair_lines(spark, sf_dir), positions=True)
+    out = training.split_exact(read, SPLIT_N_EVAL, key="content", tiebreak=("line_id",))
+    return out.select("prompt", "chosen", "rejected", "split")
+
+
+def q_train_eval_split_rows(spark, sf_dir):
+    p = pairs.flatten_pairs(event_pairs(spark, sf_dir))
+    return training.train_eval_split(training.sft_text(p, keep=("entry_id", "strategy_ord")), key="pair")
+
+
+def q_pairs_table_logical(spark, sf_dir):
+    """The partitioned pair table, one strategy read back."""
+    path = sinks.write_pairs_table(event_pairs(spark, sf_dir), scratch_path(spark, "pairs-table"))
+    one = spark.read.parquet(path).filter(F.col("rejection_strategy") == K.LOGICAL)
+    return one.select("entry_id", "prompt", "chosen", "rejected", F.col("metadata.source").alias("source"))
+
+
+def q_summary_report(spark, sf_dir):
+    path = sinks.write_jsonl(event_pairs(spark, sf_dir), scratch_path(spark, "pairs-report"))
+    return audit.summary(spark, path).drop("output_path")
+
+
+def q_prepared_counts(spark, sf_dir):
+    """Rows by split, as the prepare job reports them."""
+    from prefpairs.plans.job import prepare
+
+    path = sinks.write_pairs_table(event_pairs(spark, sf_dir), scratch_path(spark, "pairs-prepare"))
+    counts = prepare(spark, path, scratch_path(spark, "prepared"), "dpo")
+    return spark.createDataFrame(sorted(counts.items()), "split string, n bigint")
+
+
+def q_entries_slice(spark, sf_dir):
+    return _extracted(pairs.slice_entries(event_entries(spark, sf_dir), *SLICE))
+
+
+def q_preview(spark, sf_dir):
+    p = pairs.flatten_pairs(event_pairs(spark, sf_dir)).select("entry_id", "strategy_ord", "prompt", "chosen", "rejected")
+    return sinks.preview(p, ["entry_id", "strategy_ord"], PEEK_N, width=12)
+
+
+def q_rejections_no_noise(spark, sf_dir):
+    """Without noise every moved point falls on its origin, so each takes the collision step."""
+    p = event_pairs(spark, sf_dir, PairConfig(noise_std=0.0, strategies=(K.SPATIAL,)))
+    return p.select("entry_id", "chosen", "rejected")
+
+
+def q_rejections_custom(spark, sf_dir):
+    """A strategy of the user's own: the coordinates swapped."""
+    swapped = F.concat(F.col("action_type"), F.lit(": ("), F.col("y").cast("string"), F.lit(", "), F.col("x").cast("string"), F.lit(")"))
+    register_strategy("swapped", lambda cfg: F.when(F.col("x").isNotNull(), swapped).otherwise(F.col("chosen")))
+    return _one_strategy(spark, sf_dir, "swapped")
+
+
+def q_audit_uncounted(spark, sf_dir):
+    """Coordinates that cannot be read are not counted; an empty input counts zeros."""
+    sid = F.col("event_id").cast("string")
+    line = F.concat(F.lit('{"prompt": "p", "chosen": "CLICK: (a'), sid, F.lit(', 2)", "rejected": "LONG_PRESS: (1, '), sid, F.lit(', 3)"}'))
+    lines = events(spark, sf_dir).select(line.alias("value"))
+    odd, none = audit.audit_lines(lines), audit.audit_lines(lines.filter(F.lit(False)))
+    return odd.select(F.lit("unreadable").alias("input"), "*").unionByName(none.select(F.lit("empty").alias("input"), "*"))
+
+
+def hard_actions(turns: DataFrame) -> DataFrame:
+    """Conversation turns -> actions in unusual notations around their numbers and text."""
+    c, t = F.col("conv_id").cast("string"), F.col("turn").cast("string")
+    k = (F.col("conv_id") + F.col("turn")) % 7
+    cat = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    action = (
+        F.when(k == 0, cat(" CLICK: CLICK: (", c, "e1, .", t, ")　"))
+        .when(k == 1, cat('TYPE: "', F.col("text"), '"'))
+        .when(k == 2, cat(" TYPE: 'say \"", t, "\" twice' "))
+        .when(k == 3, cat("SCROLL:(+", c, "., -", t, ".75)"))
+        .when(k == 4, cat("LONG_PRESS: ((1_", F.lpad(t, 3, "0"), " , ", c, "E+0)"))
+        .when(k == 5, cat("CLICK: (١٢, ３)"))
+        .otherwise(cat("INCOMPLETE", F.col("text")))
+    )
+    return turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("entry_id"), action.alias("raw"))
+
+
+def q_actions_hard(spark, sf_dir):
+    raw = hard_actions(table(spark, sf_dir, "conversations").filter(F.col("text").isNotNull()))
+    return parse_actions(raw, "raw").select("entry_id", "action_type", "x", "y", "text")
+
+
 QUERIES: dict[str, Query] = {
     "entries_extracted": q_entries_extracted,
     "entries_from_conversations": q_entries_from_conversations,
@@ -244,4 +416,22 @@ QUERIES: dict[str, Query] = {
     "jsonl_audit": q_jsonl_audit,
     "pairs_streamed": q_pairs_streamed,
     "peek": q_peek,
+    "entries_json_lines": q_entries_json_lines,
+    "entries_json_array": q_entries_json_array,
+    "entries_parquet": q_entries_parquet,
+    "source_fallback": q_source_fallback,
+    "entries_faults": q_entries_faults,
+    "pairs_jsonl_faults": q_pairs_jsonl_faults,
+    "jsonl_max_samples": q_jsonl_max_samples,
+    "jsonl_split_exact": q_jsonl_split_exact,
+    "train_eval_split_rows": q_train_eval_split_rows,
+    "pairs_table_logical": q_pairs_table_logical,
+    "summary_report": q_summary_report,
+    "prepared_counts": q_prepared_counts,
+    "entries_slice": q_entries_slice,
+    "preview": q_preview,
+    "rejections_no_noise": q_rejections_no_noise,
+    "rejections_custom": q_rejections_custom,
+    "audit_uncounted": q_audit_uncounted,
+    "actions_hard": q_actions_hard,
 }

@@ -32,8 +32,11 @@ def conform(entries: DataFrame) -> DataFrame:
 
 
 def adapt(df: DataFrame, adapter: EntryAdapter) -> DataFrame:
-    """Run a user adapter (raw annotations -> ENTRY) and conform its output."""
-    return conform(adapter(df))
+    """Run a user adapter (raw annotations -> ENTRY) and conform its output; a row without
+    an id fails the job."""
+    from prefpairs.sources.readers import require_ids
+
+    return require_ids(conform(adapter(df)))
 
 
 def events_to_entries(events: DataFrame) -> DataFrame:

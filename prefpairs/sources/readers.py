@@ -5,73 +5,128 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefpairs.functions.jsonline import has_key, is_object, is_strict_json, string_field, wrapped_variant
 from prefpairs.functions.text import py_strip
-from prefpairs.schema import ENTRY, PAIR
+from prefpairs.schema import PAIR
+from prefpairs.session import scratch_path
 from prefpairs.sources.adapters import conform
 from prefpairs.sources.synthetic import synthetic_entries
 
-# Row ids derived from Parquet positions: file ordinal in the high bits, row index in
-# the low 40 bits (up to ~1.1e12 rows per file).
+# Row ids derived from positions: file ordinal in the high bits, row index in the low 40
+# bits (up to ~1.1e12 rows per file).
 _ROW_BITS = 40
 # The file-ordinal table is broadcast only below this many files; its size is known
 # exactly on the driver before the join is planned.
 MAX_BROADCAST_FILES = 200_000
-# Same bound for the per-split line-offset table of positional JSON-lines ids.
-MAX_BROADCAST_SPLITS = 200_000
-ENTRY_NO_ID = T.StructType([f for f in ENTRY.fields if f.name != "entry_id"])
 
+# Entries as they come from JSON: fields of any kind, so that a message that is no text is told
+# apart from one that is missing, and one odd record does not spoil an array file.
+_CORRUPT = "_corrupt_record"
+_JSON_ENTRY = f"entry_id variant, conversations variant, {_CORRUPT} string"
 
-def _require_ids(entries: DataFrame) -> DataFrame:
-    """Fail the job on a row without ``entry_id``: ids order prefixes and key the noise,
-    and JSON has no row position to fall back on."""
+MALFORMED_RECORD = "malformed_record"
+NON_TEXT_MESSAGE = "non_text_message"
+
+
+def require_ids(entries: DataFrame) -> DataFrame:
+    """Fail the job on a row without ``entry_id``: ids order prefixes and key the noise, so
+    rows without one would share it. A malformed record has none to give and passes, as it
+    is skipped and counted later."""
+    needed = F.col("entry_id").isNull()
+    if "fault" in entries.columns:
+        needed = needed & F.coalesce(F.col("fault") != MALFORMED_RECORD, F.lit(True))
     return entries.withColumn(
         "entry_id",
-        F.when(F.col("entry_id").isNull(), F.raise_error(F.lit("entry without entry_id"))).otherwise(F.col("entry_id")),
+        F.when(needed, F.raise_error(F.lit("entry without entry_id")).cast("bigint")).otherwise(F.col("entry_id")),
     )
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, scan: DataFrame | None = None) -> DataFrame:
     """Redistribute round-robin when the scan yields far fewer partitions than there are
     task slots (e.g. one large Parquet row group), so the per-row parsing, hashing and
     JSON work uses every core. Only a gain of at least 4x pays for the shuffle: inputs
     with more than a quarter as many splits as slots, the normal case on a cluster, are
     returned untouched. Nothing downstream depends on which partition a row lands in (the
-    noise is keyed by entry id)."""
+    noise is keyed by entry id). ``scan`` is the bare scan below ``df``, whose number of
+    partitions is known without running anything; a plan with joins is never asked."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > target:
+    if (df if scan is None else scan).rdd.getNumPartitions() * 4 > target:
         return df
     return df.repartition(target)
 
 
+def _text_entries(df: DataFrame) -> DataFrame:
+    """``_JSON_ENTRY`` rows, their id as a number -> ENTRY rows and ``fault``.
+
+    Only a JSON string is a message's text. A record that cannot be read, and one of whose
+    first two messages is a number, an object or the like, keep a row with their fault.
+    """
+    kind = lambda v: F.schema_of_variant(v)
+    text = lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    field = lambda m, name: F.try_variant_get(m, f"$.{name}", "variant")
+    listed = df.select(
+        "entry_id",
+        F.try_variant_get("conversations", "$", "array<variant>").alias("_list"),
+        (F.col(_CORRUPT).isNotNull() | ~kind(F.col("conversations")).like("ARRAY%") & (kind(F.col("conversations")) != "VOID")).alias("_bad"),
+    )
+    conv = F.col("_list")
+    odd = lambda i: F.coalesce(~kind(field(F.get(conv, i), "value")).isin("STRING", "VOID"), F.lit(False))
+    fault = F.when(F.coalesce("_bad", F.lit(False)), F.lit(MALFORMED_RECORD)).when((F.size(conv) >= 2) & (odd(0) | odd(1)), F.lit(NON_TEXT_MESSAGE))
+    messages = F.transform(conv, lambda m: F.struct(text(field(m, "from")).alias("from"), text(field(m, "value")).alias("value")))
+    return listed.select("entry_id", messages.alias("conversations"), fault.alias("fault"))
+
+
+def _parsed_lines(lines: DataFrame) -> DataFrame:
+    """Adds the columns of ``_JSON_ENTRY`` to lines in ``value``."""
+    parsed = lines.withColumn("_e", F.from_json("value", T._parse_datatype_string(_JSON_ENTRY), {"columnNameOfCorruptRecord": _CORRUPT}))
+    # The parser stops after the first value; in brackets, what follows it is an error.
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))).isNotNull()
+    corrupt = F.coalesce(F.col(f"_e.{_CORRUPT}"), F.when(~whole, F.col("value")))
+    return parsed.withColumns({"entry_id": F.col("_e.entry_id"), "conversations": F.col("_e.conversations"), _CORRUPT: corrupt})
+
+
 def read_entries_json(
-    spark: SparkSession, path: str | list[str], multi_line: bool = False, ids: str = "column"
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, ids: str = "column", spread_rows: bool = False
 ) -> DataFrame:
-    """Entries from JSON lines (default) or JSON array files (``multi_line``).
-
-    ``ids="column"`` takes ``entry_id`` from the records and fails on a record without
-    one. ``ids="position"`` numbers the records by position instead: file ordinal in the
-    high bits, record number within the file (0-based, blank lines skipped) in the low
-    40 bits, so prefixes follow file order as a sequential reader would.
+    """Entries from JSON lines (default) or JSON array files (``multi_line``): ENTRY columns
+    and ``fault``.
+
+    ``ids="column"`` takes ``entry_id`` from the records and fails on a readable record
+    without one. ``ids="position"`` numbers the records by position instead: file ordinal in
+    the high bits, record number within the file (0-based, blank lines skipped) in the low
+    40 bits, so prefixes follow file order as a sequential reader would. Array files are
+    streamed record by record; an array that breaks off counts as one malformed record.
     """
-    if ids == "column":
-        df = spark.read.schema(ENTRY).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
-        return _require_ids(df)
-    if ids != "position":
+    if ids not in ("column", "position"):
         raise ValueError("ids must be 'column' or 'position'")
     if multi_line:
-        return _json_array_positions(spark, path)
-    return _json_line_positions(spark, path)
-
-
-def _file_ordinals(spark: SparkSession, df: DataFrame) -> DataFrame:
+        scan = spark.read.schema(_JSON_ENTRY).options(multiLine=True, columnNameOfCorruptRecord=_CORRUPT).json(path)
+        rows = scan.select("*", *_place())
+    else:
+        scan = spark.read.text(path)
+        rows = scan.filter(F.length(py_strip(F.col("value"))) > 0).select("value", *_place())
+    if ids == "position":
+        rows = with_positions(spark, rows, scan.inputFiles(), "_id")
+    if not multi_line:
+        rows = _parsed_lines(rows)
+    if ids == "position":
+        rows = rows.withColumn("entry_id", F.col("_id"))
+    else:
+        rows = rows.withColumn("entry_id", F.try_variant_get("entry_id", "$", "bigint"))
+    entries = require_ids(_text_entries(rows))
+    return spread(entries, scan=scan) if spread_rows else entries
+
+
+def _file_ordinals(spark: SparkSession, files: list[str]) -> DataFrame:
     """(normalised file path, ordinal in path order): one row per input file."""
-    files = sorted(re.sub(r"^file:/+", "file:///", f) for f in df.inputFiles())
+    files = sorted(re.sub(r"^file:/+", "file:///", f) for f in files)
     ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _ord long")
     return F.broadcast(ordinals) if len(files) <= MAX_BROADCAST_FILES else ordinals
 
@@ -80,49 +135,34 @@ def _file_path() -> "F.Column":
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
 
 
-def _json_line_positions(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Positional ids for JSON lines without a line-number column.
+def _place() -> list["F.Column"]:
+    """Where a scan found a row: file, split, and a number that runs on within the split."""
+    return [_file_path().alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_mono")]
 
-    ``monotonically_increasing_id`` is deterministic for a given scan (partition index and
-    row order), so the rows of one input split carry consecutive ids. One pass counts the
-    rows per split; a window over that small table (one row per split) turns counts into
-    each split's first line number within its file; a join puts the offsets back. No row
-    leaves its task except through that split-sized table.
+
+def with_positions(spark: SparkSession, rows: DataFrame, files: list[str], name: str) -> DataFrame:
+    """``rows`` of a scan with ``_place`` columns -> the same with ``name``: file ordinal and
+    row number within the file.
+
+    Two scans: the first counts the rows of each split and writes the counts, one row per
+    split, to the shared folder; the second numbers its rows from them. Should the second
+    scan cut the files otherwise (the cut follows settings and the number of cores while the
+    input is small), a row finds no count or a number outside its split's count, and the job
+    fails instead of losing or misnumbering rows.
     """
-    text = spark.read.text(path)
-    lines = text.filter(F.length(py_strip(F.col("value"))) > 0).select(
-        "value",
-        _file_path().alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mono"),
-    )
-    splits = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_mono0"))
+    path = scratch_path(spark, "split-counts")
+    rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_mono0")).write.parquet(path)
     in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_file", "_block", "_mono0", F.coalesce(F.sum("_n").over(in_file), F.lit(0)).alias("_first_line")
-    ).join(_file_ordinals(spark, text), "_file")
-    if offsets.count() <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-    line_no = F.col("_first_line") + (F.col("_mono") - F.col("_mono0"))
-    rows = lines.join(offsets, ["_file", "_block"]).select(
-        (F.shiftleft(F.col("_ord"), _ROW_BITS) + line_no).alias("entry_id"),
-        F.from_json("value", ENTRY_NO_ID).alias("_e"),
-    )
-    return rows.select("entry_id", F.col("_e.conversations").alias("conversations"))
-
-
-def _json_array_positions(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Positional ids for JSON array files: each file is one array of records (a JSON
-    array cannot be split, so each file is read by one task)."""
-    files = spark.read.text(path, wholetext=True)
-    parsed = files.select(
-        _file_path().alias("_file"), F.from_json("value", T.ArrayType(ENTRY_NO_ID)).alias("_records")
-    ).join(_file_ordinals(spark, files), "_file")
-    exploded = parsed.select("_ord", F.posexplode("_records").alias("_pos", "_e"))
-    return exploded.select(
-        (F.shiftleft(F.col("_ord"), _ROW_BITS) + F.col("_pos")).alias("entry_id"),
-        F.col("_e.conversations").alias("conversations"),
+    counts = spark.read.parquet(path)
+    offsets = counts.select("_file", "_block", "_n", "_mono0", F.coalesce(F.sum("_n").over(in_file), F.lit(0)).alias("_first"))
+    offsets = offsets.join(_file_ordinals(spark, files), "_file")
+    inside = F.col("_mono") - F.col("_mono0")
+    known = F.coalesce((inside >= 0) & (inside < F.col("_n")), F.lit(False))
+    position = F.when(known, F.shiftleft(F.col("_ord"), _ROW_BITS) + F.col("_first") + inside).otherwise(
+        F.raise_error(F.lit("the files were cut into other splits than when they were counted")).cast("bigint")
     )
+    own = [c for c in rows.columns if c not in ("_file", "_block", "_mono")]
+    return rows.join(offsets, ["_file", "_block"], "left").select(*own, position.alias(name))
 
 
 def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -131,7 +171,7 @@ def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
     One small table of (file path, ordinal) is joined on; it has one row per input file.
     """
     # inputFiles() spells local files "file:///p" where the scan metadata says "file:/p".
-    ordinals = _file_ordinals(spark, df)
+    ordinals = _file_ordinals(spark, df.inputFiles())
     pos = df.select("*", _file_path().alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return (
         pos.join(ordinals, "_file", "left")
@@ -140,12 +180,14 @@ def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
     )
 
 
-def read_entries_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Entries from Parquet; without an ``entry_id`` column the scan position is used."""
-    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+def read_entries_parquet(spark: SparkSession, path: str | list[str], spread_rows: bool = False) -> DataFrame:
+    """Entries from Parquet; without an ``entry_id`` column the scan position is used, with
+    one a NULL in it fails the job."""
+    df = scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
     if "entry_id" not in df.columns:
         df = with_parquet_row_ids(spark, df)
-    return conform(df)
+    entries = require_ids(conform(df))
+    return spread(entries, scan=scan) if spread_rows else entries
 
 
 ENTRY_FORMATS = {
@@ -156,58 +198,141 @@ ENTRY_FORMATS = {
 }
 
 
-def read_entries(spark: SparkSession, path: str | list[str], fmt: str = "json", multi_line: bool = False) -> DataFrame:
-    """Entries in one of: parquet, json, json-array, json-pos, json-array-pos."""
+def read_entries(
+    spark: SparkSession, path: str | list[str], fmt: str = "json", multi_line: bool = False, spread_rows: bool = False
+) -> DataFrame:
+    """Entries in one of: parquet, json, json-array, json-pos, json-array-pos; ``first:`` in
+    front reads only the first split of a folder (``first_split``). ``spread_rows``
+    redistributes a coarse scan's rows over the task slots."""
+    if fmt.startswith("first:"):
+        fmt = fmt.removeprefix("first:")
+        files = (spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)).inputFiles()
+        path = first_split(files, str(path))
+        if not path:
+            raise FileNotFoundError("no files")
     if fmt == "parquet":
-        return read_entries_parquet(spark, path)
+        return read_entries_parquet(spark, path, spread_rows)
     if fmt in ENTRY_FORMATS:
         opts = dict(ENTRY_FORMATS[fmt])
         opts["multi_line"] = opts["multi_line"] or multi_line
-        return read_entries_json(spark, path, **opts)
+        return read_entries_json(spark, path, **opts, spread_rows=spread_rows)
     raise ValueError(f"unsupported entry format {fmt!r}")
 
 
+def first_split(files: list[str], root: str = "") -> list[str]:
+    """Of a folder's files those of its first split: train before validation before test, by
+    the words of their paths below ``root``; all files if none names a split."""
+    below = lambda f: f.rpartition(root.rstrip("/").rpartition("/")[2])[2] if root else f
+    named = lambda f, words: any(w in re.split(r"[^a-z]+", below(f).lower()) for w in words)
+    for words in (("train", "training"), ("validation", "valid", "val", "dev"), ("test", "testing", "eval")):
+        if own := [f for f in files if named(f, words)]:
+            return own
+    return files
+
+
 def dataset_candidates(root: str, fmt: str = "parquet", data_file: str = "data.json") -> list[tuple[str, str]]:
     """The generator's source order for a dataset folder: its data file (id-less JSON
-    lines), then the ``train``, ``validation`` and ``test`` splits, then the whole folder."""
+    lines), then the ``train``, ``validation`` and ``test`` splits, then the first split
+    that the folder's files name."""
     root = root.rstrip("/")
     return [
         (f"{root}/{data_file}", "json-pos"),
         (f"{root}/train", fmt),
         (f"{root}/validation", fmt),
         (f"{root}/test", fmt),
-        (root, fmt),
+        (root, f"first:{fmt}"),
     ]
 
 
-def resolve_entries(
+@dataclass(frozen=True)
+class Source:
+    entries: DataFrame
+    label: str
+    synthetic: bool
+
+
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def resolve_source(
     spark: SparkSession,
     candidates: Iterable[tuple[str, str]],
-    synthetic_fallback: int | None = 10,
-) -> tuple[DataFrame, str]:
-    """First readable candidate ``(path, format)`` wins; when none is readable, fall back to
-    synthetic entries. Returns the entries and a label of what was used.
-
-    Readability is checked by resolving the path and schema on the driver (no data is
-    read); an unreadable or empty location moves on to the next candidate.
+    synthetic_fallback: int | None = None,
+    spread_rows: bool = False,
+) -> Source:
+    """First candidate ``(path, format)`` that exists and has files wins.
+
+    Only a missing or empty location moves on to the next candidate; any other fault, such
+    as a misspelt format or a wrong schema, fails. Synthetic entries stand in for a missing
+    source only when ``synthetic_fallback`` asks for them.
     """
     for path, fmt in candidates:
         try:
-            df = read_entries(spark, path, fmt)
-            if not df.inputFiles():
-                continue
-            return df, path
-        except (AnalysisException, ValueError):
+            df = read_entries(spark, path, fmt, spread_rows=spread_rows)
+            if df.inputFiles():
+                return Source(df, path, False)
+        except FileNotFoundError:
             continue
+        except AnalysisException as e:
+            if e.getCondition() not in _ABSENT:
+                raise
     if synthetic_fallback:
-        return synthetic_entries(spark, synthetic_fallback), f"synthetic:{synthetic_fallback}"
+        return Source(synthetic_entries(spark, synthetic_fallback), f"synthetic:{synthetic_fallback}", True)
     raise FileNotFoundError("no entry source could be read")
 
 
-def read_pairs_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Pair JSON lines as a table ``(prompt, chosen, rejected)``; blank lines are ignored
-    by this reader, use ``read_lines`` for the audit."""
-    return spark.read.schema(PAIR).json(path)
+def resolve_entries(
+    spark: SparkSession, candidates: Iterable[tuple[str, str]], synthetic_fallback: int | None = 10
+) -> tuple[DataFrame, str]:
+    """``resolve_source`` as (entries, label), ending in synthetic entries by default."""
+    source = resolve_source(spark, candidates, synthetic_fallback)
+    return source.entries, source.label
+
+
+def pair_lines_table(lines: DataFrame) -> DataFrame:
+    """Raw lines (``value``) -> prompt, chosen, rejected and ``fault``: NULL for a JSON object
+    with all three as strings, else ``json_error``, ``missing_key`` or ``non_text``. Blank
+    lines are left out; other columns pass through."""
+    keep = [c for c in lines.columns if c != "value"]
+    text = lines.filter(F.length(py_strip(F.col("value"))) > 0)
+    w = text.select(*keep, "value", wrapped_variant(F.col("value")).alias("_w"))
+    keys = PAIR.fieldNames()
+    has = [has_key(F.col("_w"), k) for k in keys]
+    read = w.select(
+        *keep,
+        *[string_field(F.col("_w"), k).alias(k) for k in keys],
+        F.when(~is_strict_json(F.col("value"), F.col("_w")), F.lit("json_error"))
+        .when(~is_object(F.col("_w")) | ~(has[0] & has[1] & has[2]), F.lit("missing_key"))
+        .alias("_f"),
+    )
+    non_text = F.col("prompt").isNull() | F.col("chosen").isNull() | F.col("rejected").isNull()
+    return read.select(*keep, *keys, F.coalesce("_f", F.when(non_text, F.lit("non_text"))).alias("fault"))
+
+
+def read_pairs_jsonl(spark: SparkSession, path: str | list[str], on_fault: str = "raise", positions: bool = False) -> DataFrame:
+    """Pair JSON lines as a table ``(prompt, chosen, rejected)``; blank lines are ignored by
+    this reader, use ``read_lines`` for the audit.
+
+    A line that is no pair of texts fails the read (``on_fault="raise"``), is left out
+    (``"drop"``), or stays with its ``fault`` (``"keep"``). ``positions`` adds ``line_id``,
+    the place of the line in file order.
+    """
+    if on_fault not in ("raise", "drop", "keep"):
+        raise ValueError("on_fault must be 'raise', 'drop' or 'keep'")
+    scan = spark.read.text(path)
+    lines = scan
+    if positions:
+        placed = scan.filter(F.length(py_strip(F.col("value"))) > 0).select("value", *_place())
+        lines = with_positions(spark, placed, scan.inputFiles(), "line_id")
+    pairs = pair_lines_table(lines)
+    if on_fault == "keep":
+        return pairs
+    if on_fault == "drop":
+        # A generator keeps the test above the parse, which is then done once per line.
+        return pairs.select("*", F.explode(F.array(F.col("fault").isNull())).alias("_ok")).filter("_ok").drop("_ok", "fault")
+    stop = F.raise_error(F.concat(F.lit("line is no pair: "), F.col("fault"))).cast("string")
+    checked = F.when(F.col("fault").isNotNull(), stop)
+    return pairs.select(*[F.coalesce(checked, F.col(c)).alias(c) if c in PAIR.fieldNames() else F.col(c) for c in pairs.columns if c != "fault"])
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

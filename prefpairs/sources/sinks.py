@@ -9,8 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefpairs.operators.prefix import first_n
-
 
 def jsonl_view(pairs: DataFrame) -> DataFrame:
     """The three on-disk columns in their fixed key order; metadata is dropped."""
@@ -79,7 +77,7 @@ def write_pairs_table(pairs: DataFrame, path: str, max_records_per_file: int | N
 
 def peek(df: DataFrame, order_cols: list[str], n: int = 3, pretty: bool = True) -> DataFrame:
     """The first ``n`` rows by ``order_cols`` rendered as (pretty) JSON, in order."""
-    head = first_n(df, order_cols, n)
+    head = df.orderBy(*order_cols).limit(n)  # a handful of rows: plain top-k
     body = F.to_json(F.struct(*[c for c in df.columns if c not in order_cols]), {"pretty": "true"} if pretty else {})
     return head.select(*order_cols, body.alias("json")).orderBy(*order_cols)
 
@@ -87,7 +85,7 @@ def peek(df: DataFrame, order_cols: list[str], n: int = 3, pretty: bool = True)
 def preview(df: DataFrame, order_cols: list[str], n: int = 1, width: int = 80) -> DataFrame:
     """The first ``n`` rows by ``order_cols`` with every string column cut to ``width``
     characters (whole rows are never materialised on the driver; only these n)."""
-    head = first_n(df, order_cols, n)
+    head = df.orderBy(*order_cols).limit(n)
     cols = [
         F.substring(F.col(f.name), 1, width).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f.name)
         for f in df.schema.fields

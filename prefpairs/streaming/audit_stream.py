@@ -1,13 +1,15 @@
 """The JSONL audit as a streaming aggregation: running counters over files as they arrive.
 
 The audit is one global aggregate, so its streaming state is nine numbers. Each
-micro-batch rewrites the complete result, which makes the output idempotent under
-replay; the checkpoint records which files were counted.
+micro-batch writes the complete result to a folder of its own, named by the batch, so a
+replay writes the same folder again and a crash leaves the totals of the batch before;
+the checkpoint records which files were counted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from prefpairs import constants as K
 from prefpairs.operators.audit import audit_lines
@@ -22,14 +24,15 @@ def run_audit_stream(
     max_files_per_trigger: int | None = None,
 ) -> str:
     """Audit every JSONL file under ``folder`` not seen before (``availableNow``) and
-    write the running totals as a one-row Parquet table at ``out_path``."""
+    write the running totals, one row per batch, under ``out_path``; ``latest_totals`` reads
+    them."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     counters = audit_lines(reader.load(folder), "value", canvas)
 
-    def publish(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     query = (
         counters.writeStream.outputMode("complete")
@@ -42,3 +45,9 @@ def run_audit_stream(
     if query.exception() is not None:
         raise RuntimeError(f"audit stream failed: {query.exception()}")
     return out_path
+
+
+def latest_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """The one row of totals of the last batch under ``out_path``."""
+    totals = spark.read.parquet(out_path)
+    return totals.orderBy(F.col("batch_id").desc()).limit(1).drop("batch_id")

@@ -80,12 +80,10 @@ def test_sft_and_dpo(spark):
     assert sft_text(dup, drop_duplicates=True).count() == 1
 
 
-def test_first_n_distributed_rounds(spark, monkeypatch):
-    """Force the distributed path (no driver finish) and compare with sort + limit."""
+def test_first_n_many_rounds(spark):
+    """Many rounds of few buckets, compared with sort + limit."""
     import prefpairs.operators.prefix as P
 
-    monkeypatch.setattr(P, "COLLECT_LIMIT", 0)
-    monkeypatch.setattr(P._refine, "__defaults__", (0, None))
     rnd = random.Random(3)
     rows = [(rnd.choice([5, 6, rnd.randint(-10**12, 10**12)]), rnd.randint(0, 9), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "a long, b long, c long")
@@ -126,11 +124,9 @@ def test_first_n_with_bounds(spark, n):
     assert single.filter(first_n_predicate(single, ["a", "b"], 2, head_bounds=(5, 5))).count() == 2
 
 
-def test_first_n_with_bounds_distributed(spark, monkeypatch):
+def test_first_n_with_bounds_many_rounds(spark):
     import prefpairs.operators.prefix as P
 
-    monkeypatch.setattr(P, "COLLECT_LIMIT", 0)
-    monkeypatch.setattr(P._refine, "__defaults__", (0, None))
     rnd = random.Random(5)
     rows = [(rnd.choice([7, rnd.randint(0, 2**48 - 1)]), i) for i in range(2000)]
     df = spark.createDataFrame(rows, "a long, b long")
@@ -138,3 +134,34 @@ def test_first_n_with_bounds_distributed(spark, monkeypatch):
         got = sorted(map(tuple, df.filter(P.first_n_predicate(df, ["a", "b"], n, buckets=8, head_bounds=(0, 2**48 - 1))).collect()))
         want = sorted(map(tuple, df.orderBy("a", "b").limit(n).collect()))
         assert got == want, n
+
+
+def test_first_n_keeps_rows_without_a_key(spark):
+    """NULL keys come last, and none of their rows is lost."""
+    rows = [(None if i % 4 == 0 else i, None if i % 10 == 0 else i, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    nulls_last = [F.col(c).asc_nulls_last() for c in "abc"]
+    for n in (1, 149, 150, 151, 185, 199, 200, 500):
+        got = sorted(r.c for r in first_n(df, ["a", "b", "c"], n).collect())
+        assert got == sorted(r.c for r in df.orderBy(*nulls_last).limit(n).collect()), n
+    assert first_n(df, ["a"], 500).count() == 200 and first_n(df, ["a"], 150).count() == 150
+    with pytest.raises(ValueError, match="not unique"):
+        first_n(df, ["a"], 160)
+
+
+def test_first_n_sends_only_counts_to_the_driver(spark, monkeypatch):
+    """The same rounds at every size: what the driver sorts are histograms, never keys."""
+    import prefpairs.operators.prefix as P
+
+    rounds = []
+
+    def seen(rows):
+        rounds.append(sorted(rows))
+        return rounds[-1]
+
+    monkeypatch.setattr(P, "sorted", seen, raising=False)
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"))
+    predicate = P.first_n_predicate(df, ["k"], 1234, buckets=64)
+    assert len(rounds) >= 2 and all(len(r) <= 64 for r in rounds)
+    assert sum(n for _, n in rounds[0]) == 5000
+    assert df.filter(predicate).count() == 1234

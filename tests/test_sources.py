@@ -235,7 +235,10 @@ def test_cli_generate_and_prepare(spark, tmp_out, capsys):
     from prefpairs.plans.job import main
 
     out = os.path.join(tmp_out, "cli")
-    main(["generate", "--source", os.path.join(tmp_out, "missing.json") + ":json-pos", "--out", out, "--single-file"])
+    missing = ["generate", "--source", os.path.join(tmp_out, "missing.json") + ":json-pos", "--out", out, "--single-file"]
+    with pytest.raises(FileNotFoundError):
+        main(missing)
+    main([*missing, "--synthetic", "10"])
     rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert rep["source"] == "synthetic:10" and rep["valid_pairs"] == 20 and rep["action_click"] == 22
     main(["prepare", "--pairs", rep["pairs_table"], "--out", os.path.join(tmp_out, "sft"), "--kind", "sft", "--exact"])
@@ -255,15 +258,132 @@ def test_positional_ids_gzip(spark, tmp_out):
     assert rows == [(i, f"q{i}") for i in range(50)]
 
 
-def test_prepare_refuses_order_on_idless_jsonl(spark, tmp_out):
+def test_prepare_orders_jsonl_by_line(spark, tmp_out):
+    """JSON lines have an order: the place of the line, as a sequential reader sees it."""
     from prefpairs.plans.job import prepare
-    from prefpairs.sources.synthetic import synthetic_entries
+    from prefpairs.sources.readers import read_pairs_jsonl
     from prefpairs.sources.sinks import write_jsonl
+    from prefpairs.sources.synthetic import synthetic_entries
+
+    path = write_jsonl(generate_pairs(synthetic_entries(spark, 10)).orderBy("entry_id", "strategy_ord"), os.path.join(tmp_out, "p.jsonl"), single_file=True)
+    part = next(f for f in os.listdir(path) if f.startswith("part-"))
+    lines = [json.loads(x)["prompt"] for x in open(os.path.join(path, part))]
+    rows = read_pairs_jsonl(spark, path, positions=True).orderBy("line_id").collect()
+    assert [r.prompt for r in rows] == lines and [r.line_id for r in rows] == list(range(20))
+    assert sum(prepare(spark, path, os.path.join(tmp_out, "o1"), "dpo", limit=5).values()) == 5
+    kept = spark.read.parquet(os.path.join(tmp_out, "o1"))
+    assert sorted(r.prompt for r in kept.collect()) == sorted(lines[:5]) and "line_id" in kept.columns
+    assert prepare(spark, path, os.path.join(tmp_out, "o2"), "dpo", n_eval=3) == {"train": 17, "eval": 3}
+    assert prepare(spark, path, os.path.join(tmp_out, "o3"), "sft", exact=True) == {"train": 18, "eval": 2}
+    assert sum(prepare(spark, path, os.path.join(tmp_out, "o4"), "sft", drop_duplicates=True, split_by="content").values()) <= 10
+
+
+def test_pair_tables_by_declared_format(spark, tmp_out):
+    from prefpairs.plans.job import load_pairs, prepare
+
+    plain = os.path.join(tmp_out, "plain")
+    spark.createDataFrame([(f"p{i}", "c", "r") for i in range(5)], "prompt string, chosen string, rejected string").write.parquet(plain)
+    assert sum(prepare(spark, plain, os.path.join(tmp_out, "o"), "sft").values()) == 5
+    assert spark.read.parquet(os.path.join(tmp_out, "o")).filter("text is null").count() == 0
+    with pytest.raises(ValueError, match="order"):
+        prepare(spark, plain, os.path.join(tmp_out, "o"), "sft", limit=2)
+    with pytest.raises(Exception, match="json_error"):
+        load_pairs(spark, plain, "jsonl")[0].collect()
+    with pytest.raises(ValueError):
+        load_pairs(spark, plain, "csv")
+
+
+def test_faulty_pair_lines_never_become_rows(spark, tmp_out):
+    from prefpairs.sources.readers import read_pairs_jsonl
+
+    path = os.path.join(tmp_out, "pairs.jsonl")
+    good = '{"prompt": "p", "chosen": "c", "rejected": "r"}'
+    with open(path, "w") as f:
+        f.write("\n".join([good, "{bad", '{"prompt": "p", "rejected": "r"}', "", '{"prompt": 5, "chosen": "c", "rejected": "r"}', good + " x", "[1]"]))
+    with pytest.raises(Exception, match="line is no pair"):
+        read_pairs_jsonl(spark, path).collect()
+    assert [tuple(r) for r in read_pairs_jsonl(spark, path, on_fault="drop").collect()] == [("p", "c", "r")]
+    faults = sorted(str(r.fault) for r in read_pairs_jsonl(spark, path, on_fault="keep").collect())
+    assert faults == sorted(["None", "json_error", "missing_key", "non_text", "json_error", "missing_key"])
+
+
+FAULTY = [
+    {"conversations": [{"value": "q"}, {"value": "COMPLETE"}]},
+    {"conversations": [{"value": 5}, {"value": "COMPLETE"}]},
+    {"conversations": [{"value": "q"}, {"value": {"a": 1}}]},
+    {"conversations": [{"value": True}, {"value": "COMPLETE"}]},
+    {"conversations": [{"value": None}, {"value": "COMPLETE"}]},
+    {"conversations": [{"value": "q"}]},
+    {"conversations": "abc"},
+    {},
+]
+WANT = {None: 1, "non_text_message": 3, "empty_message": 1, "too_few_messages": 2, "malformed_record": 1}
+
+
+@pytest.mark.parametrize("fmt", ["json", "json-pos", "json-array", "json-array-pos"])
+def test_entry_faults_are_skipped_and_counted(spark, tmp_out, fmt):
+    from prefpairs.operators.pairs import skip_reasons
+
+    path, want = os.path.join(tmp_out, "data.json"), dict(WANT)
+    records = [{"entry_id": i, **r} for i, r in enumerate(FAULTY)]
+    with open(path, "w") as f:
+        if "array" in fmt:
+            json.dump(records, f)
+        else:
+            f.write("\n".join(map(json.dumps, records)) + '\n{broken\n{"entry_id": 9} x\n')
+            want["malformed_record"] += 2
+    got = {r.skip_reason: r.entries for r in skip_reasons(read_entries(spark, path, fmt)).collect()}
+    assert got == want
+
 
-    path = write_jsonl(generate_pairs(synthetic_entries(spark, 10)), os.path.join(tmp_out, "p.jsonl"))
-    with pytest.raises(ValueError, match="keyed pair table"):
-        prepare(spark, path, os.path.join(tmp_out, "o1"), "dpo", limit=5)
-    with pytest.raises(ValueError, match="keyed pair table"):
-        prepare(spark, path, os.path.join(tmp_out, "o2"), "dpo", n_eval=3)
-    ok = prepare(spark, path, os.path.join(tmp_out, "o3"), "dpo")
-    assert sum(ok.values()) == 20
+def test_null_ids_fail_in_every_source(spark, tmp_out):
+    ent = spark.createDataFrame([(None, [("u", "q"), ("a", "COMPLETE")])], "entry_id long, conversations array<struct<`from`:string,value:string>>")
+    ent.write.parquet(os.path.join(tmp_out, "pq"))
+    with pytest.raises(Exception, match="entry without entry_id"):
+        read_entries(spark, os.path.join(tmp_out, "pq"), "parquet").collect()
+    with pytest.raises(Exception, match="entry without entry_id"):
+        adapt(ent, lambda d: d).collect()
+
+
+def test_positions_fail_when_splits_change(spark, tmp_out):
+    """The counts were made with other splits than the rows are read with: an error, never
+    lost or misnumbered rows."""
+    path = os.path.join(tmp_out, "lines.json")
+    with open(path, "w") as f:
+        for i in range(3000):
+            f.write(json.dumps({"conversations": [{"value": f"question {i}"}, {"value": "COMPLETE"}]}) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for counted, read in (("16384", "65536"), ("65536", "16384"), ("16384", "1g")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", counted)
+            df = read_entries(spark, path, "json-pos")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", read)
+            with pytest.raises(Exception, match="other splits"):
+                df.select("entry_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_only_missing_sources_move_on(spark, tmp_out):
+    from prefpairs.sources.readers import first_split, resolve_source
+
+    os.makedirs(os.path.join(tmp_out, "empty"))
+    with pytest.raises(FileNotFoundError):
+        resolve_source(spark, [(os.path.join(tmp_out, "nope"), "parquet"), (os.path.join(tmp_out, "empty"), "parquet")])
+    with pytest.raises(ValueError):
+        resolve_source(spark, [(os.path.join(tmp_out, "empty"), "jsonn")], 10)
+    assert resolve_source(spark, [(os.path.join(tmp_out, "nope"), "json")], 3).synthetic
+    files = ["/r/training/x/data-test.parquet", "/r/training/x/data-train-0.parquet", "/r/training/x/data-train-1.parquet"]
+    assert first_split(files, "/r/training/x") == files[1:] and first_split(files[:1], "/r/training/x") == files[:1]
+    assert first_split(["/a/1.parquet"], "/a") == ["/a/1.parquet"]
+
+
+def test_sample_applies_to_any_path(spark, tmp_out):
+    """A folder whose name starts like the synthetic label is a source like any other."""
+    from prefpairs.plans.job import generate
+
+    for name in ("other", "synthetic_runs"):
+        src = os.path.join(tmp_out, name)
+        events_to_entries(spark.read.parquet(f"{SF001}/events.parquet")).filter("entry_id in (1, 2, 3, 4)").write.parquet(src)
+        rep = generate(spark, [(src, "parquet")], os.path.join(tmp_out, name + "-out"), sample_size=2)
+        assert rep["valid_pairs"] + 2 * rep["skipped_invalid"] == 4
