@@ -18,6 +18,7 @@ Working columns are prefixed ``_sp_``; all columns of the input are returned.
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -32,8 +33,10 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Segments and pairs remembered by a worker; the oldest half goes when full.
-SEGMENTS = 150_000
-PAIRS = 300_000
+SEGMENTS = 300_000
+PAIRS = 500_000
+#: Score of the white-space runs, the only pieces that share one.
+TIED = -1e9
 _BYTE = -1
 _INTS = [struct.Struct(f"<{n}i") for n in range(64)]
 #: Marks that a segment is cut at, where no piece spans the cut.
@@ -83,6 +86,7 @@ class Model:
         self.piece_of = {i: p for p, i in self.ids.items()}
         self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
+        self.splits: dict[int, tuple[int, int] | None] = {}
         self.segments = _Segments(self)
 
     def _cuts(self) -> re.Pattern:
@@ -99,8 +103,9 @@ class Model:
         alone = "" if any("\n" in p[:-1] for p in self.ids) else "\n|"
         return re.compile(f"{alone}(?:{SPACE}+|[^{SPACE}]){rest}")
 
-    def merged(self, text: str) -> list[str]:
-        """Encoding of a short text by its merges: best score first, then leftmost."""
+    def merged(self, text: str, until: str | None = None) -> list[str]:
+        """Encoding of a short text by its merges: best score first, then leftmost; the
+        parts before the merge that makes ``until``, if one does."""
         parts = list(text)
         while True:
             best, at = None, -1
@@ -108,20 +113,45 @@ class Model:
                 i = self.ids.get(parts[k] + parts[k + 1])
                 if i is not None and (best is None or self.score[i] > best):
                     best, at = self.score[i], k
-            if at < 0:
+            if at < 0 or parts[at] + parts[at + 1] == until:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def split(self, a: int) -> tuple[int, int] | None:
+        """The two pieces that a piece's last merge joins; None for a single character."""
+        if a not in self.splits:
+            parts = self.merged(self.piece_of[a], until=self.piece_of[a])
+            self.splits[a] = (self.ids[parts[0]], self.ids[parts[1]]) if len(parts) == 2 else None
+        return self.splits[a]
+
     def compatible(self, a: int, b: int) -> bool:
-        """Whether two pieces side by side stay as they are."""
+        """Whether two pieces side by side stay as they are.
+
+        The merges are undone from the last: while one piece is still in parts, its part at
+        the border must not have a better merge across it. Of equal scores the left merge
+        comes first.
+        """
         key = a << 20 | b
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                _forget(self.pairs)
+        if len(self.pairs) >= PAIRS:
+            _forget(self.pairs)
+        if self.score[a] == TIED or self.score[b] == TIED:
             left, right = self.piece_of[a], self.piece_of[b]
-            known = self.pairs[key] = self.merged(left + right) == [left, right]
-        return known
+            self.pairs[key] = self.merged(left + right) == [left, right]
+            return self.pairs[key]
+        least, inner = -math.inf, True  # score that a merge across must beat
+        while True:
+            across = self.ids.get(self.piece_of[a] + self.piece_of[b])
+            if across is not None and (self.score[across] > least or inner and self.score[across] == least):
+                self.pairs[key] = False
+                return False
+            left, right = self.split(a), self.split(b)
+            if left is None and right is None:
+                self.pairs[key] = True
+                return True
+            if right is None or left is not None and self.score[a] < self.score[b]:
+                least, inner, a = self.score[a], False, left[1]
+            else:
+                least, inner, b = self.score[b], True, right[0]
 
     def stands(self, a: int) -> bool:
         """Whether a piece alone encodes to itself."""
@@ -138,6 +168,8 @@ class Model:
         known = self.pairs.get
         # Matches come by their end, so the shorter prefix is always settled.
         for end, (token, length) in self.automaton.iter(text):
+            if last[end + 1] != _BYTE:
+                continue
             before = last[end + 1 - length]
             fits = self.stands(token) if before == _BYTE else known(before << 20 | token)
             if fits or fits is None and self.compatible(before, token):
