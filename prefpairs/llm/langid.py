@@ -3,9 +3,9 @@
 A text is lower-cased, every byte that is no letter becomes a space, and its subwords (byte
 runs of 3 and 4, word ends included) are hashed to ``BUCKETS`` rows of an embedding table.
 The mean of a text's rows goes through a linear softmax. Embeddings and weights are
-trained together by stochastic gradient descent in numpy on a bounded sample
-(``PER_LANGUAGE`` texts of each of at most ``MAX_LANGUAGES`` languages, chosen by a hash of
-the id). A part of the sample is set aside to calibrate: a temperature is fitted to it,
+trained together by stochastic gradient descent in numpy on a bounded sample: about
+``SAMPLE`` texts, as many of each of the ``MAX_LANGUAGES`` most frequent languages, chosen by
+a hash of the id. A part of the sample is set aside to calibrate: a temperature is fitted to it,
 and the rejection threshold is the lowest confidence above which at least
 ``PRECISION`` of it is right.
 
@@ -25,14 +25,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 DIM = 16
 GRAMS = (3, 4)
-PER_LANGUAGE = 600
-MAX_LANGUAGES = 128
+SAMPLE = 2_400
+MAX_LANGUAGES = 120
 EPOCHS = 12
 RATE = 2.0
 PRECISION = 0.99
@@ -75,7 +75,7 @@ def counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         for _, bucket, counted in _grams(buf):
             total += np.bincount(bucket[:BLOCK][counted[:BLOCK]], minlength=BUCKETS)
     at = np.flatnonzero(total)
-    return at.astype(np.int32), total[at]
+    return at.astype(np.int32), total[at].astype(np.int32)
 
 
 @dataclass
@@ -141,7 +141,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model | None:
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("lang", pa.string()), ("order", pa.int64()), ("buckets", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
+    schema = pa.schema([("lang", pa.string()), ("order", pa.int64()), ("buckets", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
     for batch in batches:
         got = [counts(t) for t in batch.column("text").to_pylist()]
         arrays = [batch.column("lang"), batch.column("order"), pa.array([g[0] for g in got], schema.field(2).type), pa.array([g[1] for g in got], schema.field(3).type)]
@@ -154,12 +154,16 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "te
         F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"), F.xxhash64(F.lit(SEED), id_col).alias("order")
     )
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
-    # At most MAX_LANGUAGES rows; the sample is PER_LANGUAGE each on average.
-    chosen = rows.join(F.broadcast(sizes), "lang").filter(F.pmod("order", F.col("size")) < PER_LANGUAGE).select("lang", "order", "text")
-    featured = chosen.mapInArrow(_featurise, "lang string, order long, buckets array<int>, n array<long>")
-    got = featured.limit(2 * PER_LANGUAGE * MAX_LANGUAGES).toArrow().to_pylist()
-    got.sort(key=lambda r: (r["lang"], r["order"], len(r["buckets"]), r["buckets"][:1]))
-    return train([(r["lang"], np.array(r["buckets"], np.int32), np.array(r["n"], np.int64)) for r in got])
+    # At most MAX_LANGUAGES rows, each with the number of texts to take of its language.
+    share = F.floor(F.lit(SAMPLE) / F.count(F.lit(1)).over(Window.partitionBy()))
+    chosen = rows.join(F.broadcast(sizes.withColumn("take", share)), "lang").filter(F.pmod("order", F.col("size")) < F.col("take")).select("lang", "order", "text")
+    featured = chosen.mapInArrow(_featurise, "lang string, order long, buckets array<int>, n array<int>")
+    # A row is at most BUCKETS pairs of numbers, so the driver gets a bounded table.
+    got = featured.limit(2 * SAMPLE).toArrow()
+    listed = lambda name: [x.values.to_numpy() for x in got.column(name)]
+    rows = list(zip(got.column("lang").to_pylist(), got.column("order").to_pylist(), listed("buckets"), listed("n"), strict=True))
+    rows.sort(key=lambda r: (r[0], r[1], len(r[2]), r[2][:1].tolist()))
+    return train([(lang, buckets, n) for lang, _, buckets, n in rows])
 
 
 def _predict(model: Model):
