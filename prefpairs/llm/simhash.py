@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     lows = linked.groupBy("component").agg(F.min("low").alias("first"))
     # Only fingerprints with a link need another's smallest id.
     classes = linked.join(lows, "component").select("fp", "first")
-    firsts = distinct.join(classes, "fp", "left").select("fp", F.coalesce("first", "low").alias("first"))
+    firsts = materialize(distinct.join(classes, "fp", "left").select("fp", F.coalesce("first", "low").alias("first")), "simhash-firsts")
     return rows.join(firsts, "fp").select("id", "key", "fp", F.struct("first.id", "first.key").alias("first"))
 
 
