@@ -46,7 +46,7 @@ ARCHIVE_BYTES = 8 << 20
 WARC_RECORDS = 4_000
 CRAWL_DATE = "20240102030405"
 _BATCH_BYTES = 4 << 20
-_GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+_GZIP = {"compression": "gzip"}
 
 
 # --- legacy archives -------------------------------------------------------------------
