@@ -7,14 +7,16 @@ guarantee. Fingerprints at one position only are dropped; the positions of the o
 joined, and each match is extended both ways, window by window, to the whole equal run.
 Of equal windows the first in (document id, line) order stays and the lines of all later
 ones go. The result is exact: a line goes if and only if a window over it occurs earlier,
-in an earlier document or earlier in its own.
+in an earlier document or earlier in its own. With ``long`` set, a single line of that many
+words or more is a window of its own, so it also goes where its neighbours differ and where
+it is the whole document.
 
 Lines are compared without white space at both ends. A blank line belongs to the line
 before it and goes with it; blank lines at the start form one line of their own.
 
 Defined results: a null text has no lines and stays null; documents of fewer than ``run``
-lines lose none; rows equal in id and text count as one document and get the same
-result; a null id comes before all others; an empty table gives an empty result. Working
+lines lose none but long ones; rows equal in id and text count as one document and get the
+same result; a null id comes before all others; an empty table gives an empty result. Working
 columns are prefixed ``_ld_``; all columns of the input are returned as they were.
 """
 
@@ -34,52 +36,62 @@ def lines(text: Column) -> Column:
 
 
 def _windows(h: Column, run: int) -> Column:
-    """For each window start: (start, fingerprint, its position, hash of the window)."""
+    """For each window start: (start, lines, fingerprint, its position, hash of the window)."""
 
     def window(s: Column) -> Column:
         part = F.slice(h, s + 1, run)
         best = F.array_min(F.transform(part, lambda x, k: F.struct(x.alias("f"), (-k).alias("back"))))
-        return F.struct(s.alias("s"), best["f"].alias("f"), (s - best["back"]).alias("p"), F.xxhash64(part).alias("w"))
+        return F.struct(s.alias("s"), F.lit(run).alias("n"), best["f"].alias("f"), (s - best["back"]).alias("p"), F.xxhash64(part).alias("w"))
 
     return F.transform(F.sequence(F.lit(0), F.size(h) - run), window)
 
 
-def repeated_windows(docs: DataFrame, id_col: str, text: str, run: int) -> DataFrame:
-    """(_ld_id, _ld_key, starts): starts of the windows that occur earlier, by document."""
-    hashed = docs.filter(F.col(text).isNotNull()).select(
-        F.col(id_col).alias("_ld_id"),
-        F.xxhash64(text).alias("_ld_key"),
-        F.transform(lines(F.col(text)), lambda x: F.xxhash64(F.trim(x, F.lit(WHITE)))).alias("_ld_h"),
-    )
-    wins = materialize(
-        hashed.filter(F.size("_ld_h") >= run).select("_ld_id", "_ld_key", F.inline(_windows(F.col("_ld_h"), run))).distinct(),
-        "line-windows",
-    )
+def _is_long(line: Column, long: int) -> Column:
+    # The length is tested first: most lines are too short for so many words.
+    return (F.length(line) >= 2 * long - 1) & (F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")) >= long)
+
+
+def repeated_windows(docs: DataFrame, id_col: str, text: str, run: int, long: int | None = None) -> DataFrame:
+    """(_ld_id, _ld_key, _ld_starts): (start, lines) of the windows that occur earlier, by
+    document."""
+    key = (F.col(id_col).alias("_ld_id"), F.xxhash64(text).alias("_ld_key"))
+    hashes = F.transform(lines(F.col(text)), lambda x: F.xxhash64(F.trim(x, F.lit(WHITE)))).alias("_ld_h")
+    known = docs.filter(F.col(text).isNotNull())
+    hashed = known.select(*key, hashes)
+    found = hashed.filter(F.size("_ld_h") >= run).select("_ld_id", "_ld_key", F.inline(_windows(F.col("_ld_h"), run)))
+    if long is not None and run > 1:
+        marked = known.select(*key, hashes, F.transform(lines(F.col(text)), lambda x: _is_long(x, long)).alias("_ld_long"))
+        singles = F.filter(_windows(F.col("_ld_h"), 1), lambda w: F.get(F.col("_ld_long"), w["s"]))
+        found = found.unionByName(marked.filter(F.exists("_ld_long", lambda x: x)).select("_ld_id", "_ld_key", F.inline(singles)))
+    wins = materialize(found.distinct(), "line-windows")
     # Winnowed fingerprints that occur at more than one position. The small sides are
     # written, so that the joins below are plain ones that AQE can split on a hot value.
     at = F.struct("_ld_id", "_ld_key", "p")
     shared = materialize(wins.groupBy("f").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).filter("lo <> hi").select("f"), "line-shared")
-    anchored = wins.join(shared, "f", "left_semi").select("_ld_id", "_ld_key", "s", "w")
+    anchored = wins.join(shared, "f", "left_semi").select("_ld_id", "_ld_key", "s", "n", "w")
     # Extension: the windows around a shared fingerprint, matched by content.
-    first = anchored.groupBy("w").agg(F.min(F.struct("_ld_id", "_ld_key", "s")).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = materialize(first.filter("n > 1").drop("n"), "line-first")
+    first = anchored.groupBy("w").agg(F.min(F.struct("_ld_id", "_ld_key", "s")).alias("first"), F.count(F.lit(1)).alias("times"))
+    first = materialize(first.filter("times > 1").drop("times"), "line-first")
     here = F.struct("_ld_id", "_ld_key", "s")
     later = anchored.join(first, "w").filter(here != F.col("first"))
-    return later.groupBy("_ld_id", "_ld_key").agg(F.sort_array(F.collect_set("s")).alias("_ld_starts"))
+    return later.groupBy("_ld_id", "_ld_key").agg(F.sort_array(F.collect_set(F.struct("s", "n"))).alias("_ld_starts"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", run: int = 2) -> DataFrame:
-    """``docs`` with later repeated runs of at least ``run`` lines removed from ``text``,
-    and ``_ld_lines`` and ``_ld_removed``: number of lines before, number removed."""
-    starts = repeated_windows(docs, id_col, text, run).withColumnsRenamed({"_ld_id": "_ld_rid", "_ld_key": "_ld_rkey"})
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", run: int = 2, long: int | None = None) -> DataFrame:
+    """``docs`` with later repeated runs of at least ``run`` lines, and with ``long`` also later
+    copies of single lines of ``long`` words or more, removed from ``text``, and ``_ld_lines``
+    and ``_ld_removed``: number of lines before, number removed."""
+    starts = repeated_windows(docs, id_col, text, run, long).withColumnsRenamed({"_ld_id": "_ld_rid", "_ld_key": "_ld_rkey"})
     keyed = docs.withColumn("_ld_key", F.xxhash64(text))
     joined = keyed.join(starts, (F.col("_ld_key") == F.col("_ld_rkey")) & F.col(id_col).eqNullSafe(F.col("_ld_rid")), "left").drop("_ld_rid", "_ld_rkey", "_ld_key")
     cut = joined.withColumn("_ld_all", F.when(F.col(text).isNotNull(), lines(F.col(text))).otherwise(F.expr("CAST(array() AS array<string>)")))
-    at, last = F.col("_ld_starts"), F.size("_ld_starts")
+    covered = F.flatten(F.transform("_ld_starts", lambda w: F.sequence(w["s"], w["s"] + w["n"] - 1)))
+    cut = cut.withColumn("_ld_gone", F.sort_array(F.array_distinct(covered)))
+    at, last = F.col("_ld_gone"), F.size("_ld_gone")
 
     def kept(k: Column) -> Column:
-        """Lines between the k-th repeated window and the one before it."""
-        lo = F.when(k == 0, F.lit(0)).otherwise(F.get(at, k - 1) + run)
+        """Lines between the k-th line that goes and the one before it."""
+        lo = F.when(k == 0, F.lit(0)).otherwise(F.get(at, k - 1) + 1)
         hi = F.when(k == last, F.size("_ld_all")).otherwise(F.get(at, k))
         return F.slice("_ld_all", lo + 1, F.greatest(F.lit(0), hi - lo))
 

@@ -56,6 +56,30 @@ def test_line_dedup_runs_of_any_length(spark, run):
     assert {(r.doc_id, r.text, r._ld_removed) for r in got} == {(i, v[0], v[2]) for (i, _), v in want.items()}
 
 
+def test_line_dedup_of_long_single_lines(spark):
+    """A long line goes where it repeats between other neighbours and as a whole document; a
+    short one stays."""
+    import random
+
+    rng = random.Random(7)
+    pool = [" ".join(f"p{k}w{j}" for j in range(n)) for k, n in enumerate([50, 51, 80, 49, 10, 3, 1, 1])]
+    rows = [(0, pool[0]), (1, f"own one\n{pool[0]}\nown two"), (2, f" {pool[0]}\t"), (3, f"own three\n{pool[3]}"), (4, pool[3])]
+    rows += [(10 + i, "\n".join(rng.choice([*pool, f"u{i}"]) for _ in range(rng.randint(1, 9)))) for i in range(60)]
+    seen, want = set(), {}
+    for i, text in rows:
+        keys, gone = [x.strip() for x in text.split("\n")], set()
+        for s in range(len(keys)):
+            for n in (1, 2):
+                w = tuple(keys[s : s + n])
+                if len(w) == n and (n == 2 or len(w[0].split()) >= 50):
+                    gone |= set(range(s, s + n)) if w in seen else set()
+                    seen.add(w)
+        want[i] = ("\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone))
+    assert want[1] == ("own one\nown two", 1) and want[2] == ("", 1) and want[4] == (pool[3], 0)
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), long=50).collect()
+    assert {r.doc_id: (r.text, r._ld_removed) for r in got} == want
+
+
 def test_quality_measures(awkward):
     want = collections.Counter((r.doc_id, *brute.metrics(r.text)) for r in awkward.collect())
     got = quality.quality_table(awkward)
