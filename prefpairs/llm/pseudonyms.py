@@ -9,7 +9,10 @@ is (cycle walking), so every kind's map is a permutation of its valid values. Th
 written in the value's own format: length, separators, letter case and check digits.
 
 The key and the kind alone decide the map, so equal values get equal pseudonyms in every
-document and in every notation, and different values stay different. Mail addresses are
+document and in every notation, and different values stay different. Where a longest match
+fails its check, or the issuer, country or number plan has another length, its shorter
+beginnings are tried at the borders of its groups ('4111 1111 1111 1111 12/25' has a card and an
+expiry date); without any, the search goes on behind the match's first token. Mail addresses are
 treated alike: letters and digits of the local part are permuted within their classes.
 
 Defined results: a null text stays null with no finds; a value that fails its check is
@@ -43,6 +46,43 @@ SPECIAL = {0, 0x7F000001, 0xFFFFFFFF}
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 SHORT = [m[:3] for m in MONTHS]
 
+# First digits of payment cards and the usual lengths of their numbers.
+ISSUERS = [
+    (r"4", (16, 19, 13)),
+    (r"5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720|220[0-4]", (16,)),
+    (r"3[47]", (15,)),
+    (r"30[0-5]|3095|3[689]", (14, 16)),
+    (r"35(?:2[89]|[3-8])", (16, 19)),
+    (r"50|5[6-9]|6|81", (16, 19, 18, 17, 15, 14, 13)),
+]
+_ISSUERS = [(re.compile(p), n) for p, n in ISSUERS]
+
+# Lengths of account numbers by country.
+_BY_LENGTH = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FO FK GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+IBAN_LENGTHS = {c: n for n, countries in _BY_LENGTH.items() for c in countries.split()}
+
+# Digits, with the country's, of telephone numbers in closed plans.
+PHONE_LENGTHS = {"30": 12, "31": 11, "33": 11, "34": 11, "41": 11, "45": 10, "47": 10, "48": 11, "61": 11, "65": 10, "91": 12, "351": 12, "420": 12}
+
 _MONTH = "|".join(MONTHS + SHORT)
 _PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -56,6 +96,7 @@ _PATTERNS = {
 KINDS = tuple(_PATTERNS)
 _FIND = re.compile(r"(?<![0-9A-Za-z@])(?<![0-9][.-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()) + r")(?![0-9A-Za-z@]|[.-][0-9])")
 _HINT = re.compile(r"[0-9]")
+_TOKEN = re.compile(r"[^0-9A-Za-z]*[0-9A-Za-z]+")
 
 
 class Feistel:
@@ -232,20 +273,68 @@ class Pseudonymiser:
         local, at, domain = s.rpartition("@")
         return self._mixed("email", local) + at + domain
 
+    @staticmethod
+    def _usual(d: str) -> tuple[int, ...]:
+        """Usual lengths of a card number that begins with these digits."""
+        return next((n for p, n in _ISSUERS if p.match(d)), ())
+
+    def _cards(self, s: str, again: bool) -> list[int]:
+        """Lengths of the beginnings of ``s`` to be tried as a card number, best first."""
+        at, n, ends = [], 0, {}
+        for g in re.finditer("[0-9]+", s):
+            at.append(g.start())
+            n += len(g[0])
+            ends[n] = g.end()
+
+        def plain(end: int) -> bool:
+            # Numbers in tables have short groups; cards have none but the last.
+            return all(len(g) > 3 for g in re.split("[ -]", s[:end])[:-1])
+
+        usual = [ends[k] for k in self._usual(re.sub("[ -]", "", s)) if k in ends and (ends[k] == len(s) and not again or plain(ends[k]))]
+        if again:
+            return usual
+        if not any(self.card(s[:e]) for e in usual):
+            # A card that begins at a later group is no part of a longer number.
+            if any(self.card(s[k:][:e]) for k in at[1:] if s[k - 1] == " " for e in self._cards(s[k:], True)):
+                return []
+        return [*usual, len(s), *(e for k, e in sorted(ends.items(), reverse=True) if k >= 13 and e < len(s) and plain(e))]
+
+    def _ends(self, kind: str, s: str, again: bool) -> list[int]:
+        """Lengths of the beginnings of the match ``s`` to be tried, best first; ``again``: it
+        begins inside a match that failed."""
+        if kind == "card":
+            return self._cards(s, again)
+        if kind == "iban":
+            ends = {len(s[: m.end()].replace(" ", "")): m.end() for m in re.finditer(r"[A-Z0-9](?= |$)", s)}
+            fixed = IBAN_LENGTHS.get(s[:2])
+            return [*([ends[fixed]] if fixed in ends else []), *(e for _, e in sorted(ends.items(), reverse=True))]
+        if kind == "phone" and s[0] == "+":
+            # No group ends inside a bracket.
+            ends = {sum(c.isdigit() for c in s[: m.end()]): m.end() for m in re.finditer(r"[0-9](?=[ -]|$)|\)(?=[ -]|$)", s)}
+            d = re.sub("[^0-9]", "", s)
+            fixed = next((PHONE_LENGTHS[d[:k]] for k in (2, 3) if d[:k] in PHONE_LENGTHS), None)
+            return [*([ends[fixed]] if fixed in ends else []), *(e for _, e in sorted(ends.items(), reverse=True))]
+        return [len(s)]
+
     def text(self, text: str) -> tuple[str, dict[str, int]]:
         """Text with pseudonyms, and the finds by kind."""
         found: dict[str, int] = {}
         if "@" not in text and not _HINT.search(text):
             return text, found
 
-        def put(m: re.Match) -> str:
-            new = getattr(self, m.lastgroup)(m[0])
-            if new is None:
-                return m[0]
-            found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
-            return new
-
-        return _FIND.sub(put, text), found
+        out, done, at, failed = [], 0, 0, 0
+        while m := _FIND.search(text, at):
+            check = getattr(self, m.lastgroup)
+            for end in self._ends(m.lastgroup, m[0], m.start() < failed):
+                if (new := check(m[0][:end])) is not None:
+                    found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
+                    out += [text[done : m.start()], new]
+                    done = at = m.start() + end
+                    break
+            else:
+                failed = max(failed, m.end())
+                at = _TOKEN.match(text, m.start()).end()
+        return "".join([*out, text[done:]]), found
 
 
 def _apply(key: bytes, at: int):

@@ -86,6 +86,22 @@ def test_invalid_values_stay(own):
     assert own.text(text) == (text, {})
 
 
+@pytest.mark.parametrize(
+    ("value", "kind"),
+    [("4111 1111 1111 1111", "card"), ("3782 822463 10005", "card"), ("AT61 1904 3002 3457 3201", "iban"), ("ES91 2100 0418 4502 0005 1332", "iban"), ("+45 32 12 34 56", "phone")],
+)
+@pytest.mark.parametrize("around", ["{} 12/25", "{} 123", "{} 12 / 2025", "{} BIC GENODEF1", "{} 99 11", "12 {}", "no. 0000 {}, 5"])
+def test_values_beside_other_groups(own, value, kind, around):
+    """More digits or capitals beside a value leave it its own pseudonym."""
+    new = getattr(own, kind)(value)
+    assert new != value and own.text(around.format(value)) == (around.format(new), {kind: 1})
+
+
+def test_number_tables_hold_no_cards(own):
+    years = " ".join(str(y) for y in range(1900, 2020))
+    assert "card" not in own.text(" ".join(str(k % 90 + 10) for k in range(20)))[1] and own.text(years)[1].get("card", 0) <= 2
+
+
 def test_private_addresses_stay_private(own):
     for a in ("10.1.2.3", "172.16.0.9", "192.168.1.1"):
         assert own.ip(a) != a and re.match(r"10\.|172\.(1[6-9]|2[0-9]|3[01])\.|192\.168\.", own.ip(a))
