@@ -42,9 +42,22 @@ PRIVATE = [(0x0A000000, 1 << 24), (0xAC100000, 1 << 20), (0xC0A80000, 1 << 16)]
 # Addresses that name no machine of their own (any, loopback, broadcast).
 SPECIAL = {0, 0x7F000001, 0xFFFFFFFF}
 
-# Month names and their usual abbreviations.
-MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
-SHORT = [m[:3] for m in MONTHS]
+# Month names and their usual abbreviations in English, German, French, Spanish.
+MONTHS = [
+    ("en", "January February March April May June July August September October November December".split()),
+    ("en", "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()),
+    ("de", "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split()),
+    ("de", "Jan Feb Mär Apr Mai Jun Jul Aug Sep Okt Nov Dez".split()),
+    ("de", "Jänner Feber März April Mai Juni Juli August Sept Oktober November Dezember".split()),
+    ("fr", "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split()),
+    ("fr", "janv févr mars avr mai juin juil août sept oct nov déc".split()),
+    ("fr", "janvier fevrier mars avril mai juin juillet aout septembre octobre novembre decembre".split()),
+    ("es", "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split()),
+    ("es", "ene feb mar abr may jun jul ago sep oct nov dic".split()),
+    ("es", "enero febrero marzo abril mayo junio julio agosto setiembre octubre noviembre diciembre".split()),
+]
+#: French and Spanish names are written with small letters, but also with a capital.
+MONTHS += [(language, [m.capitalize() for m in names]) for language, names in MONTHS if language in ("fr", "es")]
 
 # First digits of payment cards and the usual lengths of their numbers.
 ISSUERS = [
@@ -83,18 +96,21 @@ IBAN_LENGTHS = {c: n for n, countries in _BY_LENGTH.items() for c in countries.s
 # Digits, with the country's, of telephone numbers in closed plans.
 PHONE_LENGTHS = {"30": 12, "31": 11, "33": 11, "34": 11, "41": 11, "45": 10, "47": 10, "48": 11, "61": 11, "65": 10, "91": 12, "351": 12, "420": 12}
 
-_MONTH = "|".join(MONTHS + SHORT)
+_MONTH = "|".join(sorted({m for _, names in MONTHS for m in names}, key=lambda m: (-len(m), m)))
+_NAMED = re.compile(
+    rf"(?P<d>[0-9]{{1,2}})(?P<mark>[.]|er)? (?P<of>de )?(?P<name>{_MONTH})(?P<dot>[.]?) (?P<of2>del? )?(?P<y>[0-9]{{4}})|(?P<name2>{_MONTH})(?P<dot2>[.]?) (?P<d2>[0-9]{{1,2}}), (?P<y2>[0-9]{{4}})"
+)
 _PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?",
-    "date": rf"[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}[/.][0-9]{{1,2}}[/.][0-9]{{4}}(?![.][0-9])|(?:{_MONTH})[.]? [0-9]{{1,2}}, [0-9]{{4}}|[0-9]{{1,2}}[.]? (?:{_MONTH})[.]? [0-9]{{4}}",
+    "date": rf"[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}[/.][0-9]{{1,2}}[/.][0-9]{{4}}(?![.][0-9])|(?:{_MONTH})[.]? [0-9]{{1,2}}, [0-9]{{4}}|[0-9]{{1,2}}(?:[.]|er)? (?:de )?(?:{_MONTH})[.]? (?:del? )?[0-9]{{4}}",
     "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[2-9][0-9]{0,2}(?:[ -]?\(?[0-9]{2,4}\)?){2,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}",
+    "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[2-9][0-9]{0,2}(?:[ -]?\(?[0-9]{1,4}+\)?){2,7}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
 KINDS = tuple(_PATTERNS)
-_FIND = re.compile(r"(?<![0-9A-Za-z@])(?<![0-9][.-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()) + r")(?![0-9A-Za-z@]|[.-][0-9])")
+_FIND = re.compile(r"(?<![0-9A-Za-z@])(?<![0-9][.-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()) + r")(?:(?<=[0-9]{4}-[0-9]{2}-[0-9]{2})(?=[Tt][0-9]{2})|(?![0-9A-Za-z@]|[.-][0-9]))")
 _HINT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^0-9A-Za-z]*[0-9A-Za-z]+")
 
@@ -214,15 +230,24 @@ class Pseudonymiser:
     def _public(x: int) -> bool:
         return x not in SPECIAL and not any(base <= x < base + size for base, size in PRIVATE)
 
+    @staticmethod
+    def _names(m: re.Match) -> tuple[list[str], int]:
+        """Month names of a named date's language and form, and the place of its own."""
+        name = m["name"] or m["name2"]
+        # What several languages share is read by the date's form, else in order.
+        likely = "es" if m["of"] or m["of2"] else "fr" if m["mark"] == "er" else "de" if m["mark"] == "." else "en"
+        fits = [(language != likely, k) for k, (language, names) in enumerate(MONTHS) if name in names]
+        names = MONTHS[min(fits)[1]][1]
+        return names, names.index(name)
+
     def date(self, s: str) -> str | None:
         numbers = [int(x) for x in re.findall("[0-9]+", s)]
-        name = re.search("[A-Za-z]+", s)
+        named = _NAMED.fullmatch(s)
         day_first = True
         try:
-            if name:
-                month = 1 + SHORT.index(name[0][:3])
-                day_first = s[0].isdigit()
-                value = datetime.date(numbers[1], month, numbers[0])
+            if named:
+                names, month = self._names(named)
+                value = datetime.date(int(named["y"] or named["y2"]), 1 + month, int(named["d"] or named["d2"]))
             elif s[4:5] == "-":
                 value = datetime.date(*numbers)
             else:
@@ -237,12 +262,13 @@ class Pseudonymiser:
         # A slash date reads as month first where it can; so must its pseudonym.
         fits = (lambda y: self._day(y).day > 12) if "/" in s and day_first else (lambda _: True)
         new = self._day(self._map("date", DAYS).walk(x, fits))
-        if name:
-            names = MONTHS if name[0] in MONTHS and len(name[0]) > 3 else SHORT
-            word = names[new.month - 1] + ("." if "." in s[name.end() : name.end() + 1] else "")
-            if day_first:
-                return f"{new.day}{'.' if re.match('[0-9]+[.]', s) else ''} {word} {new.year}"
-            return f"{word} {new.day}, {new.year}"
+        if named:
+            word = names[new.month - 1]
+            if named["d"]:
+                # Only the first is an ordinal in French.
+                mark = "" if named["mark"] == "er" and new.day > 1 else named["mark"] or ""
+                return f"{new.day}{mark} {named['of'] or ''}{word}{named['dot']} {named['of2'] or ''}{new.year}"
+            return f"{word}{named['dot2']} {new.day}, {new.year}"
         if s[4:5] == "-":
             return new.isoformat()
         sep = "." if "." in s else "/"

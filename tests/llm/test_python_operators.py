@@ -97,6 +97,34 @@ def test_values_beside_other_groups(own, value, kind, around):
     assert new != value and own.text(around.format(value)) == (around.format(new), {kind: 1})
 
 
+def test_dates_of_the_corpus_languages(own):
+    """One day, one pseudonym: timestamps and named months of all four languages."""
+    day = datetime.date.fromisoformat(own.date("2019-02-28"))
+    names = {language: names for language, names in reversed(pseudonyms.MONTHS) if names[0][0].islower() == (language in ("fr", "es"))}
+    d, m, y = day.day, day.month - 1, day.year
+    text = "2019-02-28T10:00:00Z, 2019-02-28t10:00, 2019-02-28 10:00|28. Februar 2019|28 février 2019|28 fevrier 2019|28 de febrero de 2019|28 de Febrero del 2019|28 févr. 2019|28 Feb. 2019"
+    new, found = own.text(text)
+    parts = new.split("|")
+    assert found == {"date": 10}
+    assert parts[0] == f"{day}T10:00:00Z, {day}t10:00, {day} 10:00"
+    assert parts[1] == f"{d}. {names['de'][m]} {y}" and parts[2] == f"{d} {names['fr'][m]} {y}"
+    assert parts[4] == f"{d} de {names['es'][m]} de {y}" and parts[5] == f"{d} de {names['es'][m].capitalize()} del {y}"
+    assert all(p.startswith(f"{d} ") and p.endswith(f" {y}") for p in parts[2:])
+    first = datetime.date.fromisoformat(own.date("2020-01-01"))
+    assert own.text("le 1er janvier 2020")[0] == f"le {first.day}{'er' if first.day == 1 else ''} {names['fr'][first.month - 1]} {first.year}"
+    assert own.text("1er Februar 20190 2019-02-28Tx 31 de febrero de 2019")[1] == {}
+
+
+def test_short_groups_of_telephone_numbers(own):
+    bare, found = own.text("+33123456789")
+    assert found == {"phone": 1}
+    for written in ("+33 1 23 45 67 89", "+33 1 23 45 67 89 12", "+33-1-23-45-67-89", "+33 123 456 789"):
+        new, found = own.text(written)
+        assert found == {"phone": 1} and re.sub("[^0-9]", "", new)[:11] == bare[1:]
+        assert re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", written)
+    assert own.text("+33 6 12 34 56 78")[1] == {"phone": 1} and own.text("+2 3 4 5, +12")[1] == {}
+
+
 def test_number_tables_hold_no_cards(own):
     years = " ".join(str(y) for y in range(1900, 2020))
     assert "card" not in own.text(" ".join(str(k % 90 + 10) for k in range(20)))[1] and own.text(years)[1].get("card", 0) <= 2
