@@ -14,8 +14,10 @@ largest payload group meets only in a partial maximum and in a join that AQE can
 Defined results: a null payload is empty, and empty payloads are equal like any others;
 white space in a URL is percent-encoded, a null URL is ``-``; repeated rows are records of
 their own, the later record id wins a tie of rank; a record that is cut short or whose
-header does not fit its version is returned with ``error`` set and ends its archive; an
-empty table gives empty archives and an empty result.
+header does not fit its version is returned by ``read_arc`` with ``error`` set and ends its
+archive, and ``convert`` fails on it; a page whose URL begins with ``filedesc://`` is a record
+like any other, since only an archive's beginning or a body that lists a version's fields is a
+version block; an empty table gives empty archives and an empty result.
 """
 
 from __future__ import annotations
@@ -137,6 +139,18 @@ def _split_http(doc: bytes) -> tuple[bytes, bytes]:
     return doc[: end + 4], doc[end + 4 :]
 
 
+def _described(text: str) -> list[str]:
+    """Header fields of a version block's own line, of either version."""
+    fields = text.split(" ")
+    return [text[: -sum(len(x) + 1 for x in fields[-4:])], *fields[-4:]] if len(fields) < 10 else [" ".join(fields[:-9]), *fields[-9:]]
+
+
+def _is_version_block(block: bytes) -> bool:
+    first, _, rest = block.partition(b"\n")
+    number = first.split(b" ", 1)[0]
+    return number.isdigit() and int(number) in FIELDS and rest.startswith(FIELDS[int(number)].encode())
+
+
 def arc_records(content: bytes) -> Iterator[dict]:
     """Records of one archive, by its version's header lines and the declared lengths."""
     f = _open(content)
@@ -150,13 +164,14 @@ def arc_records(content: bytes) -> Iterator[dict]:
             continue  # between records
         text = line.rstrip(b"\r\n").decode("utf-8", "replace")
         error, fields, block = None, [], b""
-        if text.startswith("filedesc://"):
+        described, fits = text.startswith("filedesc://"), True
+        if described and not version:
             # The block's second line names the version; its own header follows that version.
-            fields = text.split(" ")
-            fields = [text[: -sum(len(x) + 1 for x in fields[-4:])], *fields[-4:]] if len(fields) < 10 else [" ".join(fields[:-9]), *fields[-9:]]
+            fields = _described(text)
         elif version:
             fields = text.rsplit(" ", len(FIELDS[version].split()) - 1)
-            if len(fields) != len(FIELDS[version].split()):
+            fits = len(fields) == len(FIELDS[version].split())
+            if not fits and not described:
                 error = "header does not fit the version"
         else:
             error = "no version block"
@@ -168,7 +183,11 @@ def arc_records(content: bytes) -> Iterator[dict]:
             if len(block) < int(fields[-1]):
                 error = "cut short"
         kind = "response"
-        if not error and text.startswith("filedesc://"):
+        # Inside an archive (joined files) a version block is told from a page by its body.
+        if not error and described and version and not _is_version_block(block):
+            described, error = False, None if fits else "header does not fit the version"
+        if not error and described:
+            fields = _described(text)
             kind, name = "warcinfo", fields[0][len("filedesc://") :]
             number = block.split(b" ", 1)[0]
             version = int(number) if number.isdigit() and int(number) in FIELDS else 0
@@ -236,10 +255,12 @@ def record_key(head: Column) -> Column:
 
 
 def convert(arc: DataFrame, rank: Column, path: str) -> None:
-    """Write the good records of ``arc`` as WARC under ``path``; of responses with equal
-    payloads that of the highest ``rank`` is written whole, the others revisit it."""
-    good = arc.filter(F.col("error").isNull())
-    ranked = good.withColumn("rank", rank)
+    """Write the records of ``arc`` as WARC under ``path``; of responses with equal payloads
+    that of the highest ``rank`` is written whole, the others revisit it. A record with an error
+    fails the job, as what follows it in its archive is lost; a caller that wants the good
+    records alone filters ``arc``."""
+    fault = F.raise_error(F.concat(F.lit("archive record at "), F.col("offset").cast("string"), F.lit(", "), F.col("url"), F.lit(": "), F.col("error")))
+    ranked = arc.withColumn("kind", F.when(F.col("error").isNull(), F.col("kind")).otherwise(fault.cast("string"))).withColumn("rank", rank)
     responses = ranked.filter("kind = 'response'")
     best = responses.groupBy("payload_digest").agg(F.max(F.struct("rank", "record_id", "url", "date")).alias("best"), F.count(F.lit(1)).alias("n"))
     best = best.filter("n > 1").select(F.col("payload_digest").alias("shared"), "best")

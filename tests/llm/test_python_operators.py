@@ -190,6 +190,34 @@ def test_arc_versions_and_faults():
     assert list(archives.arc_records(b"")) == [] and wrong
 
 
+def test_pages_named_like_version_blocks(spark):
+    urls = ["http://a/1", "filedesc://x", "filedesc://a 1 0 x", "http://a/2", "filedesc://"]
+    pages = spark.createDataFrame([(i, urls[i % 5], f"<p>{i}</p>") for i in range(40)], "page_id long, url string, html string").repartition(3)
+    path = archives.through_archives(pages)
+    rows = archives.resolve_revisits(archives.read_warc(spark, path)).collect()
+    assert sorted((r.key, r.url, bytes(r.payload).decode()) for r in rows) == [(i, urls[i % 5].replace(" ", "%20"), f"<p>{i}</p>") for i in range(40)]
+
+
+def test_joined_archives_of_both_versions():
+    data = b""
+    for version in (1, 2, 1):
+        data += archives.version_block(f"v{version}.arc", version, "19961231235959") + b"\n"
+        data += archives.record_line("x", version, 0, "filedesc://p", "2001", "text/html", 3) + b"abc\n"
+    got = [(r["kind"], r["version"], r["error"]) for r in archives.arc_records(data)]
+    assert got == [(kind, version, None) for version in (1, 2, 1) for kind in ("warcinfo", "resource")]
+
+
+def test_conversion_fails_on_faulty_records(spark, tmp_path):
+    data = archives.version_block("x.arc", 1, "19961231235959") + b"\n" + archives.record_line("x", 1, 0, "u", "2001", "text/html", 9) + b"abc\n"
+    (tmp_path / "x.arc.gz").write_bytes(gzip.compress(data))
+    arc = archives.read_arc(spark, str(tmp_path))
+    assert [r.error for r in arc.collect()] == [None, "cut short"]
+    with pytest.raises(Exception, match="cut short"):
+        archives.convert(arc, F.lit(0), str(tmp_path / "warc"))
+    archives.convert(arc.filter("error is null"), F.lit(0), str(tmp_path / "good"))
+    assert [r.type for r in archives.read_warc(spark, str(tmp_path / "good")).collect()] == ["warcinfo"]
+
+
 # --- 4: pieces -------------------------------------------------------------------------
 
 
