@@ -7,8 +7,9 @@ archive's name and the record's place, an ISO timestamp, the record type, and SH
 block and payload. Of the records with equal payloads the one of highest rank becomes the
 response and the others revisit it, without their payload.
 
-Archives are written by Spark's own writers into shared folders and read back as binary
-files, one archive per row; a task holds one archive and one record at a time. The
+Archives and WARC files are bounded by bytes (one record at least), written by Spark's own
+writers into shared folders and read back as binary files, one file per row; a task holds one
+file and one record at a time. The
 largest payload group meets only in a partial maximum and in a join that AQE can split.
 
 Defined results: a null payload is empty, and empty payloads are equal like any others;
@@ -43,9 +44,9 @@ FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
-#: Uncompressed bytes by archive, and records by WARC file.
+#: Uncompressed bytes by archive and by WARC file, past which the next record begins another.
 ARCHIVE_BYTES = 8 << 20
-WARC_RECORDS = 4_000
+WARC_BYTES = 32 << 20
 CRAWL_DATE = "20240102030405"
 _BATCH_BYTES = 4 << 20
 _GZIP = {"compression": "gzip"}
@@ -254,6 +255,23 @@ def record_key(head: Column) -> Column:
     return F.regexp_extract(head.cast("string"), r"(?m)^X-Record-Key: (-?\d+)\r?$", 1).try_cast("long")
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """WARC records -> whole files, one row each."""
+    schema = pa.schema([("data", pa.binary())])
+    held: list[bytes] = []
+    size = 0
+    for batch in batches:
+        for record in batch.column("record").to_pylist():
+            if held and size + len(record) > WARC_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(held)], pa.binary())], schema=schema)
+                held, size = [], 0
+            held.append(record)
+            size += len(record) + 4
+    if held:
+        # The writer ends the last record.
+        yield pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(held)], pa.binary())], schema=schema)
+
+
 def convert(arc: DataFrame, rank: Column, path: str) -> None:
     """Write the records of ``arc`` as WARC under ``path``; of responses with equal payloads
     that of the highest ``rank`` is written whole, the others revisit it. A record with an error
@@ -284,8 +302,9 @@ def convert(arc: DataFrame, rank: Column, path: str) -> None:
         F.lit("\r\n"),
     )
     block = F.concat(F.col("head"), F.when(revisit, F.lit(b"")).otherwise(F.col("payload")))
-    out = joined.select(F.concat(header.cast("binary"), block).cast("string").alias("value"))
-    out.write.options(**_GZIP, maxRecordsPerFile=WARC_RECORDS, lineSep="\r\n\r\n").text(path)
+    records = joined.select(F.concat(header.cast("binary"), block).alias("record"))
+    out = records.mapInArrow(_joined, "data binary").select(F.col("data").cast("string").alias("value"))
+    out.write.options(**_GZIP, maxRecordsPerFile=1, lineSep="\r\n\r\n").text(path)
 
 
 def warc_records(content: bytes) -> Iterator[dict]:

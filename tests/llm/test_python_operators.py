@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -207,6 +208,29 @@ def test_joined_archives_of_both_versions():
     assert got == [(kind, version, None) for version in (1, 2, 1) for kind in ("warcinfo", "resource")]
 
 
+def test_warc_files_are_bounded_by_bytes(spark, tmp_path):
+    rng = random.Random(5)
+    pages = [(i, f"http://a/{i}", rng.randbytes(200_000).hex()) for i in range(120)]
+    old, path = str(tmp_path / "arc"), str(tmp_path / "warc")
+    archives.write_arc(spark.createDataFrame(pages, "page_id long, url string, html string"), old)
+    settings = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}  # all records in one writing task
+    kept = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        archives.convert(archives.read_arc(spark, old).coalesce(1), archives.record_key(F.col("head")), path)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect()
+    sizes = [len(gzip.decompress(bytes(f.content))) for f in files]
+    assert sum(sizes) > archives.WARC_BYTES and max(sizes) <= archives.WARC_BYTES + 4
+    rows = archives.resolve_revisits(archives.read_warc(spark, path)).collect()
+    assert {(r.key, bytes(r.payload).decode()) for r in rows} == {(i, html) for i, _, html in pages} and len(rows) == 120
+    huge = [pa.RecordBatch.from_pydict({"record": [b"x" * (archives.WARC_BYTES + 1), b"y", b"z"]})]
+    assert [b.column(0)[0].as_py()[-6:] for b in archives._joined(huge)] == [b"x" * 6, b"y\r\n\r\nz"]
+
+
 def test_conversion_fails_on_faulty_records(spark, tmp_path):
     data = archives.version_block("x.arc", 1, "19961231235959") + b"\n" + archives.record_line("x", 1, 0, "u", "2001", "text/html", 9) + b"abc\n"
     (tmp_path / "x.arc.gz").write_bytes(gzip.compress(data))
