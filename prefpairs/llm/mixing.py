@@ -12,7 +12,8 @@ target to within about one document.
 
 The prefix sum is distributed: rows are range-partitioned by (source, size, id), counted
 by (part, source), and the counts of earlier parts are added to the rank within the part.
-A hot source, or a hot size within one, is split like any other range.
+A hot source, or a hot size within one, is split like any other range. The sources are
+numbered and their caps summed in the same way, so no task holds all of them.
 
 Defined results: a null text has size 0; null is a source of its own; repeated rows are
 sampled one by one; a corpus without words gives targets of 0 and no copies; an empty table
@@ -45,28 +46,43 @@ def offset_of(source: Column, seed: int = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def _running(rows: DataFrame, order: list[Column], sums: list[str], name: str) -> DataFrame:
+    """``rows`` with ``before_<c>``, the sum of c over the rows that come earlier in a total
+    ``order``, and ``all_<c>``, its sum over all rows; a task holds one range of the order."""
+    ranged = materialize(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), f"{name}-order")
+    # One row per part: their number is that of the partitions, not of the rows.
+    parts = ranged.groupBy("part").agg(*[F.sum(c).alias(c) for c in sums])
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = [x for c in sums for x in (F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"start_{c}"), F.sum(c).over(whole).alias(f"all_{c}"))]
+    starts = materialize(parts.select(F.col("part").alias("start_part"), *offsets), f"{name}-parts")
+    local = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = ranged.select("*", *[F.coalesce(F.sum(c).over(local), F.lit(0)).alias(f"in_{c}") for c in sums])
+    joined = within.join(F.broadcast(starts), F.col("part") == F.col("start_part"))
+    return joined.select(*rows.columns, *[x for c in sums for x in ((F.col(f"start_{c}") + F.col(f"in_{c}")).alias(f"before_{c}"), F.col(f"all_{c}"))])
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """``sizes`` (source, size) by document -> source, source_size, target.
 
     The capped sources are those of smallest cap / weight, so one pass over the sources in
-    that order finds them. One row per source after a partial aggregate.
+    that order finds them. One row per source after a partial aggregate; the sources are
+    numbered, and their caps and weights summed, along range partitions.
     """
-    src = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = F.row_number().over(by_name) - 1
-    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (turn % len(weights) + 1).cast("int"))
-    src = src.withColumn("weight", w.cast("long")).withColumn("cap", F.col("source_size") * max_copies)
-    order = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    rest = order.rowsBetween(0, Window.unboundedFollowing)
-    all_rows = Window.partitionBy()
-    src = src.withColumn("total", F.sum("source_size").over(all_rows))
-    level = (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(rest)
-    src = src.withColumn("capped", level > F.col("cap") / F.col("weight"))
-    free = F.col("total") - F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0)).over(all_rows)
-    left = F.sum(F.when(F.col("capped"), 0).otherwise(F.col("weight"))).over(all_rows)
-    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(free / left * F.col("weight"))
-    return src.select("source", "source_size", target.alias("target"))
+    src = materialize(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "mixing-sources")
+    named = _running(src.withColumn("one", F.lit(1).cast("long")), [F.col("source").asc_nulls_last()], ["one"], "mixing-names")
+    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (F.col("before_one") % len(weights) + 1).cast("int"))
+    src = named.select("source", "source_size", w.cast("long").alias("weight"), (F.col("source_size") * max_copies).alias("cap"))
+    order = [(F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last()]
+    src = _running(src, order, ["cap", "weight", "source_size"], "mixing-caps")
+    level = (F.col("all_source_size") - F.col("before_cap")) / (F.col("all_weight") - F.col("before_weight"))
+    src = materialize(src.withColumn("capped", level > F.col("cap") / F.col("weight")), "mixing-levels")
+    rest = src.agg(
+        (F.max("all_source_size") - F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0))).alias("free"),
+        F.sum(F.when(F.col("capped"), 0).otherwise(F.col("weight"))).alias("left"),
+    )
+    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("free") / F.col("left") * F.col("weight"))
+    return src.crossJoin(F.broadcast(rest)).select("source", "source_size", target.alias("target"))
 
 
 def sampled(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, max_copies: int = MAX_COPIES) -> DataFrame:

@@ -112,6 +112,32 @@ def test_mixing_targets_cap_and_reshare(spark):
     assert sum(t.values()) == pytest.approx(1160)
 
 
+def test_mixing_targets_of_many_sources(spark, monkeypatch):
+    """No window takes all sources into one task, and the targets are those of plain Python."""
+    import random
+
+    rng = random.Random(11)
+    whole = {f"s{k}": int(rng.lognormvariate(3, 2)) for k in range(3000)} | {None: 70, "é": 0}
+    plans, write = [], mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", lambda df, name: plans.append(df) or write(df, name))
+    out = mixing.source_targets(spark.createDataFrame(list(whole.items()), "source string, size long"))
+    got = {r.source: r.target for r in out.collect()}
+    specs = [x for df in [*plans, out] for x in df._jdf.queryExecution().optimizedPlan().toString().split("windowspecdefinition(")[1:]]
+    assert all(x.startswith("part#") for x in specs)
+    names = sorted(whole, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(names)}
+    want, left, free = {}, sum(whole.values()), set(names)
+    while True:
+        total = sum(weight[x] for x in free)
+        above = {s for s in free if left * weight[s] / total > 3 * whole[s]}
+        if not above:
+            break
+        want |= {s: 3.0 * whole[s] for s in above}
+        left -= sum(3 * whole[s] for s in above)
+        free -= above
+    assert got == pytest.approx(want | {s: left * weight[s] / total for s in free})
+
+
 def test_mixing_takes_near_targets(spark):
     import random
 
