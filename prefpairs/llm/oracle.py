@@ -103,4 +103,46 @@ SELECT doc_id, size, source_size, target, CAST(size * (floor(k * step + u) - flo
 FROM ranked
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": OP2, "op9_quality_rules": OP9, "op10_mixing": OP10}
+
+
+def _op11(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Codebooks over all entries and no search: every part is compared to each."""
+
+    def nearest(k: int) -> str:
+        return f"""d{k} AS (
+  SELECT c.r, c.part, b.entry, sum((c.x - b.x) * (c.x - b.x)) AS d FROM comp c JOIN book{k} b ON c.part = b.part AND c.pos = b.pos GROUP BY c.r, c.part, b.entry
+), a{k} AS (
+  SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM d{k} GROUP BY r, part
+)"""
+
+    def moved(k: int) -> str:
+        return f"""s{k} AS (
+  SELECT a.part, a.entry, c.pos, CAST(sum(c.x) AS BIGINT) AS s, count(*) AS n FROM a{k} a JOIN comp c ON a.r = c.r AND a.part = c.part GROUP BY a.part, a.entry, c.pos
+), book{k + 1} AS (
+  SELECT b.part, b.entry, b.pos, CASE WHEN s.n IS NULL THEN b.x ELSE (s.s - ((s.s % s.n) + s.n) % s.n) // s.n END AS x
+  FROM book{k} b LEFT JOIN s{k} s ON b.part = s.part AND b.entry = s.entry AND b.pos = s.pos
+)"""
+
+    steps = [x for k in range(rounds) for x in (nearest(k), moved(k))] + [nearest(rounds)]
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), flat AS (
+  SELECT r, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i, len(embedding) // {parts} AS width FROM kept
+), comp AS (
+  SELECT r, i // width AS part, i % width AS pos, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM flat
+), book0 AS (
+  SELECT part, r AS entry, pos, x FROM comp WHERE r < {entries}
+), {", ".join(steps)}, coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r
+)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM kept k JOIN coded c ON k.r = c.r
+"""
+
+
+OP11 = _op11()
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": OP2, "op9_quality_rules": OP9, "op10_mixing": OP10, "op11_vector_codes": OP11}

@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefpairs.llm import line_dedup as ld
-from prefpairs.llm import archives, langid, mixing, pieces, pseudonyms, quality, simhash, sketches, substring
+from prefpairs.llm import archives, codes, langid, mixing, pieces, pseudonyms, quality, simhash, sketches, spelling, substring, token_counts
 from prefpairs.llm.common import materialize, table
+from prefpairs.session import scratch_path
 
 
 #: Key of the registered query; a deployment passes its own.
 PSEUDONYM_KEY = b"registered query"
+TOKEN_LIMIT = 4096
 
 
 def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +78,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, codebooks = codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(None if codebooks is None else codes.codebooks_digest(codebooks)).cast("string")
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spelling.spelling_variants(table(spark, sf_dir, "documents"))
+    return out.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A cache of its own: a shared one would make a rerun's work depend on the runs before it.
+    tokenizer = token_counts.Tokenizer.read(public_tokenizers.path("piece_bpe_32k.model"))
+    out = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer, scratch_path(spark, "token-cache"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_dedup": op2_line_dedup,
@@ -87,4 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_counts": op13_token_counts,
 }
