@@ -44,10 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids, and whether the ids decode to the text again."""
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = pieces.encode(docs.select("doc_id", "source", "text"), model)
-    decoded = pieces.decode(encoded, model)
-    same = F.coalesce("text", F.lit("")) == F.col("_sp_text")
-    return decoded.select("doc_id", "source", F.size("_sp_ids").cast("long").alias("n_tokens"), F.col("_sp_ids").alias("ids"), same.alias("round_trip"))
+    out = pieces.encode(docs.select("doc_id", "source", "text"), model, keep=["doc_id", "source"], round_trip=True)
+    return out.select("doc_id", "source", F.size("_sp_ids").cast("long").alias("n_tokens"), F.col("_sp_ids").alias("ids"), F.col("_sp_same").alias("round_trip"))
 
 
 STAGES = [

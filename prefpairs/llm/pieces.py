@@ -12,8 +12,13 @@ one is put in front, and a piece continues over no word start, so the table is f
 segments (between places that no piece spans) and equal segments are encoded once while
 they stay in a bounded cache.
 
-Defined results: a null or empty text has no ids; ids that are out of range are an error.
-Working columns are prefixed ``_sp_``; all columns of the input are returned.
+Encoding and the test of the round trip are one pass in one worker. Decoding alone needs the
+pieces' bytes only and builds neither automaton nor caches.
+
+Defined results: a null or empty text has no ids; null ids decode to the empty text; an id that is
+out of range, negative or null is an error; equal rows are encoded each; an empty table gives an
+empty result. Working columns are prefixed ``_sp_``; all columns of the input, or those asked for,
+are returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -43,39 +48,59 @@ _INTS = [struct.Struct(f"<{n}i") for n in range(64)]
 MARKS = ".,;:!?\n"
 
 
+def _parse(proto: bytes):
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m = pb.ModelProto()
+    m.ParseFromString(proto)
+    return m
+
+
+class Decoder:
+    """The bytes that each id stands for."""
+
+    def __init__(self, m):
+        self.bytes_of: list[bytes] = []
+        for p in m.pieces:
+            if p.type == 1:
+                self.bytes_of.append(p.piece.replace(SPACE, " ").encode())
+            elif p.type == 6:
+                self.bytes_of.append(bytes([int(p.piece[3:5], 16)]))
+            else:
+                self.bytes_of.append(" ⁇ ".encode() if p.type == 2 else b"")
+
+    def decode(self, ids: np.ndarray | list[int]) -> str:
+        """Text of ids; bytes that form no UTF-8 become U+FFFD one by one."""
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.bytes_of)):
+            raise ValueError(f"ids out of range: {ids.min()} to {ids.max()}, of {len(self.bytes_of)} pieces")
+        text = _decode(b"".join(map(self.bytes_of.__getitem__, ids.tolist())))
+        return text[1:] if text[:1] == " " else text
+
+
 class Model:
     """Pieces, scores and byte tokens of a model file."""
 
     def __init__(self, proto: bytes):
-        from sentencepiece import sentencepiece_model_pb2 as pb
-
-        m = pb.ModelProto()
-        m.ParseFromString(proto)
+        m = _parse(proto)
         spec = m.normalizer_spec
         plain = not spec.precompiled_charsmap and spec.add_dummy_prefix and not spec.remove_extra_whitespaces and spec.escape_whitespaces
         if m.trainer_spec.model_type != 2 or not m.trainer_spec.byte_fallback or not plain:
             raise ValueError("only merge-type models with byte fallback and plain normalisation are supported")
         self.ids: dict[str, int] = {}
         self.score: list[float] = []
-        self.bytes_of: list[bytes] = []
+        self.decoder = Decoder(m)
         self.byte_ids = [0] * 256
         self.bound = True
         for i, p in enumerate(m.pieces):
             self.score.append(p.score)
-            text = b""
             if p.type == 1:
                 self.ids[p.piece] = i
-                text = p.piece.replace(SPACE, " ").encode()
                 self.bound &= SPACE not in p.piece.lstrip(SPACE) and not re.match(f"{SPACE}{{2,}}[^{SPACE}]", p.piece)
             elif p.type == 6:
-                value = int(p.piece[3:5], 16)
-                self.byte_ids[value] = i
-                text = bytes([value])
-            elif p.type == 2:
-                text = " ⁇ ".encode()
-            elif p.type != 3:
+                self.byte_ids[int(p.piece[3:5], 16)] = i
+            elif p.type not in (2, 3):
                 raise ValueError("user-defined pieces are not supported")
-            self.bytes_of.append(text)
         if not self.bound:
             raise ValueError("a piece continues over a word start")
         self.automaton = ahocorasick.Automaton()
@@ -190,18 +215,18 @@ class Model:
             return b""
         return b"".join(map(self.segments.__getitem__, self.cut(SPACE + text.replace(" ", SPACE))))
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids; bytes that form no UTF-8 become U+FFFD one by one."""
-        data = b"".join(map(self.bytes_of.__getitem__, ids))
-        text = _decode(data)
-        return text[1:] if text[:1] == " " else text
+    def decode(self, ids: np.ndarray | list[int]) -> str:
+        return self.decoder.decode(ids)
 
 
 def _decode(data: bytes) -> str:
-    try:
-        return data.decode()
-    except UnicodeDecodeError as e:
-        return data[: e.start].decode() + "�" + _decode(data[e.start + 1 :])
+    out = []
+    while True:
+        try:
+            return "".join([*out, data.decode()])
+        except UnicodeDecodeError as e:
+            out += [data[: e.start].decode(), "�"]
+            data = data[e.start + 1 :]
 
 
 def _forget(cache: dict) -> None:
@@ -229,48 +254,61 @@ def _model(proto: bytes) -> Model:
     return Model(proto)
 
 
+@lru_cache(maxsize=2)
+def _decoder(proto: bytes) -> Decoder:
+    return Decoder(_parse(proto))
+
+
 def _offsets(lengths: list[int]) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
 
 
-def _encode(proto: bytes, at: int):
+def _encode(proto: bytes, at: int, keep: list[int], round_trip: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(proto)
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                packed = [model.encode(t or "") for t in part.column(at).to_pylist()]
-                values = pa.array(np.frombuffer(b"".join(packed), np.int32))
-                ids = pa.ListArray.from_arrays(_offsets([len(p) // 4 for p in packed]), values)
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "_sp_ids"])
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                packed = [np.frombuffer(model.encode(t), np.int32) for t in texts]
+                ids = pa.ListArray.from_arrays(_offsets([len(p) for p in packed]), pa.array(np.concatenate([np.empty(0, np.int32), *packed])))
+                columns = [*(part.column(k) for k in keep), ids]
+                if round_trip:
+                    columns.append(pa.array([model.decode(p) == t for p, t in zip(packed, texts, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*(part.schema.names[k] for k in keep), "_sp_ids", "_sp_same"][: len(columns)])
 
     return run
 
 
-def _decoder(proto: bytes, at: int):
+def _decoded(proto: bytes, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(proto)
+        decoder = _decoder(proto)
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                texts = [model.decode(x.values.to_numpy().tolist()) if x.is_valid else "" for x in part.column(at)]
+                ids = [x.values if x.is_valid else pa.array([], pa.int32()) for x in part.column(at)]
+                if any(x.null_count for x in ids):
+                    raise ValueError("a null id")
+                texts = [decoder.decode(x.to_numpy()) for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "_sp_text"])
 
     return run
 
 
-def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
-def encode(docs: DataFrame, proto: bytes, text: str = "text") -> DataFrame:
-    """``docs`` with ``_sp_ids`` (array of int): the ids of the whole text."""
-    return docs.mapInArrow(_encode(proto, docs.columns.index(text)), _with(docs, "_sp_ids", T.ArrayType(T.IntegerType())))
+def encode(docs: DataFrame, proto: bytes, text: str = "text", keep: list[str] | None = None, round_trip: bool = False) -> DataFrame:
+    """``docs`` (its columns ``keep``, by default all) with ``_sp_ids`` (array of int), the ids
+    of the whole text, and with ``round_trip`` also ``_sp_same``: whether they decode to it."""
+    at = [docs.columns.index(c) for c in (docs.columns if keep is None else keep)]
+    fields = [*(docs.schema.fields[k] for k in at), T.StructField("_sp_ids", T.ArrayType(T.IntegerType()))]
+    if round_trip:
+        fields.append(T.StructField("_sp_same", T.BooleanType()))
+    return docs.mapInArrow(_encode(proto, docs.columns.index(text), at, round_trip), T.StructType(fields))
 
 
 def decode(docs: DataFrame, proto: bytes, ids: str = "_sp_ids") -> DataFrame:
     """``docs`` with ``_sp_text``: the text of the ids."""
-    return docs.mapInArrow(_decoder(proto, docs.columns.index(ids)), _with(docs, "_sp_text", T.StringType()))
+    schema = T.StructType([*docs.schema.fields, T.StructField("_sp_text", T.StringType())])
+    return docs.mapInArrow(_decoded(proto, docs.columns.index(ids)), schema)
 
 
 def read_model(path: str) -> bytes:

@@ -259,9 +259,10 @@ class Pseudonymiser:
         x = value.toordinal() - FIRST_DAY
         if not 0 <= x < DAYS:
             return None
-        # A slash date reads as month first where it can; so must its pseudonym.
-        fits = (lambda y: self._day(y).day > 12) if "/" in s and day_first else (lambda _: True)
-        new = self._day(self._map("date", DAYS).walk(x, fits))
+        # A slash date reads as month first where it can; so must its pseudonym. Days to the 12th
+        # and later ones are therefore permuted each among themselves, in every notation alike.
+        late = value.day > 12
+        new = self._day(self._map("date", DAYS).walk(x, lambda y: (self._day(y).day > 12) == late))
         if named:
             word = names[new.month - 1]
             if named["d"]:

@@ -69,3 +69,15 @@ def test_archive_rows(awkward):
     assert sum(r.type == "response" for r in rows) == len(texts)
     largest = {k: max((i for i in v if i is not None), default=None) for k, v in texts.items()}
     assert {r.target for r in rows if r.type == "revisit"} == {largest[k] for k, v in texts.items() if len(v) > 1}
+
+
+def test_ids_that_no_text_has(spark):
+    """Negative, large and null ids are errors; null and empty lists are the empty text."""
+    ids = lambda rows: spark.createDataFrame(rows, "k int, _sp_ids array<int>")
+    assert [r._sp_text for r in pieces.decode(ids([(1, None), (2, [])]), MODEL).collect()] == ["", ""]
+    for bad in ([-1], [5, 10**6], [5, None]):
+        with pytest.raises(Exception, match="out of range|a null id"):
+            pieces.decode(ids([(1, bad)]), MODEL).collect()
+    many = pieces.encode(spark.createDataFrame([(1, "a b"), (2, None), (3, "\x00 \U0010ffff▁x")], "k int, text string"), MODEL, keep=["k"], round_trip=True)
+    assert many.columns == ["k", "_sp_ids", "_sp_same"]
+    assert [(r.k, r._sp_same) for r in many.orderBy("k").collect()] == [(1, True), (2, True), (3, False)]  # that mark is the model's own space

@@ -98,6 +98,22 @@ def test_values_beside_other_groups(own, value, kind, around):
     assert new != value and own.text(around.format(value)) == (around.format(new), {kind: 1})
 
 
+def test_every_day_in_every_notation(own):
+    """One pseudonym for a day in all notations, another for every other day."""
+    english = pseudonyms.MONTHS[0][1]
+    days = [datetime.date(2020, 1, 1) + datetime.timedelta(k) for k in range(366)]
+    new = {}
+    for d in days:
+        got = datetime.date.fromisoformat(own.date(d.isoformat()))
+        assert datetime.datetime.strptime(own.date(f"{d:%d.%m.%Y}"), "%d.%m.%Y").date() == got
+        assert datetime.datetime.strptime(own.date(f"{d:%m/%d/%Y}"), "%m/%d/%Y").date() == got
+        assert own.date(f"{english[d.month - 1]} {d.day}, {d.year}") == f"{english[got.month - 1]} {got.day}, {got.year}"
+        if d.day > 12:  # else it reads as month first
+            assert datetime.datetime.strptime(own.date(f"{d:%d/%m/%Y}"), "%d/%m/%Y").date() == got
+        new[d] = got
+    assert len(set(new.values())) == len(days)
+
+
 def test_dates_of_the_corpus_languages(own):
     """One day, one pseudonym: timestamps and named months of all four languages."""
     day = datetime.date.fromisoformat(own.date("2019-02-28"))
