@@ -35,6 +35,46 @@ def keyed_gauss(seed: int, key: Column, axis: str) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(_TWO_PI) * u2)
 
 
+def _gauss(seed: int, key: Column, std: float) -> tuple[Column, Column]:
+    """Independent normal shifts of both axes."""
+    return F.lit(std) * keyed_gauss(seed, key, "x"), F.lit(std) * keyed_gauss(seed, key, "y")
+
+
+def _polar(seed: int, key: Column, radius: Column) -> tuple[Column, Column]:
+    """A shift of the given length in a keyed direction."""
+    angle = F.lit(_TWO_PI) * keyed_uniform(seed, key, "angle")
+    return radius * F.cos(angle), radius * F.sin(angle)
+
+
+def _disc(seed: int, key: Column, std: float) -> tuple[Column, Column]:
+    """Uniform over a disc of radius 2 std, which has deviation std on each axis: within the
+    fraction u of its area lies the radius 2 std sqrt(u)."""
+    return _polar(seed, key, F.lit(2.0 * std) * F.sqrt(keyed_uniform(seed, key, "radius")))
+
+
+def _truncated(seed: int, key: Column, std: float, cut: float = 2.0) -> tuple[Column, Column]:
+    """Normal on both axes, but never further than ``cut`` deviations from the point: the
+    radius by the inverse of its distribution function below the cut."""
+    mass = 1.0 - math.exp(-cut * cut / 2.0)
+    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - F.lit(mass) * keyed_uniform(seed, key, "radius")))
+    return _polar(seed, key, F.lit(std) * radius)
+
+
+def _laplace(seed: int, key: Column, std: float) -> tuple[Column, Column]:
+    """Double exponential on each axis with deviation std: mostly small shifts, some large."""
+    scale = F.lit(std / math.sqrt(2.0))
+
+    def axis(name: str) -> Column:
+        u = keyed_uniform(seed, key, name) - F.lit(0.5)
+        return -scale * F.signum(u) * F.log(F.lit(1.0) - F.lit(2.0) * F.abs(u))
+
+    return axis("x"), axis("y")
+
+
+#: Shapes of the shift, by name: (seed, key, standard deviation) -> (x shift, y shift).
+SHAPES = {"gauss": _gauss, "disc": _disc, "laplace": _laplace, "truncated": _truncated}
+
+
 def with_perturbed(
     df: DataFrame,
     x: str,
@@ -47,8 +87,9 @@ def with_perturbed(
     out_x: str,
     out_y: str,
     where: Column | None = None,
+    shape: str = "gauss",
 ) -> DataFrame:
-    """Adds ``out_x, out_y``: Gaussian shift, clip to the canvas, round half-to-even,
+    """Adds ``out_x, out_y``: a shift of the given shape (``SHAPES``), clip to the canvas, round half-to-even,
     and move x by +10 (mod width) when the result landed back on the original point.
 
     Rows failing ``where`` get NULLs and no digest is computed for them. Three small
@@ -57,12 +98,10 @@ def with_perturbed(
     keep = [F.col(c) for c in df.columns]
     cx, cy = F.col(x), F.col(y)
     gate = where if where is not None else F.lit(True)
-    std = F.lit(float(noise_std))
-    s = df.select(
-        *keep,
-        F.when(gate, cx.cast("double") + std * keyed_gauss(seed, F.col(key), "x")).alias("_n_x"),
-        F.when(gate, cy.cast("double") + std * keyed_gauss(seed, F.col(key), "y")).alias("_n_y"),
-    )
+    if shape not in SHAPES:
+        raise ValueError(f"unknown noise shape {shape!r}; known: {sorted(SHAPES)}")
+    dx, dy = SHAPES[shape](seed, F.col(key), float(noise_std))
+    s = df.select(*keep, F.when(gate, cx.cast("double") + dx).alias("_n_x"), F.when(gate, cy.cast("double") + dy).alias("_n_y"))
     s = s.select(
         *keep,
         F.rint(F.greatest(F.lit(0.0), F.least(F.lit(float(width)), F.col("_n_x")))).cast("bigint").alias("_n_x"),

@@ -62,12 +62,12 @@ def _movable() -> Column:
 def _spatial_prepare(df: DataFrame, cfg: PairConfig) -> DataFrame:
     w, h = cfg.canvas
     return with_perturbed(
-        df, "x", "y", "entry_id", cfg.seed, cfg.noise_std, w, h, "_spatial_x", "_spatial_y", where=_movable()
+        df, "x", "y", "entry_id", cfg.seed, cfg.noise_std, w, h, "_spatial_x", "_spatial_y", where=_movable(), shape=cfg.noise_shape
     )
 
 
 def _spatial_rejected(cfg: PairConfig) -> Column:
-    """"Fat finger": CLICK and LONG_PRESS with coordinates get a keyed Gaussian shift;
+    """"Fat finger": CLICK and LONG_PRESS with coordinates get a keyed shift;
     every other action is returned unchanged (rejected == chosen)."""
     moved = format_coords(F.col("action_type"), F.col("_spatial_x"), F.col("_spatial_y"))
     return F.when(_movable(), moved).otherwise(F.col("chosen"))

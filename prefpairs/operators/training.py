@@ -23,10 +23,21 @@ SPLIT_SALT = "split"
 TRAIN, EVAL = "train", "eval"
 
 
-def sft_text(pairs: DataFrame, keep: tuple[str, ...] = (), drop_duplicates: bool = False) -> DataFrame:
-    """``text = prompt + chosen + <|end_of_turn|>`` (no separator); rejected is unused."""
-    out = pairs.select(*keep, F.concat("prompt", "chosen", F.lit(K.END_OF_TURN)).alias("text"))
-    return out.dropDuplicates(["text"]) if drop_duplicates else out
+def sft_text(pairs: DataFrame, keep: tuple[str, ...] = (), drop_duplicates: bool = False, order: tuple[str, ...] = ()) -> DataFrame:
+    """``text = prompt + chosen + <|end_of_turn|>`` (no separator); rejected is unused.
+
+    ``drop_duplicates`` keeps of each text the row that comes first by ``order`` (integral
+    columns that tell rows apart), or without an order by the columns kept: a minimum that every
+    task takes of its own rows first, so a text that a third of all rows share is one row a task.
+    """
+    out = pairs.select(*dict.fromkeys([*keep, *order]), F.concat("prompt", "chosen", F.lit(K.END_OF_TURN)).alias("text"))
+    if not drop_duplicates:
+        return out.select(*keep, "text")
+    by = [*order, *(c for c in keep if c not in order)]
+    if not by:
+        return out.distinct()
+    first = out.groupBy("text").agg(F.min(F.struct(*by)).alias("_first"))
+    return first.select(*[F.col(f"_first.{c}").alias(c) for c in keep], "text")
 
 
 def dpo_projection(pairs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -50,7 +61,9 @@ def split_key(key: str = "entry") -> Column:
         return F.col("line_id")
     if key == "content":  # for rows without ids: both pairs of an entry share prompt+chosen
         return F.sha2(F.concat_ws("\u0001", F.col("prompt"), F.col("chosen")), 256)
-    raise ValueError("key must be 'entry', 'pair', 'line' or 'content'")
+    if key == "text":  # of SFT rows: equal texts land together, whichever row stands for them
+        return F.sha2(F.col("text"), 256)
+    raise ValueError("key must be 'entry', 'pair', 'line', 'content' or 'text'")
 
 
 def train_eval_split(

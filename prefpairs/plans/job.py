@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from prefpairs import constants as K
-
+from prefpairs.functions.noise import SHAPES
 from prefpairs.operators.audit import summary
 from prefpairs.operators.entries import parse_entries
 from prefpairs.operators.pairs import cap_valid, generation_stats, pairs_from_parsed, raw_prefix
@@ -34,6 +34,7 @@ from prefpairs.operators.training import (
     train_eval_split,
 )
 from prefpairs.schema import PairConfig
+from prefpairs.session import scratch_path
 from prefpairs.sources.readers import dataset_candidates, read_pairs_jsonl, resolve_source
 from prefpairs.sources.sinks import write_jsonl, write_pairs_table
 
@@ -52,7 +53,7 @@ def generate(
     """Resolve the first source that exists (or, if asked for, synthetic entries), optionally keep the first
     ``sample_size`` raw entries and at most ``sample_size`` valid ones, write the pair
     table and the JSON lines, and return the audit summary plus generation counters."""
-    source = resolve_source(spark, sources, synthetic_fallback, spread_rows=True)
+    source = resolve_source(spark, sources, synthetic_fallback, spread_rows=True, head=sample_size or None)
     entries, used = source.entries, source.label
     # A raw prefix of N entries never has more than N valid ones, so the cap on valid
     # entries matters for synthetic entries only, which are not cut to a prefix.
@@ -90,18 +91,19 @@ def generate(
     return report
 
 
-def load_pairs(spark: SparkSession, path: str, fmt: str | None = None, positions: bool = False) -> tuple[DataFrame, tuple[str, ...]]:
+def load_pairs(spark: SparkSession, path: str, fmt: str | None = None, positions: bool = False, head: int | None = None) -> tuple[DataFrame, tuple[str, ...]]:
     """Pairs from a Parquet table or from JSON lines, and the columns that give their order.
 
     ``fmt`` is ``parquet`` or ``jsonl``; by default the path's suffix decides (``.jsonl`` or
     ``.json``, also before a compression suffix). A Parquet table without the generation keys
-    is valid and has no order; lines are ordered by ``line_id`` when ``positions`` asks.
+    is valid and has no order; lines are ordered by ``line_id`` when ``positions`` asks, and only
+    the first ``head`` of them are read.
     """
     if fmt is None:
         name = os.path.basename(path.rstrip("/"))
         fmt = "jsonl" if re.search(r"\.jsonl?(\.[a-z0-9]+)?$", name) else "parquet"
     if fmt == "jsonl":
-        return read_pairs_jsonl(spark, path, positions=positions), ("line_id",) if positions else ()
+        return read_pairs_jsonl(spark, path, positions=positions, head=head if positions else None), ("line_id",) if positions else ()
     if fmt != "parquet":
         raise ValueError(f"unsupported pair format {fmt!r}")
     df = spark.read.parquet(path)
@@ -129,21 +131,28 @@ def prepare(
 
     Keyed input splits by entry (no leak between the two pairs of an entry); input without
     ids splits by the prompt+chosen content, which groups the same way; ``split_by``
-    (``entry``, ``pair``, ``line``, ``content``) overrides. ``limit`` keeps the first pairs in
+    (``entry``, ``pair``, ``line``, ``content``, ``text``) overrides. ``limit`` keeps the first pairs in
     generation order: by the keys of the table, or by the place of the lines. ``exact`` fixes
     the eval size at ``ceil((1 - split_ratio) * rows)`` like a library train/test split.
-    ``drop_duplicates`` keeps one row of each SFT text.
+    ``drop_duplicates`` keeps the first row of each SFT text and splits by the text, so that the
+    split does not follow which row that is; the reduced rows are written before they are
+    selected from.
     """
+    drop_duplicates = drop_duplicates and kind == "sft"
     ordered = bool(limit or exact or n_eval is not None)
-    pairs, order = load_pairs(spark, pairs_path, fmt, positions=ordered)
+    pairs, order = load_pairs(spark, pairs_path, fmt, positions=ordered, head=limit)
     if ordered and not order:
         raise ValueError("a limit or an exact eval size needs rows in an order: a keyed pair table or JSON lines")
-    if limit:
-        pairs = max_samples(pairs, limit, order)
     keyed = order == ("entry_id", "strategy_ord")
-    key = split_by or ("entry" if keyed else "content")
+    if limit and keyed:
+        pairs = max_samples(pairs, limit, order)
+    key = split_by or ("text" if drop_duplicates else "entry" if keyed else "content")
     keep = (*order, *(("prompt", "chosen") if kind == "sft" and key == "content" else ()))
-    rows = sft_text(pairs, keep=keep, drop_duplicates=drop_duplicates) if kind == "sft" else dpo_projection(pairs, keep=order)
+    rows = sft_text(pairs, keep, drop_duplicates, order) if kind == "sft" else dpo_projection(pairs, keep=order)
+    if drop_duplicates:
+        path = scratch_path(spark, "sft-distinct")
+        rows.write.parquet(path)
+        rows = spark.read.parquet(path)
     if exact and n_eval is None:
         n_eval = eval_count(rows.count(), split_ratio)
     if n_eval is not None:
@@ -179,6 +188,7 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--sample", type=int)
     g.add_argument("--seed", type=int, default=42)
     g.add_argument("--noise-std", type=float, default=50.0)
+    g.add_argument("--noise-shape", choices=tuple(SHAPES), default="gauss")
     p = sub.add_parser("prepare")
     p.add_argument("--pairs", required=True)
     p.add_argument("--out", required=True)
@@ -189,7 +199,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--exact", action="store_true", help="eval size = ceil((1 - split ratio) * rows)")
     p.add_argument("--format", choices=("parquet", "jsonl"), help="default: by the path's suffix")
     p.add_argument("--seed", type=int, default=42)
-    p.add_argument("--split-by", choices=("entry", "pair", "line", "content"))
+    p.add_argument("--split-by", choices=("entry", "pair", "line", "content", "text"))
     p.add_argument("--drop-duplicates", action="store_true", help="one row of each SFT text")
     a = ap.parse_args(argv)
     spark = build_session()
@@ -201,7 +211,7 @@ def main(argv: list[str] | None = None) -> None:
             spark,
             srcs,
             a.out,
-            PairConfig(seed=a.seed, noise_std=a.noise_std),
+            PairConfig(seed=a.seed, noise_std=a.noise_std, noise_shape=a.noise_shape),
             a.sample,
             a.single_file,
             a.python_bytes,

@@ -99,7 +99,23 @@ def synthetic_src() -> list[str]:
 
 # --- extraction, parse, pairs ---------------------------------------------------
 
-def chain(src: list[str], valid_limit: int | None = None, noise_std: float = K.DEFAULT_NOISE_STD) -> list[str]:
+def shift(shape: str, axis: str, std: float) -> str:
+    """The shift of one axis before it is clipped and rounded."""
+    if shape == "gauss":
+        return f"CAST({std} AS DOUBLE) * {gauss('entry_id', axis)}"
+    if shape == "laplace":
+        u = f"({uniform('entry_id', axis)} - CAST(0.5 AS DOUBLE))"
+        return f"-CAST({std} AS DOUBLE) / sqrt(CAST(2 AS DOUBLE)) * sign({u}) * ln(CAST(1 AS DOUBLE) - CAST(2 AS DOUBLE) * abs({u}))"
+    u = uniform("entry_id", "radius")
+    if shape == "disc":
+        radius = f"CAST({2 * std} AS DOUBLE) * sqrt({u})"
+    else:  # the normal's radius below two deviations
+        radius = f"CAST({std} AS DOUBLE) * sqrt(CAST(-2 AS DOUBLE) * ln(CAST(1 AS DOUBLE) - (CAST(1 AS DOUBLE) - exp(CAST(-2 AS DOUBLE))) * {u}))"
+    turn = {"x": "cos", "y": "sin"}[axis]
+    return f"{radius} * {turn}(CAST(2 AS DOUBLE) * pi() * {uniform('entry_id', 'angle')})"
+
+
+def chain(src: list[str], valid_limit: int | None = None, noise_std: float = K.DEFAULT_NOISE_STD, shape: str = "gauss") -> list[str]:
     limit = f" ORDER BY entry_id LIMIT {valid_limit}" if valid_limit else ""
     coord_tags = "('CLICK', 'LONG_PRESS', 'SCROLL')"
     num = lambda t: (
@@ -110,7 +126,7 @@ def chain(src: list[str], valid_limit: int | None = None, noise_std: float = K.D
     w, h = K.DEFAULT_CANVAS
     moved = lambda axis, col, size: (
         f"CASE WHEN {movable} THEN CAST(round_even(greatest(CAST(0 AS DOUBLE), least(CAST({size} AS DOUBLE), "
-        f"CAST({col} AS DOUBLE) + CAST({noise_std} AS DOUBLE) * {gauss('entry_id', axis)})), 0) AS BIGINT) END"
+        f"CAST({col} AS DOUBLE) + {shift(shape, axis, noise_std)})), 0) AS BIGINT) END"
     )
     chosen = (
         f"CASE WHEN action_type IN {coord_tags} THEN "
@@ -378,6 +394,22 @@ def build() -> dict[str, str]:
                CASE k WHEN 0 THEN 0 WHEN 3 THEN -turn WHEN 4 THEN conv_id WHEN 5 THEN 3 END AS y,
                CASE k WHEN 1 THEN trim(text, chr(34) || chr(39)) WHEN 2 THEN 'say "' || CAST(turn AS VARCHAR) || '" twice' END AS text
         FROM t"""
+    one = "SELECT min(entry_id) AS entry_id, text FROM t GROUP BY text"
+    sql["sft_deduplicated"] = with_(
+        [*ev, f"t AS (SELECT entry_id, strategy_ord, {sft} AS text FROM pairs)", f"d AS ({one})",
+         "f AS (SELECT d.entry_id, min(t.strategy_ord) AS strategy_ord, d.text FROM d JOIN t ON d.text = t.text AND d.entry_id = t.entry_id GROUP BY d.entry_id, d.text)"],
+        f"""SELECT entry_id, strategy_ord, text,
+                   CASE WHEN row_number() OVER (ORDER BY {bits48('sha256(text)', 'split')} DESC, entry_id, strategy_ord) <= {Q.SPLIT_N_EVAL}
+                        THEN 'eval' ELSE 'train' END AS split
+            FROM f""",
+    )
+    for shape in ("disc", "laplace", "truncated"):
+        sql[f"rejections_{shape}"] = with_(chain(events_src(), shape=shape), "SELECT entry_id, chosen, rejected FROM spatial")
+    sql["entries_adapted"] = """SELECT CAST(doc_id AS BIGINT) AS entry_id, 'Label document ' || CAST(doc_id AS VARCHAR) AS instruction,
+               'CLICK: (' || CAST(quality AS VARCHAR) || ', ' || CAST(toxic AS VARCHAR) || ')' AS raw_action FROM labels"""
+    sql["train_eval_split_streamed"] = sql["train_eval_split"]
+    sql["generation_stats_streamed"] = sql["generation_stats"]
+    sql["audit_streamed"] = sql["jsonl_audit"]
     return sql
 
 

@@ -23,10 +23,12 @@ from prefpairs.operators.rejections import chosen_action, register_strategy
 from prefpairs.schema import PairConfig
 from prefpairs.session import scratch_path
 from prefpairs.sources import sinks
-from prefpairs.sources.adapters import conversations_to_entries, events_to_entries
+from prefpairs.sources.adapters import adapt, conversations_to_entries, events_to_entries, message
 from prefpairs.sources.readers import read_entries, read_lines, read_pairs_jsonl, resolve_source, spread
 from prefpairs.sources.synthetic import synthetic_entries_from_ids
+from prefpairs.streaming.audit_stream import latest_totals, run_audit_stream
 from prefpairs.streaming.pairs_stream import run_pairs_stream
+from prefpairs.streaming.prepare_stream import read_prepared, run_counts_stream, run_prepare_stream, total_counts
 
 # Operator parameters used by the registered queries.
 RAW_PREFIX_N = 2500
@@ -301,8 +303,8 @@ def q_pairs_jsonl_faults(spark, sf_dir):
 
 
 def q_jsonl_max_samples(spark, sf_dir):
-    read = read_pairs_jsonl(spark, ordered_pair_lines(spark, sf_dir), positions=True)
-    return training.max_samples(read, MAX_SAMPLES_M, ("line_id",)).select("prompt", "chosen", "rejected")
+    read = read_pairs_jsonl(spark, ordered_pair_lines(spark, sf_dir), positions=True, head=MAX_SAMPLES_M)
+    return read.select("prompt", "chosen", "rejected")
 
 
 def q_jsonl_split_exact(spark, sf_dir):
@@ -390,6 +392,72 @@ def q_actions_hard(spark, sf_dir):
     return parse_actions(raw, "raw").select("entry_id", "action_type", "x", "y", "text")
 
 
+def q_sft_deduplicated(spark, sf_dir):
+    """The first row of each text in generation order, split by the text at an exact size."""
+    p = pairs.flatten_pairs(event_pairs(spark, sf_dir))
+    order = ("entry_id", "strategy_ord")
+    path = scratch_path(spark, "sft-distinct")
+    training.sft_text(p, order, drop_duplicates=True, order=order).write.parquet(path)
+    return training.split_exact(spark.read.parquet(path), SPLIT_N_EVAL, key="text")
+
+
+def _shaped(spark, sf_dir, shape):
+    p = event_pairs(spark, sf_dir, PairConfig(strategies=(K.SPATIAL,), noise_shape=shape))
+    return p.select("entry_id", "chosen", "rejected")
+
+
+def q_rejections_disc(spark, sf_dir):
+    return _shaped(spark, sf_dir, "disc")
+
+
+def q_rejections_laplace(spark, sf_dir):
+    return _shaped(spark, sf_dir, "laplace")
+
+
+def q_rejections_truncated(spark, sf_dir):
+    return _shaped(spark, sf_dir, "truncated")
+
+
+def q_entries_adapted(spark, sf_dir):
+    """Raw annotations of another shape through an adapter of the user's own: one label a
+    document, as two messages."""
+
+    def labels_to_entries(labels: DataFrame) -> DataFrame:
+        point = F.concat(F.lit("CLICK: ("), F.col("quality").cast("string"), F.lit(", "), F.col("toxic").cast("string"), F.lit(")"))
+        said = F.concat(F.lit(" Label document "), F.col("doc_id").cast("string"))
+        return labels.select(F.col("doc_id").alias("entry_id"), F.array(message("annotator", said), message("tool", point)).alias("conversations"))
+
+    return _extracted(adapt(table(spark, sf_dir, "labels"), labels_to_entries))
+
+
+def _arriving(df: DataFrame, spark, run: Callable[[str, str], str]) -> str:
+    """``df`` by id in two deliveries of several files each; ``run`` after each of them, the
+    second time with the first's checkpoint."""
+    folder, out = scratch_path(spark, "arriving"), scratch_path(spark, "arrived")
+    late = F.col(df.columns[0]) % 3 == 0
+    for part in (~late, late):
+        df.filter(part).repartition(4).write.mode("append").parquet(folder)
+        run(folder, out)
+    return out
+
+
+def q_train_eval_split_streamed(spark, sf_dir):
+    p = pairs.flatten_pairs(event_pairs(spark, sf_dir)).select("entry_id", "strategy_ord", "prompt", "chosen", "rejected")
+    out = _arriving(p, spark, lambda folder, out: run_prepare_stream(spark, folder, out, "sft", max_files_per_trigger=3))
+    return read_prepared(spark, out)
+
+
+def q_generation_stats_streamed(spark, sf_dir):
+    out = _arriving(table(spark, sf_dir, "events"), spark, lambda folder, out: run_counts_stream(spark, folder, out, events_to_entries, max_files_per_trigger=3))
+    return total_counts(spark, out)
+
+
+def q_audit_streamed(spark, sf_dir):
+    path = sinks.write_jsonl(event_pairs(spark, sf_dir), scratch_path(spark, "pairs-arriving"), max_records_per_file=50_000)
+    out = run_audit_stream(spark, path, scratch_path(spark, "audit-totals"), max_files_per_trigger=3)
+    return latest_totals(spark, out)
+
+
 QUERIES: dict[str, Query] = {
     "entries_extracted": q_entries_extracted,
     "entries_from_conversations": q_entries_from_conversations,
@@ -434,4 +502,12 @@ QUERIES: dict[str, Query] = {
     "rejections_custom": q_rejections_custom,
     "audit_uncounted": q_audit_uncounted,
     "actions_hard": q_actions_hard,
+    "sft_deduplicated": q_sft_deduplicated,
+    "rejections_disc": q_rejections_disc,
+    "rejections_laplace": q_rejections_laplace,
+    "rejections_truncated": q_rejections_truncated,
+    "entries_adapted": q_entries_adapted,
+    "train_eval_split_streamed": q_train_eval_split_streamed,
+    "generation_stats_streamed": q_generation_stats_streamed,
+    "audit_streamed": q_audit_streamed,
 }

@@ -77,6 +77,8 @@ class PairConfig:
     ``unwrap_prompt`` strips one existing ``<image>\\nUser: ...\\nModel:`` wrapper
     before wrapping (the faithful default wraps twice, as the original output does).
     ``drop_degenerate`` removes pairs whose rejected equals chosen (off by default).
+    ``noise_shape`` is the shape of the spatial shift (``gauss``, ``disc``, ``laplace``,
+    ``truncated``), with deviation ``noise_std`` before it is cut.
     """
 
     seed: int = K.DEFAULT_SEED
@@ -86,3 +88,4 @@ class PairConfig:
     strategies: tuple[str, ...] = (K.SPATIAL, K.LOGICAL)
     unwrap_prompt: bool = False
     drop_degenerate: bool = False
+    noise_shape: str = "gauss"

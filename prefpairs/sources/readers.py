@@ -4,8 +4,9 @@ table and as raw lines. Every read uses an explicit schema."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,9 +23,11 @@ from prefpairs.sources.synthetic import synthetic_entries
 # Row ids derived from positions: file ordinal in the high bits, row index in the low 40
 # bits (up to ~1.1e12 rows per file).
 _ROW_BITS = 40
-# The file-ordinal table is broadcast only below this many files; its size is known
-# exactly on the driver before the join is planned.
-MAX_BROADCAST_FILES = 200_000
+# The table of files, and the directory of their splits, are sent to every task up to so many
+# bytes, counted before the join is planned; beyond, they are joined like any other table.
+MAX_BROADCAST_BYTES = 128 << 20
+# Bytes of a row of either table beside its path.
+_ROW_BYTES = 64
 
 # Entries as they come from JSON: fields of any kind, so that a message that is no text is told
 # apart from one that is missing, and one odd record does not spoil an array file.
@@ -93,7 +96,12 @@ def _parsed_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_entries_json(
-    spark: SparkSession, path: str | list[str], multi_line: bool = False, ids: str = "column", spread_rows: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = False,
+    ids: str = "column",
+    spread_rows: bool = False,
+    head: int | None = None,
 ) -> DataFrame:
     """Entries from JSON lines (default) or JSON array files (``multi_line``): ENTRY columns
     and ``fault``.
@@ -103,17 +111,17 @@ def read_entries_json(
     the high bits, record number within the file (0-based, blank lines skipped) in the low
     40 bits, so prefixes follow file order as a sequential reader would. Array files are
     streamed record by record; an array that breaks off counts as one malformed record.
+    ``head`` keeps the first so many records by position and reads the files they are in.
     """
     if ids not in ("column", "position"):
         raise ValueError("ids must be 'column' or 'position'")
-    if multi_line:
-        scan = spark.read.schema(_JSON_ENTRY).options(multiLine=True, columnNameOfCorruptRecord=_CORRUPT).json(path)
-        rows = scan.select("*", *_place())
-    else:
-        scan = spark.read.text(path)
-        rows = scan.filter(F.length(py_strip(F.col("value"))) > 0).select("value", *_place())
+    if head is not None and ids != "position":
+        raise ValueError("a head of the files needs ids='position'")
+    read = _placed_records if multi_line else _placed_lines
     if ids == "position":
-        rows = with_positions(spark, rows, scan.inputFiles(), "_id")
+        rows, scan = with_positions(spark, read, path, "_id", head)
+    else:
+        scan, rows = read(spark, path)
     if not multi_line:
         rows = _parsed_lines(rows)
     if ids == "position":
@@ -124,11 +132,20 @@ def read_entries_json(
     return spread(entries, scan=scan) if spread_rows else entries
 
 
+def _normal(path: str) -> str:
+    # inputFiles() spells local files "file:///p" where the scan metadata says "file:/p".
+    return re.sub(r"^file:/+", "file:///", path)
+
+
+def _sized_broadcast(df: DataFrame, n_bytes: int) -> DataFrame:
+    return F.broadcast(df) if n_bytes <= MAX_BROADCAST_BYTES else df
+
+
 def _file_ordinals(spark: SparkSession, files: list[str]) -> DataFrame:
     """(normalised file path, ordinal in path order): one row per input file."""
-    files = sorted(re.sub(r"^file:/+", "file:///", f) for f in files)
+    files = sorted(map(_normal, files))
     ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _ord long")
-    return F.broadcast(ordinals) if len(files) <= MAX_BROADCAST_FILES else ordinals
+    return _sized_broadcast(ordinals, sum(map(len, files)) + _ROW_BYTES * len(files))
 
 
 def _file_path() -> "F.Column":
@@ -140,29 +157,103 @@ def _place() -> list["F.Column"]:
     return [_file_path().alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_mono")]
 
 
-def with_positions(spark: SparkSession, rows: DataFrame, files: list[str], name: str) -> DataFrame:
-    """``rows`` of a scan with ``_place`` columns -> the same with ``name``: file ordinal and
-    row number within the file.
+#: (session, path) -> the bare scan, and its rows that count with their ``_place`` columns.
+PlacedScan = Callable[[SparkSession, "str | list[str]"], tuple[DataFrame, DataFrame]]
 
-    Two scans: the first counts the rows of each split and writes the counts, one row per
-    split, to the shared folder; the second numbers its rows from them. Should the second
-    scan cut the files otherwise (the cut follows settings and the number of cores while the
-    input is small), a row finds no count or a number outside its split's count, and the job
-    fails instead of losing or misnumbering rows.
+
+def _placed_lines(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Lines of text that are not blank."""
+    scan = spark.read.text(path)
+    return scan, scan.filter(F.length(py_strip(F.col("value"))) > 0).select("value", *_place())
+
+
+def _placed_records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Records of JSON array files."""
+    scan = spark.read.schema(_JSON_ENTRY).options(multiLine=True, columnNameOfCorruptRecord=_CORRUPT).json(path)
+    return scan, scan.select("*", *_place())
+
+
+def _size(setting: str) -> int:
+    number, unit = re.fullmatch(r"([0-9]+)\s*([bkmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def pinned_session(spark: SparkSession, files: list[str]) -> SparkSession:
+    """A session with the settings of ``spark`` in which ``files`` are always cut alike.
+
+    How long a split is follows settings and, while the input is small, the number of cores
+    at hand when a scan starts. Here the length that holds now is written into the session, so
+    that scans made in it agree, however many executors come or go between them.
+    """
+    sizes = spark.read.format("binaryFile").load(files).agg(F.sum("length"), F.count(F.lit(1))).first()
+    cost = _size(spark.conf.get("spark.sql.files.openCostInBytes"))
+    slots = int(spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism)
+    split = min(_size(spark.conf.get("spark.sql.files.maxPartitionBytes")), max(cost, ((sizes[0] or 0) + sizes[1] * cost) // max(slots, 1)))
+    pinned = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            pinned.conf.set(key, value)
+    pinned.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    pinned.conf.set("spark.sql.files.minPartitionNum", "1")
+    return pinned
+
+
+def files_of_head(spark: SparkSession, read: PlacedScan, files: list[str], n: int) -> tuple[list[str], int]:
+    """(the first files, in path order, that hold the first ``n`` rows; rows of the last one
+    that belong to them). Files are counted in batches that double, so about twice as many are
+    read as are needed, and none behind; the driver gets one count a file, as it lists them."""
+    have = at = 0
+    while at < len(files):
+        batch = files[at : at + max(1, at)]
+        counted = read(spark, [unquote(f) for f in batch])[1].groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
+        counts = {r["_file"]: r["n"] for r in counted.collect()}
+        for k, f in enumerate(batch):
+            own = counts.get(_normal(f), 0)
+            if have + own >= n:
+                return files[: at + k + 1], n - have
+            have += own
+        at += len(batch)
+    return files, 1 << _ROW_BITS
+
+
+def with_positions(spark: SparkSession, read: PlacedScan, path: str | list[str], name: str, head: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``read`` with ``name``, the bare scan below them): ``name`` is the file's ordinal
+    and the row's number within the file. ``head`` keeps the first so many rows in that order.
+
+    Two scans: the first counts the rows of each split and writes a directory of the splits to
+    the shared folder (file, start, first number; a row a split). The second numbers its rows from
+    the directory, which goes to every task while its counted size allows: no line is shuffled.
+    Both scans are made in one pinned session, so they cut the files alike. Should a file be
+    changed between them, a row finds no count or a number outside its split's count, and the
+    job fails instead of losing or misnumbering rows.
     """
-    path = scratch_path(spark, "split-counts")
-    rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_mono0")).write.parquet(path)
+    files = sorted(read(spark, path)[0].inputFiles())
+    if not files:
+        scan, rows = read(spark, path)
+        return rows.drop("_file", "_block", "_mono").withColumn(name, F.lit(None).cast("bigint")), scan
+    last = None
+    if head is not None:
+        files, last = files_of_head(spark, read, files, max(head, 1))
+        path = [unquote(f) for f in files]
+    pinned = pinned_session(spark, [unquote(f) for f in files])
+    scan, rows = read(pinned, path)
+    folder = scratch_path(spark, "split-counts")
+    rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_mono0")).write.parquet(folder)
     in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = spark.read.parquet(path)
+    counts = pinned.read.parquet(folder)
     offsets = counts.select("_file", "_block", "_n", "_mono0", F.coalesce(F.sum("_n").over(in_file), F.lit(0)).alias("_first"))
-    offsets = offsets.join(_file_ordinals(spark, files), "_file")
+    offsets = offsets.join(_file_ordinals(pinned, files), "_file")
+    directory = _sized_broadcast(offsets, counts.agg(F.coalesce(F.sum(F.length("_file") + _ROW_BYTES), F.lit(0))).first()[0])
     inside = F.col("_mono") - F.col("_mono0")
     known = F.coalesce((inside >= 0) & (inside < F.col("_n")), F.lit(False))
     position = F.when(known, F.shiftleft(F.col("_ord"), _ROW_BITS) + F.col("_first") + inside).otherwise(
         F.raise_error(F.lit("the files were cut into other splits than when they were counted")).cast("bigint")
     )
     own = [c for c in rows.columns if c not in ("_file", "_block", "_mono")]
-    return rows.join(offsets, ["_file", "_block"], "left").select(*own, position.alias(name))
+    placed = rows.join(directory, ["_file", "_block"], "left").select(*own, position.alias(name))
+    if head is not None:
+        placed = placed.filter(F.col(name) < ((len(files) - 1) << _ROW_BITS) + last) if head > 0 else placed.filter(F.lit(False))
+    return placed, scan
 
 
 def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -170,7 +261,6 @@ def with_parquet_row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     One small table of (file path, ordinal) is joined on; it has one row per input file.
     """
-    # inputFiles() spells local files "file:///p" where the scan metadata says "file:/p".
     ordinals = _file_ordinals(spark, df.inputFiles())
     pos = df.select("*", _file_path().alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return (
@@ -199,23 +289,26 @@ ENTRY_FORMATS = {
 
 
 def read_entries(
-    spark: SparkSession, path: str | list[str], fmt: str = "json", multi_line: bool = False, spread_rows: bool = False
+    spark: SparkSession, path: str | list[str], fmt: str = "json", multi_line: bool = False, spread_rows: bool = False, head: int | None = None
 ) -> DataFrame:
     """Entries in one of: parquet, json, json-array, json-pos, json-array-pos; ``first:`` in
     front reads only the first split of a folder (``first_split``). ``spread_rows``
-    redistributes a coarse scan's rows over the task slots."""
+    redistributes a coarse scan's rows over the task slots. ``head`` keeps the first so many
+    entries of the formats with ``-pos`` and reads the files they are in."""
     if fmt.startswith("first:"):
         fmt = fmt.removeprefix("first:")
         files = (spark.read.parquet(path) if fmt == "parquet" else spark.read.text(path)).inputFiles()
         path = first_split(files, str(path))
         if not path:
             raise FileNotFoundError("no files")
+    if head is not None and not fmt.endswith("-pos"):
+        raise ValueError("a head of the files needs a format with positions")
     if fmt == "parquet":
         return read_entries_parquet(spark, path, spread_rows)
     if fmt in ENTRY_FORMATS:
         opts = dict(ENTRY_FORMATS[fmt])
         opts["multi_line"] = opts["multi_line"] or multi_line
-        return read_entries_json(spark, path, **opts, spread_rows=spread_rows)
+        return read_entries_json(spark, path, **opts, spread_rows=spread_rows, head=head)
     raise ValueError(f"unsupported entry format {fmt!r}")
 
 
@@ -259,16 +352,18 @@ def resolve_source(
     candidates: Iterable[tuple[str, str]],
     synthetic_fallback: int | None = None,
     spread_rows: bool = False,
+    head: int | None = None,
 ) -> Source:
     """First candidate ``(path, format)`` that exists and has files wins.
 
     Only a missing or empty location moves on to the next candidate; any other fault, such
     as a misspelt format or a wrong schema, fails. Synthetic entries stand in for a missing
-    source only when ``synthetic_fallback`` asks for them.
+    source only when ``synthetic_fallback`` asks for them. ``head`` spares formats with positions
+    the reading of what lies behind the first so many entries.
     """
     for path, fmt in candidates:
         try:
-            df = read_entries(spark, path, fmt, spread_rows=spread_rows)
+            df = read_entries(spark, path, fmt, spread_rows=spread_rows, head=head if fmt.endswith("-pos") else None)
             if df.inputFiles():
                 return Source(df, path, False)
         except FileNotFoundError:
@@ -309,21 +404,20 @@ def pair_lines_table(lines: DataFrame) -> DataFrame:
     return read.select(*keep, *keys, F.coalesce("_f", F.when(non_text, F.lit("non_text"))).alias("fault"))
 
 
-def read_pairs_jsonl(spark: SparkSession, path: str | list[str], on_fault: str = "raise", positions: bool = False) -> DataFrame:
+def read_pairs_jsonl(spark: SparkSession, path: str | list[str], on_fault: str = "raise", positions: bool = False, head: int | None = None) -> DataFrame:
     """Pair JSON lines as a table ``(prompt, chosen, rejected)``; blank lines are ignored by
     this reader, use ``read_lines`` for the audit.
 
     A line that is no pair of texts fails the read (``on_fault="raise"``), is left out
     (``"drop"``), or stays with its ``fault`` (``"keep"``). ``positions`` adds ``line_id``,
-    the place of the line in file order.
+    the place of the line in file order; ``head`` (with it) keeps the first so many lines and
+    reads the files they are in.
     """
     if on_fault not in ("raise", "drop", "keep"):
         raise ValueError("on_fault must be 'raise', 'drop' or 'keep'")
-    scan = spark.read.text(path)
-    lines = scan
-    if positions:
-        placed = scan.filter(F.length(py_strip(F.col("value"))) > 0).select("value", *_place())
-        lines = with_positions(spark, placed, scan.inputFiles(), "line_id")
+    if head is not None and not positions:
+        raise ValueError("a head of the files needs positions=True")
+    lines = with_positions(spark, _placed_lines, path, "line_id", head)[0] if positions else spark.read.text(path)
     pairs = pair_lines_table(lines)
     if on_fault == "keep":
         return pairs

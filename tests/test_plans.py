@@ -49,3 +49,19 @@ def test_unread_rejections_are_pruned(spark):
     pairs = generate_pairs(events_to_entries(ev))
     keys = pairs.select("entry_id", "strategy_ord")._jdf.queryExecution().optimizedPlan().toString()
     assert keys.count("md5(") == 0
+
+
+def test_positions_shuffle_no_line(spark, tmp_out):
+    """Between the text scan and the parsed entry there is no exchange: the directory of the
+    splits is broadcast."""
+    import os
+
+    from prefpairs.sources.readers import read_entries, read_pairs_jsonl
+
+    src = os.path.join(tmp_out, "lines")
+    spark.range(2000).selectExpr("concat('{\"prompt\": \"p', id, '\", \"chosen\": \"c\", \"rejected\": \"r\"}') AS value").repartition(3).write.text(src)
+    for df in (read_pairs_jsonl(spark, src, positions=True), read_pairs_jsonl(spark, src, positions=True, head=900), read_entries(spark, src, "json-pos")):
+        plan = _plan(df)
+        lines = plan[: plan.index("BroadcastExchange")]  # the scan's side comes first
+        assert "BroadcastHashJoin" in lines and "FileScan text" in lines and "SortMergeJoin" not in plan
+        assert "Exchange" not in lines.replace("BroadcastExchange", "")

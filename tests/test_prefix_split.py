@@ -165,3 +165,20 @@ def test_first_n_sends_only_counts_to_the_driver(spark, monkeypatch):
     assert len(rounds) >= 2 and all(len(r) <= 64 for r in rounds)
     assert sum(n for _, n in rounds[0]) == 5000
     assert df.filter(predicate).count() == 1234
+
+
+def test_duplicates_keep_their_first_row(spark):
+    """The same rows stay, and land on the same side, however the pairs are partitioned."""
+    p = _pairs(spark, 900).withColumn("prompt", F.concat(F.lit("p"), (F.col("entry_id") % 250).cast("string")))
+    order = ("entry_id", "strategy_ord")
+    seen = set()
+    for part in (p.coalesce(1), p.repartition(7), p.repartition(5, "strategy_ord")):
+        rows = sft_text(part, order, drop_duplicates=True, order=order)
+        out = split_exact(rows, 60, key="text", tiebreak=order).collect()
+        assert len(out) == rows.select("text").distinct().count() and sum(r.split == "eval" for r in out) == 60
+        seen.add(frozenset(tuple(r) for r in out))
+    assert len(seen) == 1
+    first = {}
+    for r in sft_text(p, order).collect():
+        first[r.text] = min(first.get(r.text, (10**9, 0)), (r.entry_id, r.strategy_ord))
+    assert {(r[2], (r[0], r[1])) for r in next(iter(seen))} == set(first.items())

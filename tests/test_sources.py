@@ -345,25 +345,102 @@ def test_null_ids_fail_in_every_source(spark, tmp_out):
         adapt(ent, lambda d: d).collect()
 
 
-def test_positions_fail_when_splits_change(spark, tmp_out):
-    """The counts were made with other splits than the rows are read with: an error, never
-    lost or misnumbered rows."""
-    path = os.path.join(tmp_out, "lines.json")
+def _question_lines(path, n, first=0):
     with open(path, "w") as f:
-        for i in range(3000):
+        for i in range(first, first + n):
             f.write(json.dumps({"conversations": [{"value": f"question {i}"}, {"value": "COMPLETE"}]}) + "\n")
+
+
+def test_positions_hold_when_settings_change(spark, tmp_out):
+    """The cut is pinned when the rows are counted: settings and cores that change before they
+    are read change no id."""
+    path = os.path.join(tmp_out, "lines.json")
+    _question_lines(path, 3000)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        for counted, read in (("16384", "65536"), ("65536", "16384"), ("16384", "1g")):
+        for counted, read in (("16384", "65536"), ("65536", "16384"), ("16kb", "1g")):
             spark.conf.set("spark.sql.files.maxPartitionBytes", counted)
             df = read_entries(spark, path, "json-pos")
             spark.conf.set("spark.sql.files.maxPartitionBytes", read)
-            with pytest.raises(Exception, match="other splits"):
-                df.select("entry_id").collect()
+            spark.conf.set("spark.sql.files.minPartitionNum", "64")
+            assert df.rdd.getNumPartitions() > 1
+            rows = df.select("entry_id", "conversations").collect()
+            assert sorted((r.entry_id, r.conversations[0].value) for r in rows) == [(i, f"question {i}") for i in range(3000)]
+            spark.conf.unset("spark.sql.files.minPartitionNum")
     finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_positions_fail_when_files_change(spark, tmp_out):
+    """A file that is written anew after its lines were counted: an error, never lost or
+    misnumbered rows."""
+    folder = os.path.join(tmp_out, "lines")
+    os.makedirs(folder)
+    for k in range(3):
+        _question_lines(os.path.join(folder, f"{k}.json"), 500, 500 * k)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        df = read_entries(spark, folder, "json-pos")
+        _question_lines(os.path.join(folder, "1.json"), 700)
+        with pytest.raises(Exception, match="other splits|FAILED_READ_FILE|been updated"):
+            df.select("entry_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_positions_keep_the_callers_settings(spark, tmp_out):
+    path = os.path.join(tmp_out, "lines.json")
+    _question_lines(path, 10)
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        df = read_entries(spark, path, "json-pos")
+        assert df.sparkSession.conf.get("spark.sql.shuffle.partitions") == "5"
+        joined = df.join(spark.range(4).withColumnRenamed("id", "entry_id"), "entry_id")  # of two sessions
+        assert joined.count() == 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_head_reads_the_first_files_only(spark, tmp_out):
+    """The first n lines in path order, from the files that hold them."""
+    from prefpairs.sources.readers import read_pairs_jsonl
+
+    folder = os.path.join(tmp_out, "a folder")
+    os.makedirs(folder)
+    for k in range(12):
+        with open(os.path.join(folder, f"part-{k:02d}.json"), "w") as f:
+            for i in range(k * 10, k * 10 + 10):
+                f.write(json.dumps({"prompt": f"p{i}", "chosen": "c", "rejected": "r"}) + "\n \n")
+    open(os.path.join(folder, "part-00.json"), "w").close()  # the first file is empty
+    for n, files in ((1, 2), (10, 2), (11, 3), (35, 5), (110, 12), (10**6, 12)):
+        df = read_pairs_jsonl(spark, folder, positions=True, head=n)
+        read = sorted(os.path.basename(f) for f in df.inputFiles() if "part-" in f and f.endswith(".json"))
+        assert read == [f"part-{k:02d}.json" for k in range(files)]
+        got = [r.prompt for r in df.orderBy("line_id").collect()]
+        assert got == [f"p{i}" for i in range(10, 120)][:n]
+    with pytest.raises(ValueError):
+        read_pairs_jsonl(spark, folder, head=3)
+    _question_lines(os.path.join(tmp_out, "e.json"), 50)
+    rows = read_entries(spark, os.path.join(tmp_out, "e.json"), "json-pos", head=7).collect()
+    assert sorted(r.entry_id for r in rows) == list(range(7))
+    with pytest.raises(ValueError):
+        read_entries(spark, folder, "json", head=3)
+
+
+def test_generate_samples_from_the_first_files(spark, tmp_out):
+    from prefpairs.plans.job import generate
+
+    folder = os.path.join(tmp_out, "in")
+    os.makedirs(folder)
+    for k in range(4):
+        _question_lines(os.path.join(folder, f"{k}.json"), 20, 20 * k)
+    report = generate(spark, [(folder, "json-pos")], os.path.join(tmp_out, "out"), sample_size=25)
+    assert report["valid_pairs"] == 50 and report["skipped_invalid"] == 0
+
+
+
 def test_only_missing_sources_move_on(spark, tmp_out):
     from prefpairs.sources.readers import first_split, resolve_source
 
