@@ -387,9 +387,9 @@ def build() -> dict[str, str]:
             CAST(0 AS BIGINT) AS action_type, count(*) AS action_long_press, CAST(0 AS BIGINT) AS action_scroll FROM events
         UNION ALL SELECT 'empty' AS input, {zero(AUDIT_COUNTERS)}"""
     # What each notation means follows from how it was built.
-    sql["actions_hard"] = """WITH t AS (SELECT conv_id * 1000 + turn AS entry_id, conv_id, turn, text, (conv_id + turn) % 7 AS k FROM conversations WHERE text IS NOT NULL)
+    sql["actions_hard"] = """WITH t AS (SELECT conv_id * 1000 + turn AS entry_id, conv_id, turn, text, (conv_id + turn) % 7 AS k FROM conversations)
         SELECT entry_id,
-               CASE k WHEN 0 THEN 'CLICK' WHEN 1 THEN 'TYPE' WHEN 2 THEN 'TYPE' WHEN 3 THEN 'SCROLL' WHEN 4 THEN 'LONG_PRESS' WHEN 5 THEN 'CLICK' ELSE 'INCOMPLETE' END AS action_type,
+               CASE WHEN k IN (1, 6) AND text IS NULL THEN NULL ELSE CASE k WHEN 0 THEN 'CLICK' WHEN 1 THEN 'TYPE' WHEN 2 THEN 'TYPE' WHEN 3 THEN 'SCROLL' WHEN 4 THEN 'LONG_PRESS' WHEN 5 THEN 'CLICK' ELSE 'INCOMPLETE' END END AS action_type,
                CASE k WHEN 0 THEN conv_id * 10 WHEN 3 THEN conv_id WHEN 4 THEN 1000 + turn WHEN 5 THEN 12 END AS x,
                CASE k WHEN 0 THEN 0 WHEN 3 THEN -turn WHEN 4 THEN conv_id WHEN 5 THEN 3 END AS y,
                CASE k WHEN 1 THEN trim(text, chr(34) || chr(39)) WHEN 2 THEN 'say "' || CAST(turn AS VARCHAR) || '" twice' END AS text

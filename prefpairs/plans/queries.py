@@ -388,7 +388,7 @@ def hard_actions(turns: DataFrame) -> DataFrame:
 
 
 def q_actions_hard(spark, sf_dir):
-    raw = hard_actions(table(spark, sf_dir, "conversations").filter(F.col("text").isNotNull()))
+    raw = hard_actions(table(spark, sf_dir, "conversations"))
     return parse_actions(raw, "raw").select("entry_id", "action_type", "x", "y", "text")
 
 
