@@ -18,6 +18,7 @@ from prefpairs.functions.text import py_strip
 from prefpairs.schema import PAIR
 from prefpairs.session import scratch_path
 from prefpairs.sources.adapters import conform
+from prefpairs.sources.array_ranges import COMPRESSED, array_records, can_open
 from prefpairs.sources.synthetic import synthetic_entries
 
 # Row ids derived from positions: file ordinal in the high bits, row index in the low 40
@@ -110,7 +111,8 @@ def read_entries_json(
     without one. ``ids="position"`` numbers the records by position instead: file ordinal in
     the high bits, record number within the file (0-based, blank lines skipped) in the low
     40 bits, so prefixes follow file order as a sequential reader would. Array files are
-    streamed record by record; an array that breaks off counts as one malformed record.
+    read in byte ranges by many tasks; an element that is no object, and what is left of an array
+    that breaks off, count as malformed records.
     ``head`` keeps the first so many records by position and reads the files they are in.
     """
     if ids not in ("column", "position"):
@@ -129,7 +131,8 @@ def read_entries_json(
     else:
         rows = rows.withColumn("entry_id", F.try_variant_get("entry_id", "$", "bigint"))
     entries = require_ids(_text_entries(rows))
-    return spread(entries, scan=scan) if spread_rows else entries
+    # Byte ranges of array files are dealt to the tasks already.
+    return spread(entries, scan=scan) if spread_rows and not multi_line else entries
 
 
 def _normal(path: str) -> str:
@@ -168,9 +171,16 @@ def _placed_lines(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame
 
 
 def _placed_records(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Records of JSON array files."""
-    scan = spark.read.schema(_JSON_ENTRY).options(multiLine=True, columnNameOfCorruptRecord=_CORRUPT).json(path)
-    return scan, scan.select("*", *_place())
+    """Records of JSON array files, read in byte ranges as long as the splits of a scan. Files
+    that tasks cannot read so are streamed, a task a file."""
+    scan = spark.read.format("binaryFile").load(path)
+    if not all(can_open(unquote(f)) for f in scan.inputFiles()[:1]) or any(f.endswith(COMPRESSED) for f in scan.inputFiles()):
+        scan = spark.read.schema(_JSON_ENTRY).options(multiLine=True, columnNameOfCorruptRecord=_CORRUPT).json(path)
+        return scan, scan.select("*", *_place())
+    split, tasks = _split_bytes(spark, scan)
+    rows = array_records(spark, scan.select("path", _file_path().alias("_file"), "length"), split, tasks)
+    parsed = _parsed_lines(rows).withColumn(_CORRUPT, F.coalesce(_CORRUPT, F.when(F.col("broken"), F.col("value"))))
+    return scan, parsed.drop("_e", "value", "broken")
 
 
 def _size(setting: str) -> int:
@@ -178,6 +188,17 @@ def _size(setting: str) -> int:
     return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
+def _split_bytes(spark: SparkSession, listed: DataFrame) -> tuple[int, int]:
+    """(bytes of a split, number of splits) of the files ``listed`` as binary ones, as a scan of
+    them would be cut in ``spark``."""
+    sizes = listed.agg(F.sum("length"), F.count(F.lit(1))).first()
+    cost = _size(spark.conf.get("spark.sql.files.openCostInBytes"))
+    slots = int(spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism)
+    total = (sizes[0] or 0) + sizes[1] * cost
+    split = min(_size(spark.conf.get("spark.sql.files.maxPartitionBytes")), max(cost, total // max(slots, 1)))
+    return split, max(1, -(-total // split))
+
+
 def pinned_session(spark: SparkSession, files: list[str]) -> SparkSession:
     """A session with the settings of ``spark`` in which ``files`` are always cut alike.
 
@@ -185,10 +206,7 @@ def pinned_session(spark: SparkSession, files: list[str]) -> SparkSession:
     at hand when a scan starts. Here the length that holds now is written into the session, so
     that scans made in it agree, however many executors come or go between them.
     """
-    sizes = spark.read.format("binaryFile").load(files).agg(F.sum("length"), F.count(F.lit(1))).first()
-    cost = _size(spark.conf.get("spark.sql.files.openCostInBytes"))
-    slots = int(spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism)
-    split = min(_size(spark.conf.get("spark.sql.files.maxPartitionBytes")), max(cost, ((sizes[0] or 0) + sizes[1] * cost) // max(slots, 1)))
+    split, _ = _split_bytes(spark, spark.read.format("binaryFile").load(files))
     pinned = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):
