@@ -5,9 +5,10 @@ twice closes that gap: ``[line]`` is valid only for a comma list of values and
 ``{"v": line}`` only for one value followed by optional members, so both together hold
 exactly for a single JSON value. Blank lines fail both, as ``json.loads`` fails them.
 
-Known differences from Python: ``NaN``/``Infinity`` literals are accepted by Python and
-counted as JSON errors here (the audit's opt-in ``python_lane`` re-checks such lines). Duplicate object keys keep the last value, as in Python,
-when ``spark.sql.variant.allowDuplicateKeys`` is on (``build_session`` sets it);
+``json.loads`` also takes ``NaN``, ``Infinity`` and ``-Infinity`` for numbers. ``plain_numbers``
+writes a number in their place, outside strings only, before the line is parsed.
+
+Known difference from Python: duplicate object keys keep the last value, as in Python, when ``spark.sql.variant.allowDuplicateKeys`` is on (``build_session`` sets it);
 otherwise they are JSON errors too.
 """
 
@@ -20,6 +21,27 @@ from prefpairs.constants import CLICK, LONG_PRESS
 from prefpairs.functions.text import INT_LITERAL, ascii_digits, py_strip
 
 
+# A bare literal stands where a number could: nothing that would make it part of one is beside it.
+_BARE = r"(?<![0-9A-Za-z_.+\-])(?:NaN|-?Infinity)(?![0-9A-Za-z_.+\-])"
+# Stand-ins for an escaped backslash and an escaped quote. As bare characters both make a line
+# invalid JSON, so a line that holds one is left as it is.
+_SLASH, _QUOTE = "\x01", "\x02"
+
+
+def plain_numbers(line: Column) -> Column:
+    """``line`` with ``0`` for each bare NaN, Infinity and -Infinity outside strings.
+
+    Escapes are set aside, so that every quote left opens or closes a string; of the parts
+    between quotes, the first, third and so on are outside. Lines without such a word are
+    passed on untouched.
+    """
+    hidden = F.replace(F.replace(line, F.lit("\\\\"), F.lit(_SLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    parts = F.transform(F.split(hidden, '"'), lambda p, i: F.when(i % 2 == 0, F.regexp_replace(p, _BARE, "0")).otherwise(p))
+    shown = F.replace(F.replace(F.array_join(parts, '"'), F.lit(_QUOTE), F.lit('\\"')), F.lit(_SLASH), F.lit("\\\\"))
+    named = line.contains("NaN") | line.contains("Infinity")
+    return F.when(named & ~line.contains(_SLASH) & ~line.contains(_QUOTE), shown).otherwise(line)
+
+
 def wrapped_variant(line: Column) -> Column:
     """``{"v": <line>}`` parsed as VARIANT, NULL when not valid JSON."""
     return F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))

@@ -27,6 +27,7 @@ from prefpairs.functions.jsonline import (
     has_key,
     is_object,
     is_strict_json,
+    plain_numbers,
     string_field,
     with_coord_check,
     wrapped_variant,
@@ -68,24 +69,25 @@ def classify_lines(
     line_col: str = "value",
     canvas: tuple[int, int] = K.DEFAULT_CANVAS,
     python_lane: bool = False,
+    bare_numbers: bool = False,
 ) -> DataFrame:
     """Per line: kind in {valid, invalid, json_error}, and for valid pairs the coordinate
     verdict and family of chosen and rejected. Each stage is its own projection so the
     JSON is parsed once per line.
 
-    ``python_lane`` re-checks the lines the JVM rejects with ``json.loads`` (NaN and
-    Infinity literals, duplicate keys in any session). Accepted lines reach it as NULL,
+    ``bare_numbers`` takes NaN, Infinity and -Infinity for numbers, as ``json.loads`` does.
+    ``python_lane`` re-checks the lines the JVM rejects with ``json.loads`` (such literals,
+    duplicate keys in any session). Accepted lines reach it as NULL,
     so on well-formed data almost nothing crosses to Python.
     """
     w_, h_ = canvas
-    parsed = lines.select(
-        F.col(line_col).alias("line"),
-        wrapped_variant(F.col(line_col)).alias("w"),
-    )
+    line = F.col(line_col)
+    plain = lines.select(line.alias("line"), (plain_numbers(line) if bare_numbers else line).alias("plain"))
+    parsed = plain.select("line", "plain", wrapped_variant(F.col("plain")).alias("w"))
     checked = parsed.select(
         "line",
         "w",
-        is_strict_json(F.col("line"), F.col("w")).alias("ok"),
+        is_strict_json(F.col("plain"), F.col("w")).alias("ok"),
     )
     fast_kind = (
         F.when(~F.col("ok"), F.lit("json_error"))
@@ -132,11 +134,13 @@ def audit_lines(
     line_col: str = "value",
     canvas: tuple[int, int] = K.DEFAULT_CANVAS,
     python_lane: bool = False,
+    bare_numbers: bool = False,
 ) -> DataFrame:
     """One row with valid_pairs, invalid_pairs, json_errors, valid_coords,
     invalid_coords, action_click, action_type, action_long_press, action_scroll
-    (all BIGINT, 0 on empty input). See ``classify_lines`` for ``python_lane``."""
-    c = classify_lines(lines, line_col, canvas, python_lane)
+    (all BIGINT, 0 on empty input). See ``classify_lines`` for ``python_lane``
+    and ``bare_numbers``."""
+    c = classify_lines(lines, line_col, canvas, python_lane, bare_numbers)
     kind = F.col("kind")
     cc, rc = F.col("chosen_coords_ok"), F.col("rejected_coords_ok")
     cf, rf = F.col("chosen_family"), F.col("rejected_family")
@@ -151,8 +155,9 @@ def audit_lines(
 
 
 def audit_file(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS, python_lane: bool = False) -> DataFrame:
-    """Audit a written JSONL file or folder (read back as raw lines)."""
-    return audit_lines(spark.read.text(path), "value", canvas, python_lane)
+    """Audit a written JSONL file or folder (read back as raw lines). NaN and Infinity are
+    numbers, as they are for the original's reader."""
+    return audit_lines(spark.read.text(path), "value", canvas, python_lane, bare_numbers=True)
 
 
 def summary(spark, path: str, canvas: tuple[int, int] = K.DEFAULT_CANVAS, python_lane: bool = False) -> DataFrame:

@@ -386,6 +386,11 @@ def build() -> dict[str, str]:
     sql["audit_uncounted"] = f"""SELECT 'unreadable' AS input, count(*) AS valid_pairs, {zero(AUDIT_COUNTERS[1:5])}, count(*) AS action_click,
             CAST(0 AS BIGINT) AS action_type, count(*) AS action_long_press, CAST(0 AS BIGINT) AS action_scroll FROM events
         UNION ALL SELECT 'empty' AS input, {zero(AUDIT_COUNTERS)}"""
+    # What each line means follows from how it was built.
+    kind = lambda *k: f"count(*) FILTER (event_id % 6 IN ({', '.join(map(str, k))}))"
+    sql["audit_bare_numbers"] = f"""SELECT {kind(0, 1)} AS valid_pairs, {kind(2)} AS invalid_pairs, {kind(3, 4, 5)} AS json_errors,
+            {kind(0)} AS valid_coords, CAST(0 AS BIGINT) AS invalid_coords, {kind(0)} AS action_click, {kind(0)} AS action_type,
+            CAST(0 AS BIGINT) AS action_long_press, {kind(1)} AS action_scroll FROM events"""
     # What each notation means follows from how it was built.
     sql["actions_hard"] = """WITH t AS (SELECT conv_id * 1000 + turn AS entry_id, conv_id, turn, text, (conv_id + turn) % 7 AS k FROM conversations)
         SELECT entry_id,

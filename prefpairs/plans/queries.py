@@ -370,6 +370,21 @@ def q_audit_uncounted(spark, sf_dir):
     return odd.select(F.lit("unreadable").alias("input"), "*").unionByName(none.select(F.lit("empty").alias("input"), "*"))
 
 
+def q_audit_bare_numbers(spark, sf_dir):
+    """Lines with NaN and Infinity: as numbers, within strings, and where they are faults."""
+    sid = F.col("event_id").cast("string")
+    kinds = [
+        ('{"prompt": NaN, "chosen": "CLICK: (1, 2)", "rejected": "TYPE: ', '", "x": [-Infinity, NaN]}'),   # a valid pair
+        ('{"prompt": "a \\" NaN, ', ' \\\\", "chosen": "SCROLL: (NaN, Infinity)", "rejected": Infinity}'),   # valid: in strings
+        ('{"prompt": Infinity, "x": ', "}"),                                                                 # keys are missing
+        ('{"prompt": -NaN, "chosen": "CLICK: (1, 2)", "rejected": "', '"}'),                                 # a fault
+        ('{"prompt": "p", "chosen": "CLICK: (1, 2)", "rejected": 1NaN, "x": ', "}"),                         # a fault
+        ('{"prompt": "p", NaN: "CLICK: (1, 2)", "x": ', "}"),                                                # a fault
+    ]
+    line = F.element_at(F.array(*[F.concat(F.lit(a), sid, F.lit(b)) for a, b in kinds]), (F.col("event_id") % len(kinds) + 1).cast("int"))
+    return audit.audit_lines(events(spark, sf_dir).select(line.alias("value")), bare_numbers=True)
+
+
 def hard_actions(turns: DataFrame) -> DataFrame:
     """Conversation turns -> actions in unusual notations around their numbers and text."""
     c, t = F.col("conv_id").cast("string"), F.col("turn").cast("string")
@@ -501,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "rejections_no_noise": q_rejections_no_noise,
     "rejections_custom": q_rejections_custom,
     "audit_uncounted": q_audit_uncounted,
+    "audit_bare_numbers": q_audit_bare_numbers,
     "actions_hard": q_actions_hard,
     "sft_deduplicated": q_sft_deduplicated,
     "rejections_disc": q_rejections_disc,

@@ -29,7 +29,7 @@ def run_audit_stream(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    counters = audit_lines(reader.load(folder), "value", canvas)
+    counters = audit_lines(reader.load(folder), "value", canvas, bare_numbers=True)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
