@@ -33,10 +33,11 @@ from prefpairs.operators.training import (
     split_exact,
     train_eval_split,
 )
+from prefpairs.plans.batches import generate_in_batches
 from prefpairs.schema import PairConfig
 from prefpairs.session import scratch_path
 from prefpairs.sources.readers import dataset_candidates, read_pairs_jsonl, resolve_source
-from prefpairs.sources.sinks import write_jsonl, write_pairs_table
+from prefpairs.sources.sinks import write_jsonl, write_jsonl_ordered, write_pairs_table
 
 
 def generate(
@@ -49,10 +50,12 @@ def generate(
     python_bytes: bool = False,
     python_lane: bool = False,
     synthetic_fallback: int | None = None,
+    rows_per_part: int | None = None,
 ) -> dict:
     """Resolve the first source that exists (or, if asked for, synthetic entries), optionally keep the first
     ``sample_size`` raw entries and at most ``sample_size`` valid ones, write the pair
-    table and the JSON lines, and return the audit summary plus generation counters."""
+    table and the JSON lines (with ``rows_per_part`` in generation order, in parts with a
+    manifest that many tasks write), and return the audit summary plus generation counters."""
     source = resolve_source(spark, sources, synthetic_fallback, spread_rows=True, head=sample_size or None)
     entries, used = source.entries, source.label
     # A raw prefix of N entries never has more than N valid ones, so the cap on valid
@@ -74,8 +77,11 @@ def generate(
     ok = cap_valid(parsed.filter(F.col("skip_reason").isNull()).drop("skip_reason"), capped)
     table_path = write_pairs_table(pairs_from_parsed(ok, cfg), os.path.join(out_dir, "pairs"))
     pairs = spark.read.parquet(table_path)
-    jsonl_path = write_jsonl(pairs.orderBy("entry_id", "strategy_ord") if single_file else pairs,
-                             os.path.join(out_dir, "pairs.jsonl"), single_file=single_file, python_bytes=python_bytes)
+    jsonl_path = os.path.join(out_dir, "pairs.jsonl")
+    if rows_per_part:
+        write_jsonl_ordered(pairs, jsonl_path, rows_per_part=rows_per_part, python_bytes=python_bytes)
+    else:
+        write_jsonl(pairs.orderBy("entry_id", "strategy_ord") if single_file else pairs, jsonl_path, single_file=single_file, python_bytes=python_bytes)
     report = summary(spark, jsonl_path, cfg.canvas, python_lane).first().asDict()
     if observed is not None:
         got = observed.get
@@ -181,6 +187,8 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--dataset-root", help="folder tried as data.json, train/, validation/, test/, then whole")
     g.add_argument("--dataset-format", default="parquet", help="format of the split folders")
     g.add_argument("--single-file", action="store_true", help="one JSONL file (small outputs only)")
+    g.add_argument("--rows-per-part", type=int, help="JSONL in generation order, in parts of so many lines with a manifest")
+    g.add_argument("--batch-size", type=int, help="only write the pair table, in batches of so many entries that a rerun takes up")
     g.add_argument("--python-bytes", action="store_true", help="write lines exactly as json.dumps does")
     g.add_argument("--python-lane", action="store_true", help="audit rejected lines with json.loads")
     g.add_argument("--synthetic", type=int, help="so many synthetic entries if no source exists")
@@ -207,17 +215,13 @@ def main(argv: list[str] | None = None) -> None:
         srcs = [tuple(s.rsplit(":", 1)) if ":" in s else (s, "json") for s in a.source]
         if a.dataset_root:
             srcs += dataset_candidates(a.dataset_root, a.dataset_format)
-        res = generate(
-            spark,
-            srcs,
-            a.out,
-            PairConfig(seed=a.seed, noise_std=a.noise_std, noise_shape=a.noise_shape),
-            a.sample,
-            a.single_file,
-            a.python_bytes,
-            a.python_lane,
-            a.synthetic,
-        )
+        cfg = PairConfig(seed=a.seed, noise_std=a.noise_std, noise_shape=a.noise_shape)
+        if a.batch_size:
+            source = resolve_source(spark, srcs, a.synthetic, spread_rows=True, head=a.sample)
+            entries = raw_prefix(source.entries, a.sample) if a.sample else source.entries
+            res = generate_in_batches(spark, entries, a.out, cfg, a.batch_size)
+        else:
+            res = generate(spark, srcs, a.out, cfg, a.sample, a.single_file, a.python_bytes, a.python_lane, a.synthetic, a.rows_per_part)
     else:
         res = prepare(
             spark, a.pairs, a.out, a.kind, a.split_ratio, a.n_eval, a.max_samples, a.seed, a.exact, a.format, a.split_by, a.drop_duplicates

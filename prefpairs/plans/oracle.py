@@ -319,7 +319,8 @@ def build() -> dict[str, str]:
     sql["synthetic_pairs"] = with_(chain(synthetic_src()), f"SELECT {_pairs_cols()} FROM pairs")
     sql["jsonl_roundtrip"] = sql["dpo_projection"]
     sql["jsonl_audit"] = audit_sql("lines AS (" + with_(ev, f"SELECT {PAIR_LINE} AS line FROM pairs") + ")")
-    sql["pairs_streamed"] = sql["pairs_all"]
+    sql["pairs_streamed"] = sql["pairs_in_batches"] = sql["pairs_all"]
+    sql["jsonl_ordered"] = with_(ev, "SELECT row_number() OVER (ORDER BY entry_id, strategy_ord) - 1 AS line, prompt, chosen, rejected FROM pairs")
     pretty = (
         f"'{{' || {NL} || '  \"prompt\" : ' || to_json(prompt) || ',' || {NL} || '  \"chosen\" : ' || to_json(chosen) "
         f"|| ',' || {NL} || '  \"rejected\" : ' || to_json(rejected) || {NL} || '}}'"

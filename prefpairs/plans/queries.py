@@ -20,6 +20,7 @@ from prefpairs.operators import audit, pairs, training
 from prefpairs.operators.entries import extract_entries, parse_entries, valid_entries
 from prefpairs.operators.pixels import with_pixels
 from prefpairs.operators.rejections import chosen_action, register_strategy
+from prefpairs.plans.batches import generate_in_batches, read_batches
 from prefpairs.schema import PairConfig
 from prefpairs.session import scratch_path
 from prefpairs.sources import sinks
@@ -38,6 +39,8 @@ SPLIT_N_EVAL = 1000
 DEVICE_SIZE = (1080, 2400)
 PEEK_N = 3
 SLICE = (100, 5_000_000)
+ORDERED_PART = 3_000
+BATCH_SIZE = 5_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,6 +205,26 @@ def q_jsonl_roundtrip(spark, sf_dir):
     return read_pairs_jsonl(spark, path)
 
 
+def q_jsonl_ordered(spark, sf_dir):
+    """JSON lines written in generation order by many tasks, read back by their place."""
+    path = scratch_path(spark, "pairs-ordered")
+    manifest = sinks.write_jsonl_ordered(event_pairs(spark, sf_dir), path, rows_per_part=ORDERED_PART)
+    read = read_pairs_jsonl(spark, path, positions=True)
+    # Parts are never empty, so the n-th file is the n-th part.
+    parts = manifest.select(F.col("part").cast("long").alias("_part"), "before")
+    numbered = parts.withColumn("_ord", F.row_number().over(Window.orderBy("_part")) - 1)
+    placed = read.withColumn("_ord", F.shiftright("line_id", 40)).join(numbered.drop("_part"), "_ord")
+    return placed.select((F.col("before") + F.col("line_id") % (1 << 40)).alias("line"), "prompt", "chosen", "rejected")
+
+
+def q_pairs_in_batches(spark, sf_dir):
+    """Pairs written batch by batch: a run that stops after one batch, and one that goes on."""
+    path, entries = scratch_path(spark, "pairs-batches"), event_entries(spark, sf_dir)
+    generate_in_batches(spark, entries, path, batch_size=BATCH_SIZE, max_batches=1)
+    generate_in_batches(spark, entries, path, batch_size=BATCH_SIZE)
+    return pairs.flatten_pairs(read_batches(spark, path))
+
+
 def q_jsonl_audit(spark, sf_dir):
     path = sinks.write_jsonl(event_pairs(spark, sf_dir), scratch_path(spark, "pairs-audit"))
     return audit.audit_lines(read_lines(spark, path))
@@ -517,6 +540,8 @@ QUERIES: dict[str, Query] = {
     "rejections_custom": q_rejections_custom,
     "audit_uncounted": q_audit_uncounted,
     "audit_bare_numbers": q_audit_bare_numbers,
+    "jsonl_ordered": q_jsonl_ordered,
+    "pairs_in_batches": q_pairs_in_batches,
     "actions_hard": q_actions_hard,
     "sft_deduplicated": q_sft_deduplicated,
     "rejections_disc": q_rejections_disc,

@@ -6,8 +6,11 @@ import functools
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from prefpairs.session import scratch_path
 
 
 def jsonl_view(pairs: DataFrame) -> DataFrame:
@@ -65,6 +68,55 @@ def write_jsonl(
     return path
 
 
+#: More bytes than any file has: a scan with splits that long gives every file to one task.
+_WHOLE_FILES = str(1 << 50)
+
+
+def write_jsonl_ordered(
+    pairs: DataFrame, path: str, order: tuple[str, ...] = ("entry_id", "strategy_ord"), rows_per_part: int = 1_000_000, python_bytes: bool = False
+) -> DataFrame:
+    """Write pairs as JSON lines in generation order, in parts of about ``rows_per_part`` lines
+    that many tasks write, and return the manifest: (part, rows, before, and the first key of each part).
+
+    Part follows part: the files in path order, which is the order of the manifest, are the lines
+    of one ordered file. Rows are ranged by ``order``, equal keys by their content, into a written
+    table first, so that a lost executor cannot range them otherwise; the lines are written from
+    it file by file without another shuffle. The manifest stands beside the parts in
+    ``_manifest``, which readers of the lines pass over.
+    """
+    spark = pairs.sparkSession
+    keys = [*order, "_tie"]
+    keyed = pairs.withColumn("_tie", F.xxhash64("prompt", "chosen", "rejected"))
+    n = max(1, -(-pairs.count() // rows_per_part))
+    ranged = keyed.repartitionByRange(n, *keys).withColumn("part", F.lpad(F.spark_partition_id().cast("string"), 7, "0"))
+    staged = scratch_path(spark, "ordered-pairs")
+    ranged.select("part", *keys, "prompt", "chosen", "rejected").write.partitionBy("part").parquet(staged)
+    whole = spark.newSession()
+    for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        whole.conf.set(setting, _WHOLE_FILES)
+    whole.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    # A folder without a row has no part, and then no schema to infer.
+    schema = ranged.select(*keys, "prompt", "chosen", "rejected", "part").schema
+    lines = whole.read.schema(schema).parquet(staged).sortWithinPartitions("part", *keys)
+    if python_bytes:
+        value = _dumps_udf()(F.col("prompt"), F.col("chosen"), F.col("rejected")).alias("value")
+        lines.select("part", value).write.mode("overwrite").partitionBy("part").text(path)
+    else:
+        lines.select("part", "prompt", "chosen", "rejected").write.mode("overwrite").partitionBy("part").option("ignoreNullFields", "false").json(path)
+    parts = whole.read.schema(schema).parquet(staged).groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct(*order)).alias("_first"))
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")
+    # One row a part, so a window over all of them is small.
+    manifest = parts.select("part", "rows", before, "_first.*")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
+    return read_manifest(spark, path, manifest.schema)
+
+
+def read_manifest(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The manifest of ordered parts, in order."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.json(f"{path}/_manifest").orderBy("part")
+
+
 def write_pairs_table(pairs: DataFrame, path: str, max_records_per_file: int | None = None) -> str:
     """Pairs with metadata as Parquet, partitioned by a top-level copy of the strategy so
     a one-strategy read prunes partitions."""
