@@ -4,14 +4,15 @@ A text is lower-cased, every byte that is no letter becomes a space, and its sub
 runs of 3 and 4, word ends included) are hashed to ``BUCKETS`` rows of an embedding table.
 The mean of a text's rows goes through a linear softmax. Embeddings and weights are
 trained together by stochastic gradient descent in numpy on a bounded sample: about
-``SAMPLE`` texts, as many of each of the ``MAX_LANGUAGES`` most frequent languages, chosen by
-a hash of the id. A part of the sample is set aside to calibrate: a temperature is fitted to it,
+``SAMPLE`` texts, as many of each language, at least ``FEWEST`` and at most ``MOST``, the first
+different ones by a hash of id and text. Every language is learned, so the sample and
+the model grow with their number, but not with the documents. A part of the sample is set aside to calibrate: a temperature is fitted to it,
 and the rejection threshold is the lowest confidence above which at least
 ``PRECISION`` of it is right.
 
-As mean and softmax input are linear, a trained model is one score per bucket and language
-(``BUCKETS`` x languages), which is all that tasks receive; whole texts are scored, in
-blocks, in a map without a shuffle.
+As mean and softmax input are linear, tasks receive one score per bucket and language or, of
+more than ``DIM`` languages, the embeddings and the softmax weights, whichever is less; whole
+texts are scored, in blocks, in a map without a shuffle.
 
 Defined results: ``und``, score 0 and not accepted for a null text, a text without a
 letter, or when nothing could be learned; a null id is held out; repeated rows get the same
@@ -28,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prefpairs.llm.common import materialize
+
 BUCKETS = 1 << 14
 DIM = 16
 GRAMS = (3, 4)
 SAMPLE = 2_400
-MAX_LANGUAGES = 120
+#: Texts of a language in the sample.
+FEWEST, MOST = 20, 1_000
 EPOCHS = 12
 RATE = 2.0
 PRECISION = 0.99
@@ -81,12 +85,14 @@ def counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    scores: np.ndarray  # BUCKETS x languages, divided by the temperature
+    vectors: np.ndarray  # BUCKETS x languages, or BUCKETS x DIM
+    weights: np.ndarray | None  # DIM x languages, or None where the vectors are scores
     bias: np.ndarray
     threshold: float
 
     def probabilities(self, sums: np.ndarray, n: np.ndarray) -> np.ndarray:
-        z = sums / np.maximum(n, 1)[:, None] + self.bias
+        mean = sums / np.maximum(n, 1)[:, None]
+        z = (mean if self.weights is None else mean @ self.weights) + self.bias
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
@@ -137,7 +143,10 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model | None:
         down = np.argsort(-best, kind="stable")
         precise = np.flatnonzero(np.cumsum(right[down]) >= PRECISION * np.arange(1, len(down) + 1))
         threshold = float(best[down][precise[-1]]) if len(precise) else 1.0
-    return Model(languages, (table @ out / temperature).astype(np.float32), (bias / temperature).astype(np.float32), threshold)
+    out, bias = (out / temperature).astype(np.float32), (bias / temperature).astype(np.float32)
+    if len(languages) > DIM:
+        return Model(languages, table, out, bias, threshold)
+    return Model(languages, table @ out, None, bias, threshold)
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,18 +160,20 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """Train on the rows of ``docs`` where ``usable``: a hash sample of each language."""
     rows = docs.filter(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"), F.xxhash64(F.lit(SEED), id_col).alias("order")
+        F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"), F.xxhash64(F.lit(SEED), id_col, F.xxhash64(text)).alias("order")
     )
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
-    # At most MAX_LANGUAGES rows, each with the number of texts to take of its language.
-    share = F.floor(F.lit(SAMPLE) / F.count(F.lit(1)).over(Window.partitionBy()))
-    chosen = rows.join(F.broadcast(sizes.withColumn("take", share)), "lang").filter(F.pmod("order", F.col("size")) < F.col("take")).select("lang", "order", "text")
+    sizes = materialize(rows.groupBy("lang").agg(F.approx_count_distinct("order").alias("size")), "language-sizes")
+    take = min(MOST, max(FEWEST, SAMPLE // max(1, sizes.count())))
+    # The hash leaves about twice as many different rows of a language as are taken.
+    near = rows.join(sizes, "lang").filter(F.pmod("order", F.col("size")) < 2 * take).dropDuplicates(["lang", "order"])
+    first = Window.partitionBy("lang").orderBy("order")
+    chosen = near.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= take).select("lang", "order", "text")
     featured = chosen.mapInArrow(_featurise, "lang string, order long, buckets array<int>, n array<int>")
-    # A row is at most BUCKETS pairs of numbers, so the driver gets a bounded table.
-    got = featured.limit(2 * SAMPLE).toArrow()
+    # At most ``take`` rows a language, each of at most BUCKETS pairs of numbers.
+    got = featured.toArrow()
     listed = lambda name: [x.values.to_numpy() for x in got.column(name)]
     rows = list(zip(got.column("lang").to_pylist(), got.column("order").to_pylist(), listed("buckets"), listed("n"), strict=True))
-    rows.sort(key=lambda r: (r[0], r[1], len(r[2]), r[2][:1].tolist()))
+    rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes()))
     return train([(lang, buckets, n) for lang, _, buckets, n in rows])
 
 
@@ -174,7 +185,7 @@ def _predict(model: Model):
         data = [b" " + _letters(t) + b" " for t in texts]
         ends = np.cumsum([len(d) for d in data])
         joined = np.frombuffer(b"".join(data), np.uint8)
-        sums, n = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts))
+        sums, n = np.zeros((len(texts), model.vectors.shape[1])), np.zeros(len(texts))
         for lo in range(0, len(joined), BLOCK):
             for _, bucket, counted in _grams(joined[lo : lo + BLOCK + max(GRAMS) - 1]):
                 at = np.flatnonzero(counted[:BLOCK])
@@ -182,8 +193,8 @@ def _predict(model: Model):
                 # texts' ends is a pair of blanks next to each other.
                 doc = np.searchsorted(ends, at + lo, side="right")
                 n += np.bincount(doc, minlength=len(texts))
-                for c in range(len(model.languages)):
-                    sums[:, c] += np.bincount(doc, weights=model.scores[bucket[at], c], minlength=len(texts))
+                for c in range(sums.shape[1]):
+                    sums[:, c] += np.bincount(doc, weights=model.vectors[bucket[at], c], minlength=len(texts))
         return model.probabilities(sums, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

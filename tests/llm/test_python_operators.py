@@ -500,6 +500,34 @@ def test_language_of_texts_without_letters(spark, awkward):
     assert all(r.score == 0 and not r.accepted for r in out if r.lang_pred == "und")
 
 
+def test_every_language_is_learned_alike_under_any_partitioning(spark):
+    """150 languages of few texts each, one with a third of the rows, of which many share an id."""
+    rng = random.Random(8)
+    name = lambda k: f"l{k:03d}"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = {name(k): ["".join(rng.choices(letters, k=6)) for _ in range(12)] for k in range(150)}
+    rows = [(1000 * k + i, name(k), " ".join(rng.choices(vocabulary[name(k)], k=20))) for k in range(150) for i in range(14)]
+    rows += [(7, name(0), " ".join(rng.choices(vocabulary[name(0)], k=20))) for _ in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    models = [langid.fit(docs.repartition(n), F.lit(True)) for n in (1, 5)]
+    assert models[0].languages == sorted(vocabulary) and models[0].weights.shape == (langid.DIM, 150)
+    assert np.array_equal(models[0].vectors, models[1].vectors) and np.array_equal(models[0].weights, models[1].weights)
+    sizes = langid.SAMPLE // 150, langid.FEWEST
+    assert max(sizes) == langid.FEWEST
+    fresh = [(k, None, " ".join(rng.choices(vocabulary[name(k)], k=20))) for k in range(150)]
+    out = langid.identify(spark.createDataFrame(fresh, "doc_id long, lang string, text string"), models[0]).collect()
+    assert len(out) == 150 and all(0 <= r.score <= 1 for r in out)
+
+
+def test_wide_and_narrow_models_agree():
+    """Scores of buckets and embeddings with weights give the same probabilities."""
+    rows = [("a", *langid.counts(b"le chat est la " * 30)), ("b", *langid.counts(b"the cat is here " * 30))] * 10
+    model = langid.train(rows)
+    wide = langid.Model(model.languages, model.vectors, np.eye(2, dtype=np.float32), model.bias, model.threshold)
+    sums, n = np.array([[3.0, 1.0], [0.5, 2.0]]), np.array([2.0, 1.0])
+    assert np.allclose(model.probabilities(sums, n), wide.probabilities(sums, n))
+
+
 def test_language_scores_do_not_depend_on_blocks(monkeypatch):
     rows = [("a", *langid.counts(b"le chat est la " * 30)), ("b", *langid.counts(b"the cat is here " * 30))] * 10
     model = langid.train(rows)
