@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 # Lines: a blank line belongs to the line before it. A pair of lines goes when the same
-# pair occurs earlier; all lines it covers go.
+# pair occurs earlier; all lines it covers go. A line of 50 words or more goes when the same
+# line occurs earlier, whatever stands beside it.
 OP2 = r"""
 WITH raw AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
@@ -17,11 +18,13 @@ WITH raw AS (
 ), trimmed AS (
   SELECT doc_id, unit, body, regexp_replace(body, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM units
 ), pairs AS (
-  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY unit) AS nxt FROM trimmed
+  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY unit) AS nxt,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, unit) > 1 AS lone
+  FROM trimmed
 ), ranked AS (
   SELECT *, CASE WHEN nxt IS NULL THEN 0 WHEN row_number() OVER (PARTITION BY line, nxt ORDER BY doc_id, unit) > 1 THEN 1 ELSE 0 END AS rep FROM pairs
 ), covered AS (
-  SELECT *, greatest(rep, coalesce(lag(rep) OVER (PARTITION BY doc_id ORDER BY unit), 0)) AS gone FROM ranked
+  SELECT *, greatest(rep, coalesce(lag(rep) OVER (PARTITION BY doc_id ORDER BY unit), 0), CASE WHEN lone THEN 1 ELSE 0 END) AS gone FROM ranked
 ), result AS (
   SELECT doc_id, count(*) AS n_lines, sum(gone) AS n_removed, string_agg(body, chr(10) ORDER BY unit) FILTER (WHERE gone = 0) AS kept
   FROM covered GROUP BY doc_id

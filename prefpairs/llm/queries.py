@@ -21,6 +21,8 @@ from prefpairs.session import scratch_path
 #: Key of the registered query; a deployment passes its own.
 PSEUDONYM_KEY = b"registered query"
 TOKEN_LIMIT = 4096
+#: Words from which a repeated line goes whatever stands beside it.
+LONG_LINE = 50
 
 
 def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ld.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = ld.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), long=LONG_LINE)
     return out.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_removed").alias("n_removed"), "text")
 
 

@@ -25,8 +25,9 @@ def line_units(text):
     return units
 
 
-def line_dedup(rows, run=2):
-    """(doc_id, text) -> {(doc_id, text): kept text}; ids in order, null first."""
+def line_dedup(rows, run=2, long=None):
+    """(doc_id, text) -> {(doc_id, text): kept text}; ids in order, null first. With ``long``
+    a line of so many words is a window of its own too."""
     seen, out = set(), {}
     order = sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     for key in order:
@@ -38,6 +39,11 @@ def line_dedup(rows, run=2):
             if w in seen:
                 gone.update(range(s, s + run))
             seen.add(w)
+        for s, line in enumerate(keys):
+            if long is not None and len(words(line)) >= long:
+                if (line,) in seen:
+                    gone.add(s)
+                seen.add((line,))
         out[key] = ("\n".join(u for k, u in enumerate(units) if k not in gone), len(units), len(gone))
     return out
 

@@ -56,6 +56,43 @@ def test_line_dedup_runs_of_any_length(spark, run):
     assert {(r.doc_id, r.text, r._ld_removed) for r in got} == {(i, v[0], v[2]) for (i, _), v in want.items()}
 
 
+@pytest.mark.parametrize("run", [2, 4])
+def test_line_dedup_decides_by_its_fingerprints(spark, monkeypatch, run):
+    """Fewer positions than windows are shuffled, runs are found at any offset, and positions
+    that are not chosen by content miss them."""
+    import random
+
+    rng = random.Random(run)
+    passage = [f"passage line {k}" for k in range(12)]
+    rows = []
+    for i in range(40):
+        own = [f"own {i} {k}" for k in range(rng.randint(1, 9))]
+        lo, n = rng.randint(0, 6), rng.randint(run, 6)
+        rows.append((i, "\n".join([*own, *passage[lo : lo + n], f"end {i}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(i, v[0], v[2]) for (i, _), v in brute.line_dedup(rows, run).items()}
+    result = lambda: {(r.doc_id, r.text, r._ld_removed) for r in line_dedup.line_dedup(docs, run=run).collect()}
+    assert result() == want
+    windows = sum(max(0, t.count("\n") + 2 - run) for _, t in rows)
+    assert line_dedup.positions(docs, "doc_id", "text", run).count() < windows
+    monkeypatch.setattr(line_dedup, "_selected", lambda hs, run: F.sequence(F.lit(0), F.size(hs) - run, F.lit(run)))
+    assert result() != want
+
+
+def test_line_dedup_of_repeated_rows_and_names(spark):
+    rows = [(1, "a\nb\nc"), (1, "a\nb\nc"), (2, "x\na\nb"), (3, "a\nb\nc\nd"), (None, "b\nc\nq")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.line_dedup(rows)
+    wide = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(["_ld_id", "_ld_key", "_ld_h", "_ld_row", "_ld_all", "_ld_lines", "n", "near", "first"])])
+    out = line_dedup.line_dedup(wide)
+    assert out.columns == [*[c for c in wide.columns if c != "_ld_lines"], "_ld_lines", "_ld_removed"]
+    got = out.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.text, r._ld_lines, r._ld_removed) in [v for (i, _), v in want.items() if i == r.doc_id]
+        assert (r["_ld_id"], r["_ld_row"], r["_ld_all"], r["near"]) == (0, 3, 4, 7)
+
+
 def test_line_dedup_of_long_single_lines(spark):
     """A long line goes where it repeats between other neighbours and as a whole document; a
     short one stays."""

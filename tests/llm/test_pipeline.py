@@ -30,7 +30,7 @@ def _quality(rows):
 
 
 def _lines(rows):
-    kept = brute.line_dedup([(r[0], r[1]) for r in rows])
+    kept = brute.line_dedup([(r[0], r[1]) for r in rows], long=50)
     out = []
     for i, text, lang, source, n in rows:
         new, lines, removed = kept[i, text]
