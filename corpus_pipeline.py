@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from prefpairs.llm import line_dedup, mixing, pieces, quality, simhash
 from prefpairs.llm.common import filter_after, materialize, table
 
+#: Words from which a repeated line goes whatever stands beside it.
+LONG_LINE = 50
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose source is not rejected."""
@@ -23,9 +26,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later repeated runs of lines; n_chars follows the text. A document
-    of which nothing is left goes, as all of it stands elsewhere."""
-    out = line_dedup.line_dedup(docs)
+    """Documents without later repeated runs of lines and later copies of long lines; n_chars
+    follows the text. A document of which nothing is left goes, as all of it stands elsewhere."""
+    out = line_dedup.line_dedup(docs, long=LONG_LINE)
     left = (F.col("_ld_removed") == 0) | (F.col("_ld_removed") < F.col("_ld_lines"))
     n_chars = F.when(F.col("_ld_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return filter_after(out, left).withColumn("n_chars", n_chars).select(*docs.columns)
