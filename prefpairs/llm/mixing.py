@@ -89,6 +89,8 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source:
     """One row per document: id, source, key (hash of the text), size, source_size, target,
     copies."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.xxhash64(text).alias("key"), size_of(F.col(text)).alias("size"))
+    # Written before the ranges are drawn, so that sampling them does not read the texts again.
+    rows = materialize(rows, "mixing-rows")
     order = ["source", "size", "id", "key"]
     # The part number is written with the rows: it must not change if a task runs again.
     ranged = rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
@@ -112,11 +114,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     """The mixed corpus: rows of ``docs``, each as often as it was drawn."""
     drawn = sampled(docs, id_col, text, source, seed).groupBy("id", "source", "key").agg(F.sum("copies").alias("_mx_c"), F.count(F.lit(1)).alias("_mx_m"))
     drawn = drawn.filter("_mx_c > 0").withColumnsRenamed({"id": "_mx_id", "source": "_mx_source", "key": "_mx_key"})
-    keyed = docs.withColumn("_mx_h", F.xxhash64(text))
-    same = (F.col("_mx_h") == F.col("_mx_key")) & F.col(id_col).eqNullSafe(F.col("_mx_id")) & F.col(source).eqNullSafe(F.col("_mx_source"))
+    # The row travels in a struct, out of reach of the working columns' names.
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(source).alias("source"), F.xxhash64(text).alias("key"))
+    same = (F.col("key") == F.col("_mx_key")) & F.col("id").eqNullSafe(F.col("_mx_id")) & F.col("source").eqNullSafe(F.col("_mx_source"))
     joined = keyed.join(drawn, same)
     # Rows that agree in id, source and text share their draws evenly.
-    nth = F.row_number().over(Window.partitionBy("_mx_h", id_col, source).orderBy(F.lit(1)))
+    nth = F.row_number().over(Window.partitionBy("key", "id", "source").orderBy(F.lit(1)))
     turn = F.when(F.col("_mx_m") == 1, F.lit(1)).otherwise(nth)
     n = F.floor(F.col("_mx_c") / F.col("_mx_m")) + (turn <= F.col("_mx_c") % F.col("_mx_m")).cast("long")
-    return joined.withColumn("_mx_n", n).filter("_mx_n > 0").withColumn("_mx_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mx_n")))).select(*docs.columns)
+    return joined.withColumn("_mx_n", n).filter("_mx_n > 0").withColumn("_mx_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mx_n")))).select("row.*")
