@@ -340,6 +340,14 @@ def _headers_only(content: bytes) -> Iterator[dict]:
     return ({**row, "payload": None} for row in warc_records(content))
 
 
+def checked_digest() -> Column:
+    """``payload_digest`` of rows of ``read_warc``; a response whose payload read back has
+    another digest than its header says is an error, so a damaged archive does not pass."""
+    wrong = (F.col("type") == "response") & ~F.col("found_digest").eqNullSafe(F.col("payload_digest"))
+    said = F.concat(F.lit("payload digest of "), F.coalesce("record_id", F.lit("a record")), F.lit(" differs from its header"))
+    return F.when(wrong, F.raise_error(said)).otherwise(F.col("payload_digest"))
+
+
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """Records of the WARC files under ``path``; ``found_digest`` and ``payload_bytes`` are of
     the payload as it was read (of a revisit: of its empty one)."""

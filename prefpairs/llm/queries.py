@@ -37,7 +37,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = archives.through_archives(table(spark, sf_dir, "pages"))
-    read = archives.read_warc(spark, path, payload=False).select("type", "record_id", "payload_digest", "refers_to", "head", "payload_bytes")
+    read = archives.read_warc(spark, path, payload=False).select("type", "record_id", archives.checked_digest().alias("payload_digest"), "refers_to", "head", "payload_bytes")
     out = archives.resolve_revisits(materialize(read, "warc-rows"))
     return out.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("target").alias("refers_to"))
 

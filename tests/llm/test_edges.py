@@ -71,6 +71,16 @@ def test_archive_rows(awkward):
     assert {r.target for r in rows if r.type == "revisit"} == {largest[k] for k, v in texts.items() if len(v) > 1}
 
 
+def test_damaged_archives_fail(spark):
+    """A response is only as good as the bytes read back; a revisit has none."""
+    kinds = "type string, record_id string, payload_digest string, found_digest string"
+    good = spark.createDataFrame([("response", "a", "X", "X"), ("revisit", "b", "X", "EMPTY")], kinds)
+    assert [r[0] for r in good.select(archives.checked_digest()).collect()] == ["X", "X"]
+    for bad in (("response", "a", "X", "Y"), ("response", "a", None, "Y")):
+        with pytest.raises(Exception, match="differs from its header"):
+            spark.createDataFrame([bad], kinds).select(archives.checked_digest()).collect()
+
+
 def test_ids_that_no_text_has(spark):
     """Negative, large and null ids are errors; null and empty lists are the empty text."""
     ids = lambda rows: spark.createDataFrame(rows, "k int, _sp_ids array<int>")
