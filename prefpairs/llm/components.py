@@ -2,7 +2,8 @@
 
 Each round is two shuffles of the edges; nothing is gathered on the driver but a count and
 a digest of the edges, by which the fixed point is seen. A hub's edges meet only in a
-partial minimum and in a join that AQE can split.
+partial minimum and in a join with the minima. These are written first: a join with an
+aggregate above its exchange is a form that AQE does not split, one with a table is.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = materialize(low, "component-lows")
         linked = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(low, "component-lows")
         linked = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
     return linked.filter("u <> v").distinct()
 

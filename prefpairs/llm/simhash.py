@@ -11,6 +11,9 @@ radius always share a child, so no pair is lost, and only those in the boundary
 both ways. Each shard is split further in its task by the same rule with vantage points of
 its own, down to leaves that are compared in blocks. A set that no vantage point divides
 (one dense cloud) is searched by looking up every fingerprint within the radius instead.
+A shard of more than ``LARGE`` fingerprints, which the tree could not divide, is not one
+task: its fingerprints meet at their midpoints, the values within half the radius of them,
+in groups no larger than the number of those values.
 
 A shard returns links to one representative of each of its clusters, never all pairs; the
 links are joined to components across shards. Equal fingerprints count as one throughout,
@@ -41,9 +44,10 @@ RADIUS = 2
 SEED = 42
 #: Distinct fingerprints that the tree of shards is fitted on; all of them are searched.
 SAMPLE = 16_384
-#: Fingerprints by shard aimed at; at most 2 ** MAX_DEPTH shards.
+#: Fingerprints by shard aimed at; the sample has a node for every eight of its own at most.
 SHARD = 2_048
-MAX_DEPTH = 12
+#: Fingerprints that one task searches; larger shards go by midpoints.
+LARGE = 1 << 18
 LEAF = 384
 _CHUNK = 1 << 16
 
@@ -217,10 +221,29 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     n = distinct.count()
     rows = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(max(n, 1))) < SAMPLE).select("fp").toArrow()
     sample = np.sort(rows.column("fp").to_numpy().view(np.uint64))
-    depth = min(MAX_DEPTH, max(0, (n // SHARD).bit_length()))
-    tree = Tree.fit(sample, depth, radius)
-    sharded = distinct.select("fp").mapInArrow(_route(tree), "shard long, fp long")
-    return sharded.groupBy("shard").applyInArrow(_search(radius), "a long, b long")
+    tree = Tree.fit(sample, (n // SHARD).bit_length(), radius)
+    sharded = materialize(distinct.select("fp").mapInArrow(_route(tree), "shard long, fp long"), "simhash-shards")
+    # One number a shard, of shards no more than the sample allows.
+    large = [r["shard"] for r in sharded.groupBy("shard").count().filter(F.col("count") > LARGE).collect()]
+    inside = F.col("shard").isin(large)
+    found = sharded.filter(~inside).groupBy("shard").applyInArrow(_search(radius), "a long, b long")
+    return found.unionAll(midpoint_links(sharded.filter(inside).select("fp").distinct(), radius)) if large else found
+
+
+def midpoint_links(distinct: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs within the radius, by a shuffle.
+
+    Two fingerprints within the radius have a value between them that is within the radius
+    halved and rounded down of one and rounded up of the other. A fingerprint is sent to all
+    values that near; at each, all are linked to the smallest of those within the lower half.
+    A value meets no more fingerprints than it has neighbours, however dense the cloud.
+    """
+    near = [0, *(int(m) for m in _offsets(radius // 2).view(np.int64))]
+    far = sorted(set(int(m) for m in _offsets(radius - radius // 2).view(np.int64)) - set(near))
+    masks = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(m in set(far)).alias("far")) for m in near + far])
+    sent = distinct.select("fp", F.inline(masks)).select(F.col("fp").bitwiseXOR(F.col("m")).alias("at"), "fp", "far")
+    met = sent.groupBy("at").agg(F.min(F.when(~F.col("far"), F.col("fp"))).alias("a"), F.collect_list("fp").alias("met"))
+    return met.filter((F.size("met") > 1) & F.col("a").isNotNull()).select("a", F.explode("met").alias("b")).filter("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -230,8 +253,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     distinct = materialize(rows.groupBy("fp").agg(F.min(order).alias("low")), "simhash-distinct")
     parts = connected_components(links(distinct, radius), "simhash-links")
-    linked = parts.join(distinct, parts["node"] == distinct["fp"]).select("fp", "low", "component")
-    lows = linked.groupBy("component").agg(F.min("low").alias("first"))
+    linked = materialize(parts.join(distinct, parts["node"] == distinct["fp"]).select("fp", "low", "component"), "simhash-linked")
+    # Written, so that AQE can split the join on a large component.
+    lows = materialize(linked.groupBy("component").agg(F.min("low").alias("first")), "simhash-lows")
     # Only fingerprints with a link need another's smallest id.
     classes = linked.join(lows, "component").select("fp", "first")
     firsts = materialize(distinct.join(classes, "fp", "left").select("fp", F.coalesce("first", "low").alias("first")), "simhash-firsts")
@@ -240,9 +264,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that come first, by (id, text hash), in their component: one each."""
-    first = near_duplicates(docs, id_col, text, shingle, radius).select(F.col("first.id").alias("_sh_id"), F.col("first.key").alias("_sh_key")).distinct()
-    keyed = docs.withColumn("_sh_h", F.xxhash64(text))
-    kept = keyed.join(first, (F.col("_sh_h") == F.col("_sh_key")) & F.col(id_col).eqNullSafe(F.col("_sh_id")), "left_semi")
+    first = near_duplicates(docs, id_col, text, shingle, radius).select(F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key")).distinct()
+    # The row travels in a struct, out of reach of the working columns' names.
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("key"))
+    kept = keyed.join(first, (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")), "left_semi")
     # Rows alike in id and text are one document.
-    nth = F.row_number().over(Window.partitionBy("_sh_h", id_col).orderBy(F.lit(1)))
-    return kept.withColumn("_sh_n", nth).filter("_sh_n = 1").select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy("key", "id").orderBy(F.lit(1)))
+    return kept.withColumn("nth", nth).filter("nth = 1").select("row.*")

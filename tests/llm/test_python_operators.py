@@ -471,6 +471,20 @@ def test_links_across_shards(spark, monkeypatch):
     assert _clusters(len(x), a, b, x) == brute.components(x.tolist())
 
 
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_links_of_a_cloud_too_large_for_a_task(spark, monkeypatch, radius):
+    """Shards beyond LARGE are searched by midpoints: the same components, true links only."""
+    x = np.unique(np.concatenate([_cloud(random.Random(4), 1, 400, 4), _cloud(random.Random(5), 150, 3, 3)]))
+    df = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long").repartition(3)
+    want = brute.components(x.tolist(), radius)
+    for large in (30, 0):  # some shards, and all of them
+        monkeypatch.setattr(simhash, "LARGE", large)
+        rows = simhash.links(df, radius).collect()
+        a, b = (np.array([r[c] for r in rows], np.int64).view(np.uint64) for c in ("a", "b"))
+        assert _clusters(len(x), a, b, x) == want
+        assert large or (np.bitwise_count(a ^ b) <= radius).all()
+
+
 def test_components_of_a_long_chain(spark):
     from prefpairs.llm.components import connected_components
 
