@@ -28,7 +28,16 @@ def filter_after(df: DataFrame, keep: Column) -> DataFrame:
     A plain filter is rewritten in terms of the input and moved below the projections, which
     would compute their nested expressions once per mention; a generator stops that.
     """
-    return df.select("*", F.explode(F.array(keep)).alias("_keep")).filter("_keep").drop("_keep")
+    flag = free_name(df, "_keep")
+    return df.select("*", F.explode(F.array(keep)).alias(flag)).filter(flag).drop(flag)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -7,8 +7,9 @@ rate is above ``max_host_rate`` rejects all of its documents.
 
 Defined results: a null text has no words and fails the base rules; a document with a null
 host has no host verdict and keeps its base verdict; repeated rows count as often as they
-occur; an empty table gives an empty result. Only the columns named by the arguments are
-read, so further columns of any name do no harm.
+occur; an empty table gives an empty result. ``quality_table`` reads the columns named by
+the arguments only, ``quality_filter`` carries all of them in a struct, so further columns of
+any name do no harm.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefpairs.llm.common import WHITE, filter_after, materialize, words
+from prefpairs.llm.common import WHITE, materialize, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -50,17 +51,19 @@ def _repeat_words(w: Column, n: Column) -> Column:
 
 
 def document_metrics(docs: DataFrame, text: str = "text", keep: list[str] | None = None, rules: Rules = Rules()) -> DataFrame:
-    """``keep`` columns of ``docs`` (default: all) and a struct ``_m`` of the base measures:
-    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed.
+    """A struct ``_row`` of the columns ``keep`` of ``docs`` (default: all) and a struct ``_m``
+    of the base measures: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed.
 
     Work per document is n log n in its words: windows are hashed, sorted with their
     positions, and neighbours compared.
     """
-    keep = docs.columns if keep is None else keep
+    # The columns kept travel in a struct, out of reach of the working columns' names.
+    row = F.struct(*(docs.columns if keep is None else keep)).alias("_row")
     t = F.coalesce(F.col("_t"), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.trim(x, F.lit(WHITE)) != "")
-    step1 = docs.select(*keep, F.col(text).alias("_t")).select(
-        *keep,
+    step1 = docs.select(row, F.col(text).alias("_t")).select(
+        "_row",
         words(F.col("_t")).alias("_w"),
         F.length(_without(t, WHITE)).alias("_chars"),
         (F.length(t) - F.length(_without(t, SYMBOLS))).alias("_symbols"),
@@ -68,12 +71,12 @@ def document_metrics(docs: DataFrame, text: str = "text", keep: list[str] | None
     )
     n = F.size("_w")
     step2 = step1.select(
-        *keep, "_chars", "_symbols", n.alias("_n"), (F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("_dup"), _repeat_words(F.col("_w"), n).alias("_s")
+        "_row", "_chars", "_symbols", n.alias("_n"), (F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("_dup"), _repeat_words(F.col("_w"), n).alias("_s")
     )
     s, last = F.col("_s"), F.size("_s") - 1
     # A window is repeated when a neighbour in hash order is equal.
     repeated = F.filter(s, lambda x, k: ((k > 0) & (x["h"] == F.get(s, k - 1)["h"])) | ((k < last) & (x["h"] == F.get(s, k + 1)["h"])))
-    step3 = step2.select(*keep, "_chars", "_symbols", "_n", "_dup", F.sort_array(F.transform(repeated, lambda x: x["i"])).alias("_p"))
+    step3 = step2.select("_row", "_chars", "_symbols", "_n", "_dup", F.sort_array(F.transform(repeated, lambda x: x["i"])).alias("_p"))
     # Each window covers three words; a start nearer than three to the one before adds less.
     covered = F.aggregate(
         "_p",
@@ -81,10 +84,10 @@ def document_metrics(docs: DataFrame, text: str = "text", keep: list[str] | None
         lambda a, p: F.struct(p.alias("at"), (a["n"] + F.least(F.lit(3), p - a["at"])).alias("n")),
         lambda a: a["n"],
     )
-    step4 = step3.select(*keep, "_chars", "_symbols", "_n", "_dup", covered.alias("_rep"))
+    step4 = step3.select("_row", "_chars", "_symbols", "_n", "_dup", covered.alias("_rep"))
     failed = (F.col("_n") < rules.min_words) | (F.lit(100).cast("long") * F.col("_rep") > F.lit(rules.max_repeat_pct).cast("long") * F.col("_n"))
     return step4.select(
-        *keep,
+        "_row",
         F.struct(
             F.col("_n").cast("long").alias("n_words"),
             F.col("_chars").cast("long").alias("word_chars"),
@@ -129,7 +132,7 @@ def quality_table(docs: DataFrame, id_col: str = "doc_id", text: str = "text", h
     are both read from that small table, so every text is scanned once.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(host).alias("host"), F.col(text).alias("text"))
-    m = materialize(document_metrics(src, "text", ["id", "host"], rules).select("id", "host", "_m.*"), "quality-metrics")
+    m = materialize(document_metrics(src, "text", ["id", "host"], rules).select("_row.*", "_m.*"), "quality-metrics")
     hosts = materialize(host_counts(m), "quality-hosts")
     verdicts = materialize(host_verdicts(hosts, rules).select("host", "rate", "host_rejected"), "quality-verdicts")
     return m.join(verdicts, "host", "left").select(
@@ -143,12 +146,13 @@ def quality_table(docs: DataFrame, id_col: str = "doc_id", text: str = "text", h
 def quality_filter(docs: DataFrame, text: str = "text", host: str = "source", rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that pass their base rules and whose host is not rejected.
 
-    The texts are scanned twice (failures by host, then the verdicts) and never shuffled,
-    as long as the verdict table is small enough for Spark's own broadcast; beyond that
-    the join is an ordinary one, which AQE splits on a hot host.
+    The rows are measured once and written with their base verdict; the hosts' failures and
+    the result are read from there. Texts are never shuffled, as long as the table of rejected
+    hosts is small enough for Spark's own broadcast; beyond that the join is an ordinary one,
+    which AQE splits on a hot host.
     """
-    flags = document_metrics(docs.select(F.col(host).alias("host"), F.col(text).alias("text")), "text", ["host"], rules).select("host", "_m.base_failed")
-    hosts = materialize(host_counts(flags), "quality-hosts")
-    verdicts = materialize(host_verdicts(hosts, rules).filter("host_rejected").select(F.col("host").alias("_host")), "quality-verdicts")
-    passed = filter_after(document_metrics(docs, text, None, rules), ~F.col("_m.base_failed")).drop("_m")
-    return passed.join(verdicts, passed[host] == verdicts["_host"], "left_anti")
+    measured = document_metrics(docs, text, None, rules).select("_row", F.col("_row").getField(host).alias("host"), "_m.base_failed")
+    measured = materialize(measured, "quality-rows")
+    hosts = materialize(host_counts(measured.select("host", "base_failed")), "quality-hosts")
+    rejected = materialize(host_verdicts(hosts, rules).filter("host_rejected").select("host"), "quality-verdicts")
+    return measured.filter("not base_failed").join(rejected, "host", "left_anti").select("_row.*")

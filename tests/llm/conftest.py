@@ -49,5 +49,5 @@ def clashing(awkward):
     """Extra columns named like the operators' own results and working columns."""
     from pyspark.sql import functions as F
 
-    names = ["id", "key", "h", "w", "f", "n", "size", "copies", "kept", "host", "base_failed", "fp", "first", "range", "ids", "value", "node", "component", "n_words", "starts", "order", "target", "rank"]
+    names = ["id", "key", "h", "w", "f", "n", "size", "copies", "kept", "host", "base_failed", "fp", "first", "range", "ids", "value", "node", "component", "n_words", "starts", "order", "target", "rank", "row", "nth", "_n", "_m", "_t", "_w", "_s", "_keep", "_row", "_chars", "_sh_h", "_sh_id", "_sh_n", "_mx_h", "_mx_n", "_mx_key", "_ld_h", "_ld_key", "_ld_row"]
     return awkward.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
