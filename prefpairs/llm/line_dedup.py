@@ -42,10 +42,10 @@ def lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), BREAK)
 
 
-def _hashes(text: Column) -> Column:
+def _hashes(own: Column) -> Column:
     """(h, g) of each line; h selects, both together tell lines apart."""
-    line = lambda x: F.trim(x, F.lit(WHITE))
-    return F.transform(lines(text), lambda x: F.struct(F.xxhash64(line(x)).alias("h"), F.xxhash64(F.lit("g"), line(x)).alias("g")))
+    bare = F.transform(own, lambda x: F.trim(x, F.lit(WHITE)))
+    return F.transform(bare, lambda x: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit("g"), x).alias("g")))
 
 
 def _least(part: Column) -> Column:
@@ -81,11 +81,12 @@ def _is_long(line: Column, long: int) -> Column:
 def positions(docs: DataFrame, id_col: str, text: str, run: int, long: int | None = None) -> DataFrame:
     """(_ld_id, _ld_key, n, p, at, near): a row for every selected position, and with ``long``
     one of n = 1 for every line of so many words."""
-    known = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).alias("_ld_id"), F.col(text).alias("_ld_text"))
+    known = docs.filter(F.col(text).isNotNull())
+    split = known.select(F.col(id_col).alias("_ld_id"), F.xxhash64(text).alias("_ld_key"), lines(F.col(text)).alias("_ld_own"))
     flags = F.expr("CAST(array() AS array<boolean>)")
     if long is not None and run > 1:
-        flags = F.transform(lines(F.col("_ld_text")), lambda x: _is_long(x, long))
-    hashed = known.select("_ld_id", F.xxhash64("_ld_text").alias("_ld_key"), _hashes(F.col("_ld_text")).alias("_ld_h"), flags.alias("_ld_long"))
+        flags = F.transform("_ld_own", lambda x: _is_long(x, long))
+    hashed = split.select("_ld_id", "_ld_key", _hashes(F.col("_ld_own")).alias("_ld_h"), flags.alias("_ld_long"))
     hs = F.col("_ld_h")
     none = F.slice(F.array(_place(run, F.lit(0), F.lit(0), hs)), 1, 0)
     wide = F.when(F.size(hs) >= run, _with_surroundings(hs, run)).otherwise(none)
