@@ -49,12 +49,12 @@ def extract_entries(entries: DataFrame) -> DataFrame:
     )
 
 
-def parse_entries(entries: DataFrame) -> DataFrame:
+def parse_entries(entries: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """ENTRY -> one row per entry with the parsed action and the final ``skip_reason``.
 
-    Columns: entry_id, instruction, action_type, x, y, text, raw_action, skip_reason.
+    Columns: entry_id, instruction, action_type, x, y, text, raw_action, skip_reason, ``keep``.
     """
-    ex = extract_entries(entries).select("entry_id", "instruction", "raw_action", "skip_reason")
+    ex = extract_entries(entries).select("entry_id", "instruction", "raw_action", "skip_reason", *keep)
     parsed = parse_actions(ex, "raw_action", stripped=True)  # extract_entries stripped it
     reason = F.coalesce(
         F.col("skip_reason"),
@@ -69,6 +69,7 @@ def parse_entries(entries: DataFrame) -> DataFrame:
         "text",
         "raw_action",
         reason.alias("skip_reason"),
+        *keep,
     )
 
 

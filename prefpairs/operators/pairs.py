@@ -33,8 +33,9 @@ def pairs_from_parsed(parsed: DataFrame, cfg: PairConfig = PairConfig()) -> Data
     """PARSED rows (valid only) -> pair rows.
 
     Columns: entry_id, strategy_ord (INT, emission order), prompt, chosen, rejected,
-    metadata struct<action_type, rejection_strategy, source>.
+    metadata struct<action_type, rejection_strategy, source>, and ``batch`` if the rows have one.
     """
+    keep = [c for c in ("batch",) if c in parsed.columns]
     strategies = [(name, get_strategy(name)) for name in cfg.strategies]
     df = parsed.select(
         "entry_id",
@@ -44,6 +45,7 @@ def pairs_from_parsed(parsed: DataFrame, cfg: PairConfig = PairConfig()) -> Data
         "text",
         build_prompt(F.col("instruction"), cfg.unwrap_prompt).alias("prompt"),
         chosen_action().alias("chosen"),
+        *keep,
     )
     for _, st in strategies:
         if st.prepare is not None:
@@ -62,7 +64,7 @@ def pairs_from_parsed(parsed: DataFrame, cfg: PairConfig = PairConfig()) -> Data
         cond = F.col("strategy_ord") == F.lit(i)
         rejected = F.when(cond, st.rejected(cfg)) if rejected is None else rejected.when(cond, st.rejected(cfg))
     out = df.select(*df.columns, F.inline(variants)).select(
-        "entry_id", "action_type", "prompt", "chosen", "strategy_ord", "rejection_strategy", rejected.alias("rejected")
+        "entry_id", "action_type", "prompt", "chosen", "strategy_ord", "rejection_strategy", rejected.alias("rejected"), *keep
     )
     if cfg.drop_degenerate:
         out = out.filter(F.col("rejected") != F.col("chosen"))
@@ -77,6 +79,7 @@ def pairs_from_parsed(parsed: DataFrame, cfg: PairConfig = PairConfig()) -> Data
             "rejection_strategy",
             F.lit(cfg.source).alias("source"),
         ).alias("metadata"),
+        *keep,
     )
 
 

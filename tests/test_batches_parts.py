@@ -91,3 +91,31 @@ def test_parts_of_equal_keys_and_of_nothing(spark, tmp_out):
     manifest = write_jsonl_ordered(spark.read.parquet(f"{tmp_out}/same-table"), f"{tmp_out}/same.jsonl", rows_per_part=100).collect()
     assert sum(m.rows for m in manifest) == 1200 and max(m.rows for m in manifest) < 400
     assert write_jsonl_ordered(pairs.filter("false"), f"{tmp_out}/none.jsonl").collect() == []
+
+
+def test_many_batches_go_in_few_rounds(spark, tmp_out, monkeypatch):
+    entries, out, made, calls = synthetic_entries(spark, 160), f"{tmp_out}/run", batches.pairs_from_parsed, []
+    # Every fourth entry has no action, so that some batches have no pair.
+    bad = F.col("entry_id") % 4 == 0
+    entries = entries.withColumn("conversations", F.when(bad, F.slice("conversations", 1, 1)).otherwise(F.col("conversations")))
+    spark.createDataFrame([("left over",)], "prompt string").write.parquet(f"{out}/pairs/batch=0")
+
+    def counted(parsed, cfg):
+        calls.append(1)
+        return made(parsed, cfg)
+
+    monkeypatch.setattr(batches, "pairs_from_parsed", counted)
+    monkeypatch.setattr(batches, "ROUNDS", 4, raising=False)
+    got = batches.generate_in_batches(spark, entries, out, batch_size=2)
+    assert got["batches"] == got["finished"] == got["written"] > 40 and len(calls) <= 4
+    assert (got["entries"], got["skipped_invalid"]) == (160, 40)
+    assert rows(batches.read_batches(spark, out)) == rows(generate_pairs(entries))
+    plan = {r.batch: r.n_entries for r in spark.read.parquet(f"{out}/plan").collect()}
+    assert {r.batch: r.n_entries for r in batches.ledger(spark, out).collect()} == plan
+
+
+def test_batches_without_a_pair(spark, tmp_out):
+    entries = synthetic_entries(spark, 6).withColumn("conversations", F.slice("conversations", 1, 1))
+    got = batches.generate_in_batches(spark, entries, tmp_out, batch_size=3)
+    assert got["finished"] == got["batches"] and (got["entries"], got["skipped_invalid"]) == (6, 6)
+    assert batches.read_batches(spark, tmp_out).collect() == []
