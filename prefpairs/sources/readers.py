@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from prefpairs.functions.jsonline import has_key, is_object, is_strict_json, string_field, wrapped_variant
 from prefpairs.functions.text import py_strip
 from prefpairs.schema import PAIR
-from prefpairs.session import scratch_path
+from prefpairs.session import listing_session, scratch_path
 from prefpairs.sources.adapters import conform
 from prefpairs.sources.array_ranges import COMPRESSED, array_records, can_open
 from prefpairs.sources.synthetic import synthetic_entries
@@ -245,6 +245,7 @@ def with_positions(spark: SparkSession, read: PlacedScan, path: str | list[str],
     changed between them, a row finds no count or a number outside its split's count, and the
     job fails instead of losing or misnumbering rows.
     """
+    spark = listing_session(spark)
     files = sorted(read(spark, path)[0].inputFiles())
     if not files:
         scan, rows = read(spark, path)

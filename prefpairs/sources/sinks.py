@@ -70,6 +70,8 @@ def write_jsonl(
 
 #: More bytes than any file has: a scan with splits that long gives every file to one task.
 _WHOLE_FILES = str(1 << 50)
+#: Rows that a task ranges, sorts and writes as lines.
+_ROWS_PER_FILE = 250_000
 
 
 def write_jsonl_ordered(
@@ -79,34 +81,43 @@ def write_jsonl_ordered(
     that many tasks write, and return the manifest: (part, rows, before, and the first key of each part).
 
     Part follows part: the files in path order, which is the order of the manifest, are the lines
-    of one ordered file. Rows are ranged by ``order``, equal keys by their content, into a written
-    table first, so that a lost executor cannot range them otherwise; the lines are written from
-    it file by file without another shuffle. The manifest stands beside the parts in
-    ``_manifest``, which readers of the lines pass over.
+    of one ordered file. The pairs are written once, ranged by ``order``, equal keys by their
+    content, into files of many parts, and each part takes its lines from such a file by their
+    numbers: tasks, shuffle blocks and sampled keys follow the rows, not the number of parts. The
+    ranged rows are written before the lines, so that a lost executor cannot range them
+    otherwise. The manifest stands beside the parts in ``_manifest``, which readers of the lines
+    pass over.
     """
     spark = pairs.sparkSession
     keys = [*order, "_tie"]
-    keyed = pairs.withColumn("_tie", F.xxhash64("prompt", "chosen", "rejected"))
-    n = max(1, -(-pairs.count() // rows_per_part))
-    ranged = keyed.repartitionByRange(n, *keys).withColumn("part", F.lpad(F.spark_partition_id().cast("string"), 7, "0"))
-    staged = scratch_path(spark, "ordered-pairs")
-    ranged.select("part", *keys, "prompt", "chosen", "rejected").write.partitionBy("part").parquet(staged)
+    table, staged = scratch_path(spark, "keyed-pairs"), scratch_path(spark, "ordered-pairs")
+    keyed = pairs.select(*order, F.xxhash64("prompt", "chosen", "rejected").alias("_tie"), "prompt", "chosen", "rejected")
+    keyed.write.parquet(table)
+    written = spark.read.schema(keyed.schema).parquet(table)
+    n = written.count()
+    files = max(1, -(-n // _ROWS_PER_FILE), min(-(-n // rows_per_part), spark.sparkContext.defaultParallelism))
+    ranged = written.repartitionByRange(files, *keys).sortWithinPartitions(*keys).withColumn("_range", F.spark_partition_id())
+    ranged.write.option("maxRecordsPerFile", 0).parquet(staged)  # a range is one file, and its rows are numbered there
     whole = spark.newSession()
     for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         whole.conf.set(setting, _WHOLE_FILES)
-    whole.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    # A folder without a row has no part, and then no schema to infer.
-    schema = ranged.select(*keys, "prompt", "chosen", "rejected", "part").schema
-    lines = whole.read.schema(schema).parquet(staged).sortWithinPartitions("part", *keys)
+    lines = whole.read.schema(ranged.schema).parquet(staged)
+    # A row a range, so windows over all of them are small. A range of _n rows has _k parts.
+    ranges = lines.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.ceil(F.col("_n") / rows_per_part))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(name) for c, name in (("_k", "_part0"), ("_n", "_before"))]
+    placed = lines.withColumn("_row", F.col("_metadata.row_index")).join(F.broadcast(ranges.select("_range", "_n", "_k", *sums)), "_range")
+    placed = placed.withColumn("_p", F.expr("_row * _k div _n"))
+    placed = placed.withColumn("part", F.lpad((F.col("_part0") + F.col("_p")).cast("string"), 7, "0"))
+    parts = placed.sortWithinPartitions("part", "_row")
     if python_bytes:
         value = _dumps_udf()(F.col("prompt"), F.col("chosen"), F.col("rejected")).alias("value")
-        lines.select("part", value).write.mode("overwrite").partitionBy("part").text(path)
+        parts.select("part", value).write.mode("overwrite").partitionBy("part").text(path)
     else:
-        lines.select("part", "prompt", "chosen", "rejected").write.mode("overwrite").partitionBy("part").option("ignoreNullFields", "false").json(path)
-    parts = whole.read.schema(schema).parquet(staged).groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct(*order)).alias("_first"))
-    before = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")
-    # One row a part, so a window over all of them is small.
-    manifest = parts.select("part", "rows", before, "_first.*")
+        parts.select("part", "prompt", "chosen", "rejected").write.mode("overwrite").partitionBy("part").option("ignoreNullFields", "false").json(path)
+    first, end = F.expr("(_p * _n + _k - 1) div _k"), F.expr("((_p + 1) * _n + _k - 1) div _k")
+    heads = placed.filter(F.col("_row") == first)
+    manifest = heads.select("part", (end - F.col("_row")).alias("rows"), (F.col("_before") + F.col("_row")).alias("before"), *order)
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
     return read_manifest(spark, path, manifest.schema)
 

@@ -119,3 +119,20 @@ def test_batches_without_a_pair(spark, tmp_out):
     got = batches.generate_in_batches(spark, entries, tmp_out, batch_size=3)
     assert got["finished"] == got["batches"] and (got["entries"], got["skipped_invalid"]) == (6, 6)
     assert batches.read_batches(spark, tmp_out).collect() == []
+
+
+def test_parts_do_not_make_tasks(spark, tmp_out, monkeypatch):
+    asked, range_by = [], type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda df, n, *keys: asked.append(n) or range_by(df, n, *keys))
+    pairs, path = generate_pairs(synthetic_entries(spark, 200)), f"{tmp_out}/pairs.jsonl"
+    manifest = write_jsonl_ordered(pairs, path, rows_per_part=3).collect()
+    assert max(asked) <= spark.sparkContext.defaultParallelism < len(manifest) / 10
+    files = sorted(glob.glob(f"{path}/part=*/part-*"))
+    assert len(files) == len(manifest) and [f"part={m.part}" for m in manifest] == [f.split("/")[-2] for f in files]
+    sizes = [open(f, encoding="utf-8").read().count("\n") for f in files]
+    assert [m.rows for m in manifest] == sizes and max(sizes) == 3 and sum(sizes) == 400
+    assert [m.before for m in manifest] == [sum(sizes[:i]) for i in range(len(sizes))]
+    want = pairs.orderBy("entry_id", "strategy_ord").collect()
+    assert [(m.entry_id, m.strategy_ord) for m in manifest] == [(want[m.before].entry_id, want[m.before].strategy_ord) for m in manifest]
+    read = read_pairs_jsonl(spark, path, positions=True).orderBy("line_id").collect()
+    assert [r.rejected for r in read] == [r.rejected for r in want]
